@@ -48,7 +48,8 @@ def _summary(grouped, reviews: Column, playtime: Column, early: Column) -> DataF
     return totals.select(
         "*",
         hours(F.col("avg_playtime")).alias("avg_playtime_hours"),
-        F.round(F.col("early_access_count") / F.col("total_reviews") * 100, 1).alias("early_access_percent"),
+        # One division only: a share that is exactly half way then rounds up as it should.
+        F.round(F.col("early_access_count") * 100 / F.col("total_reviews"), 1).alias("early_access_percent"),
     )
 
 

@@ -109,12 +109,12 @@ def classifier_scorer(
             yield pd.DataFrame({"negative": scores[:, 0], "positive": scores[:, 1]})
 
     # Nondeterministic for the optimizer: filters above must not run the model a second time.
-    run = F.pandas_udf(probabilities, SCORES_TYPE, F.PandasUDFType.SCALAR_ITER).asNondeterministic()
+    run = F.pandas_udf(probabilities, SCORES_TYPE).asNondeterministic()
 
     def score(df: DataFrame, text: str, output: str) -> DataFrame:
         rows = df if partitions is None else df.repartition(require_limit(partitions))
         scored = rows.withColumn(output, run(column(text)))
-        return scored.withColumn(output, F.when(~F.isnan(F.col(f"{output}.positive")), F.col(output)))
+        return scored.withColumn(output, F.when(F.col(f"{output}.positive").isNotNull(), F.col(output)))
 
     return score
 

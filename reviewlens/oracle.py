@@ -70,7 +70,7 @@ SALES = """sales_reviews AS (
 )"""
 
 SALES_DAYS = "CAST(timestamp_created AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1998-12-31'"
-DOC_DAYS = "CAST(timestamp_created AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'"
+DOC_DAYS = "CAST(timestamp_created AS DATE) BETWEEN DATE '2024-01-02' AND DATE '2024-01-03'"
 GAME = "game = 'click'"
 
 
@@ -151,15 +151,20 @@ def _profile(distinct: bool) -> str:
     return f"WITH {RAW} " + " UNION ALL ".join(one(c) for c in RAW_COLUMNS)
 
 
-TOTALS = """total_reviews, avg_playtime, early_access_count,
-  round(avg_playtime / 60, 1) AS avg_playtime_hours,
-  round(early_access_count / total_reviews * 100, 1) AS early_access_percent"""
+def _half_up(value: str, digits: int) -> str:
+    # Decimal rounding: DuckDB's round(double) scales in binary and takes some exact halves down.
+    return f"CAST(round(CAST({value} AS DECIMAL(38, 10)), {digits}) AS DOUBLE)"
+
+
+TOTALS = f"""total_reviews, avg_playtime, early_access_count,
+  {_half_up('avg_playtime / 60', 1)} AS avg_playtime_hours,
+  {_half_up('early_access_count * 100 / total_reviews', 1)} AS early_access_percent"""
 
 
 def _summary(view: str, where: str) -> str:
     return f"""WITH {view}, totals AS (
       SELECT game, count(*) AS total_reviews,
-        coalesce(round(avg(CAST(author_playtime_at_review AS DOUBLE)), 2), 0.0) AS avg_playtime,
+        coalesce({_half_up('avg(author_playtime_at_review)', 2)}, 0.0) AS avg_playtime,
         count(*) FILTER (WHERE written_during_early_access) AS early_access_count
       FROM {view.split()[0]} WHERE {where} GROUP BY game)
     SELECT game, {TOTALS} FROM totals"""
@@ -223,7 +228,7 @@ def _report() -> str:
     parts = [
         item("total_reviews", "game", "total_reviews", "totals"),
         item("avg_playtime", "game", "avg_playtime", "totals"),
-        item("early_access", "game", "round(early / total_reviews * 100, 1)", "totals"),
+        item("early_access", "game", _half_up("early * 100 / total_reviews", 1), "totals"),
         item("daily", "day", "n", "daily"),
         item("acquisition", "category", "n", "acquisition"),
         item("top_upvoted", "review_id", "votes_up", f"({_top('votes_up', dated)})"),
@@ -239,7 +244,7 @@ def _report() -> str:
     return f"""WITH {_scored(_top('votes_up', dated, 1000))},
       chosen AS (SELECT * FROM doc_reviews WHERE {dated}),
       totals AS (SELECT game, count(*) AS total_reviews,
-        round(avg(CAST(author_playtime_at_review AS DOUBLE)), 2) AS avg_playtime,
+        {_half_up('avg(author_playtime_at_review)', 2)} AS avg_playtime,
         count(*) FILTER (WHERE written_during_early_access) AS early FROM chosen GROUP BY game),
       daily AS (SELECT strftime(timestamp_created, '%Y-%m-%d') AS day, count(*) AS n FROM chosen GROUP BY 1),
       acquisition AS (SELECT CASE WHEN received_for_free THEN 'Free' ELSE 'Purchased' END AS category,

@@ -29,7 +29,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 GAME = "click"
 SALES_GAME = "42"
 SALES_DAYS = (dt.date(1996, 1, 1), dt.date(1998, 12, 31))
-DOC_DAYS = (dt.date(2024, 1, 5), dt.date(2024, 1, 20))
+DOC_DAYS = (dt.date(2024, 1, 2), dt.date(2024, 1, 3))
 LANGUAGE = "de"
 SEED = 7
 NULL_MARK = "\\N"
@@ -350,9 +350,7 @@ def language_match_count(spark, sf):
 @register
 def game_report(spark, sf):
     """Every section of the bundle as rows (section, item, amount), to compare it as a whole."""
-    r = product_report(
-        doc_reviews(spark, sf), GAME, *DOC_DAYS, scorer=_scorer(), persist=False, cols=DOC_REVIEWS
-    )
+    r = product_report(doc_reviews(spark, sf), GAME, *DOC_DAYS, scorer=_scorer(), cols=DOC_REVIEWS)
 
     def rows(section: str, frame: DataFrame, item, amount) -> DataFrame:
         return frame.select(
