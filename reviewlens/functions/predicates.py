@@ -14,7 +14,7 @@ BOOLEAN_WORDS = ("0", "1", "true", "false", "t", "f", "yes", "no", "y", "n")
 BOOLEAN_PATTERN = r"\A(0|1|true|false|t|f|yes|no|y|n)\z"
 INTEGER_PATTERN = r"\A-?\d+\z"
 FLOAT_PATTERN = r"\A-?\d+(\.\d*)?\z"
-BLANK_PATTERN = r"\A\s*\z"
+WHITE_SPACE = " \t\n\x0b\f\r"
 SPECIAL_CHARACTER_PATTERN = r"[^a-zA-Z0-9\s\.-]"
 
 
@@ -62,7 +62,7 @@ def is_null_or_zero(field: T.StructField) -> Column:
 
 def is_blank(text: Column) -> Column:
     """Null, empty or white space only."""
-    return text.isNull() | text.rlike(BLANK_PATTERN)
+    return text.isNull() | (F.btrim(text, F.lit(WHITE_SPACE)) == "")
 
 
 def is_padded(text: Column) -> Column:

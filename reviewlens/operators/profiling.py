@@ -58,18 +58,25 @@ def profile_columns(
     df: DataFrame,
     columns: Iterable[str],
     patterns: Mapping[str, str] = TARGET_PATTERNS,
-    exact_distinct: bool = True,
+    sketch: Iterable[str] = (),
 ) -> DataFrame:
     """One row of counts per column: distinct, blank, non-convertible, padded, special characters.
 
-    ``nonconvertible_rows`` is null for a column without a pattern. One scan either way: the row
-    checks are a plain aggregate. Exact distinct counts shuffle every distinct value once; for free
-    text at scale ``exact_distinct=False`` uses a sketch and shuffles nothing but the counts.
-    An empty table has an empty exact profile.
+    ``nonconvertible_rows`` is null for a column without a pattern. All columns are counted by value
+    in one scan and one shuffle of the distinct values, and each value is checked once. Name columns
+    of free text in ``sketch``: they are profiled row by row in a plain aggregate that shuffles
+    nothing but counts, and their number of distinct values is approximate. An empty table has no
+    exact rows.
     """
-    columns = list(columns)
-    if exact_distinct:
-        return _profile_from_values(value_counts(df, columns), columns, patterns)
+    sketch = list(sketch)
+    exact = [c for c in columns if c not in sketch]
+    if not sketch:
+        return _profile_by_value(df, exact, patterns)
+    sketched = _profile_by_row(df, sketch, patterns)
+    return _profile_by_value(df, exact, patterns).unionAll(sketched) if exact else sketched
+
+
+def _profile_by_row(df: DataFrame, columns: list[str], patterns: Mapping[str, str]) -> DataFrame:
     profiles = []
     for name in columns:
         checks = _row_checks(column(name))
@@ -88,8 +95,7 @@ def profile_columns(
     return _as_text(df, columns).agg(F.array(*profiles).alias("profiles")).select(F.inline("profiles"))
 
 
-def _profile_from_values(values: DataFrame, columns: list[str], patterns: Mapping[str, str]) -> DataFrame:
-    # Each check runs once per distinct value and adds up that value's rows.
+def _profile_by_value(df: DataFrame, columns: list[str], patterns: Mapping[str, str]) -> DataFrame:
     text, rows, none = F.col("value"), F.col("row_count"), F.lit(0).cast("bigint")
     checks = _row_checks(text)
     names_of: dict[str, list[str]] = {}
@@ -101,7 +107,7 @@ def _profile_from_values(values: DataFrame, columns: list[str], patterns: Mappin
         applies = F.col("column_name").isin(names)
         nonconvertible = F.when(applies, breaks_pattern(text, pattern)).otherwise(nonconvertible)
     checks["nonconvertible_rows"] = nonconvertible
-    return values.groupBy("column_name").agg(
+    return value_counts(df, columns).groupBy("column_name").agg(
         F.count("value").alias("distinct_values"),
         *[F.sum(F.when(checks[c], rows).when(~checks[c], none)).alias(c) for c in ROW_COUNTS],
     )

@@ -1,7 +1,8 @@
 """Sentiment of review text as a distributed job with a pluggable scorer.
 
 A scorer is a function (df, text column, output column) -> df that adds the output column as
-``struct<negative: double, positive: double>``, the probabilities of the two classes.
+``struct<negative: double, positive: double>``, the probabilities of the two classes; both are null
+for a null text.
 """
 
 from __future__ import annotations
@@ -41,14 +42,14 @@ NEGATIVE_WORDS = (
 
 
 def word_count(text: Column, words: Iterable[str]) -> Column:
-    """Occurrences of any of ``words`` as whole words; ``text`` is lower case already."""
-    alternatives = "|".join(sorted(words, key=lambda w: (-len(w), w)))
-    return F.regexp_count(text, F.lit(rf"(?<![\p{{L}}\p{{N}}])(?:{alternatives})(?![\p{{L}}\p{{N}}])"))
+    """Occurrences of any of ``words`` as whole words (letters and digits); ``text`` is lower case already."""
+    tokens = F.regexp_extract_all(text, F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+    return F.size(F.filter(tokens, lambda token: token.isin(sorted(set(words)))))
 
 
 def fragment_count(text: Column, fragment: str) -> Column:
-    """Occurrences of one fragment anywhere, by the length that removing it takes away."""
-    return (F.length(text) - F.length(F.replace(text, F.lit(fragment), F.lit("")))) / F.lit(float(len(fragment)))
+    """Occurrences of one fragment anywhere, left to right without overlap."""
+    return F.regexp_count(text, F.lit(rf"\Q{fragment}\E"))
 
 
 def smoothed_scores(positive: Column, negative: Column) -> Column:
@@ -60,24 +61,24 @@ def smoothed_scores(positive: Column, negative: Column) -> Column:
 def lexicon_scorer(
     positive: Iterable[str] = POSITIVE_WORDS, negative: Iterable[str] = NEGATIVE_WORDS
 ) -> Scorer:
-    """Counts whole words of two lists over the whole text, inside Catalyst. Null text scores null."""
+    """Counts whole words of two lists over the whole text, inside Catalyst."""
     positive, negative = tuple(positive), tuple(negative)
 
     def score(df: DataFrame, text: str, output: str) -> DataFrame:
         lowered = F.lower(column(text))
         scores = smoothed_scores(word_count(lowered, positive), word_count(lowered, negative))
-        return df.withColumn(output, F.when(column(text).isNotNull(), scores))
+        return df.withColumn(output, scores)
 
     return score
 
 
 def fragment_scorer(positive: str, negative: str) -> Scorer:
-    """Counts two fragments over the whole text, inside Catalyst. Null text scores null."""
+    """Counts two fragments over the whole text, inside Catalyst."""
 
     def score(df: DataFrame, text: str, output: str) -> DataFrame:
         lowered = F.lower(column(text))
         scores = smoothed_scores(fragment_count(lowered, positive), fragment_count(lowered, negative))
-        return df.withColumn(output, F.when(column(text).isNotNull(), scores))
+        return df.withColumn(output, scores)
 
     return score
 
@@ -113,8 +114,7 @@ def classifier_scorer(
 
     def score(df: DataFrame, text: str, output: str) -> DataFrame:
         rows = df if partitions is None else df.repartition(require_limit(partitions))
-        scored = rows.withColumn(output, run(column(text)))
-        return scored.withColumn(output, F.when(F.col(f"{output}.positive").isNotNull(), F.col(output)))
+        return rows.withColumn(output, run(column(text)))
 
     return score
 
@@ -124,11 +124,10 @@ def ml_scorer(model, probability: str = "probability") -> Scorer:
     from pyspark.ml.functions import vector_to_array
 
     def score(df: DataFrame, text: str, output: str) -> DataFrame:
-        known = F.coalesce(column(text), F.lit(""))
-        scored = model.transform(df.withColumn("text", known))
-        p = vector_to_array(column(probability))
-        scores = F.struct(p[0].alias("negative"), p[1].alias("positive"))
-        return scored.select(*[column(c) for c in df.columns], F.when(column(text).isNotNull(), scores).alias(output))
+        own = [column(c) for c in df.columns]
+        inputs = df.select("*", F.coalesce(column(text), F.lit("")).alias("text"))
+        p = F.when(column(text).isNotNull(), vector_to_array(column(probability)))
+        return model.transform(inputs).select(*own, F.struct(p[0].alias("negative"), p[1].alias("positive")).alias(output))
 
     return score
 

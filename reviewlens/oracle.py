@@ -132,15 +132,15 @@ def _each(columns, select: str) -> str:
     return " UNION ALL ".join(select.format(c=c) for c in columns)
 
 
-def _profile(distinct: bool) -> str:
+def _profile(sketched: tuple[str, ...] = ()) -> str:
     def one(c: str) -> str:
         broken = (
             f"count(*) FILTER (WHERE {c} IS NOT NULL AND NOT regexp_full_match({c}, '{PATTERNS[c]}'))"
             if c in PATTERNS
             else "CAST(NULL AS BIGINT)"
         )
-        values = f"count(DISTINCT {c}) AS distinct_values," if distinct else ""
-        return rf"""SELECT '{c}' AS column_name, {values}
+        distinct = "CAST(NULL AS BIGINT)" if c in sketched else f"count(DISTINCT {c})"
+        return rf"""SELECT '{c}' AS column_name, {distinct} AS distinct_values,
             count(*) FILTER (WHERE {c} IS NULL OR regexp_full_match({c}, '\s*')) AS blank_rows,
             {broken} AS nonconvertible_rows,
             count(*) FILTER (WHERE {c} IS NOT NULL AND {c} <> trim({c})) AS padded_rows,
@@ -312,8 +312,8 @@ def sql() -> dict[str, str]:
             for c in CLEAN_COLUMNS
         ),
         "null_or_zero_sample": f"{sampled} ORDER BY md5('7|' || recommendationid), recommendationid LIMIT 10",
-        "column_profile": _profile(True),
-        "column_profile_sketch": _profile(False),
+        "column_profile": _profile(),
+        "column_profile_sketch": _profile(("review",)),
         "value_frequency": f"""WITH {RAW} SELECT votes_up AS value, count(*) AS row_count FROM raw_reviews
           GROUP BY 1 ORDER BY row_count DESC, value NULLS LAST LIMIT 20""",
         "value_frequency_language": f"""WITH {RAW} SELECT language AS value, count(*) AS row_count FROM raw_reviews

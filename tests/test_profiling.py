@@ -26,9 +26,13 @@ def dirty(spark):
     )
 
 
-@pytest.mark.parametrize("exact", [True, False])
-def test_profile(spark, exact):
-    found = profile_of(dirty(spark), ["voted_up", "votes_up", "weighted_vote_score", "game"], exact_distinct=exact)
+COLUMNS = ["voted_up", "votes_up", "weighted_vote_score", "game"]
+
+
+@pytest.mark.parametrize("sketch", [[], ["game"], ["game", "votes_up"], COLUMNS])
+def test_profile(spark, sketch):
+    found = profile_of(dirty(spark), COLUMNS, sketch=sketch)
+    assert sorted(found) == sorted(COLUMNS)
     assert [found[c]["blank_rows"] for c in found] == [3, 3, 3, 3]
     assert found["voted_up"]["nonconvertible_rows"] == 4  # TRUE, 2, '', blank
     assert found["votes_up"]["nonconvertible_rows"] == 4  # line break, 5.0, '', tab

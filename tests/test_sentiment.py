@@ -62,7 +62,7 @@ def test_lexicon_counts_whole_words(spark):
     assert rows[1].raw_scores.positive == pytest.approx(1 / 3)
     assert rows[2].raw_scores.positive == 0.25
     assert rows[3].sentiment == rows[5].sentiment == 0.0 and rows[3].confidence == 0.5
-    assert rows[4].sentiment is None and rows[4].confidence is None and rows[4].raw_scores is None
+    assert rows[4].sentiment is None and rows[4].confidence is None and rows[4].raw_scores == (None, None)
     assert rows[6].raw_scores.positive == pytest.approx(3 / 5)
 
 
@@ -92,7 +92,7 @@ def test_classifier_softmax_batches_and_nulls(spark, partitions):
     assert len(rows) == 21
     for row in rows:
         if row.review is None:
-            assert row.raw_scores is None and row.sentiment is None
+            assert row.raw_scores == (None, None) and row.sentiment is None
         else:
             positive = 1 / (1 + np.exp(-len(row.review)))
             assert row.raw_scores.positive == pytest.approx(positive)
