@@ -27,7 +27,11 @@ def language_codes(df: DataFrame) -> DataFrame | None:
     return None if name is None else distinct_names(df, name)
 
 
-def distinct_counts(df: DataFrame, *names: str) -> DataFrame:
-    """One row with the number of distinct non-null values of each column."""
+def distinct_counts(df: DataFrame, *names: str, approximate: bool = False) -> DataFrame:
+    """One row with the number of distinct non-null values of each column.
+
+    Exact counts shuffle the distinct values; approximate ones only a sketch per task.
+    """
     require_columns(df, names)
-    return df.agg(*[F.count_distinct(column(c)).alias(c) for c in names])
+    count = F.approx_count_distinct if approximate else F.count_distinct
+    return df.agg(*[count(column(c)).alias(c) for c in names])

@@ -7,9 +7,10 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
+from reviewlens.functions.predicates import column
 from reviewlens.operators import reports as R
 from reviewlens.operators import sentiment as T
-from reviewlens.operators.columns import require_limit
+from reviewlens.operators.columns import require_columns, require_limit
 from reviewlens.operators.filters import of_product
 from reviewlens.schema import REVIEW, ReviewColumns
 
@@ -58,6 +59,16 @@ def scored_list(rows: DataFrame, cols: ReviewColumns = REVIEW) -> DataFrame:
     return R.review_list(rows, cols.upvotes, ("sentiment", "confidence"), cols=cols)
 
 
+def _shown_columns(df: DataFrame, cols: ReviewColumns) -> DataFrame:
+    # What lists and sentiment need: caching freezes columns, so the rest has to go before it.
+    names = [
+        *cols.key, cols.author, cols.text, cols.upvotes, cols.funny_votes, cols.comments, cols.created,
+        cols.playtime, cols.language, *(("sentiment", "confidence") if T.is_scored(df) else ()),
+    ]
+    require_columns(df, names)
+    return df.select(*[column(name) for name in dict.fromkeys(names)])
+
+
 def product_report(
     df: DataFrame,
     product: str,
@@ -73,13 +84,15 @@ def product_report(
 
     The reviews are read in two ways only: narrow, for a cube of counts from which all totals add up,
     and with text, for the few reviews that can enter a top list or the sentiment sample. What the
-    sections share - cube, candidates, scored sample - is small and cached.
+    sections share - cube, candidates, scored sample - is small and cached. (Candidates are the rows of
+    the lists and whatever ties with their last place, so they are few unless a measure is coarse.)
 
     A table that has ``sentiment`` and ``confidence`` already is not scored again. To score all
     reviews (``max_reviews=None``), write such a table once with ``sentiment.score_reviews`` and
     report on it: all scored reviews of a hot product are too many to cache, and are not.
     """
     reviews = of_product(df, product, start, end, cols)
+    shown = _shown_columns(reviews, cols)
     keep = (lambda frame: frame.persist(StorageLevel.MEMORY_AND_DISK)) if persist else (lambda frame: frame)
 
     upvoted, funny, commented = (
@@ -89,8 +102,8 @@ def product_report(
     )
     deepest = R.upvote_ranking(max(top, max_reviews or 0), cols)
     cube = keep(R.report_cube(reviews, cols))
-    candidates = keep(R.ranking_candidates(reviews, [deepest, funny, commented]))
-    sample = reviews if max_reviews is None else sentiment_sample(candidates, max_reviews, False, cols)
+    candidates = keep(R.ranking_candidates(shown, [deepest, funny, commented]))
+    sample = shown if max_reviews is None else sentiment_sample(candidates, max_reviews, False, cols)
     scored = sample if T.is_scored(sample) else T.score_reviews(sample, scorer, cols)
     if max_reviews is not None:
         scored = keep(scored)

@@ -11,6 +11,7 @@ from reviewlens.operators import sentiment as T
 from reviewlens.operators.columns import drop_columns
 from reviewlens.operators.filters import of_product
 from reviewlens.plans.engagement import engagement_rows
+from reviewlens.plans.product_report import product_report
 from reviewlens.queries import QUERIES
 from reviewlens.schema import ReviewColumns
 from reviewlens.sources.sinks import write_parquet
@@ -97,6 +98,18 @@ def test_top_reviews_find_the_limit_without_text(stored):
     assert wide and all("Or(GreaterThanOrEqual(votes_up" in line and "EqualTo(game,click)" in line for line in wide)
 
 
+def test_report_caches_shown_columns_only(stored):
+    wide = stored["doc"].selectExpr("*", "game as unused_one", "review as unused_two")
+    report = product_report(wide, "click", persist=True, cols=COLS)
+    try:
+        assert not any("unused" in name for frame in report.cached for name in frame.columns)
+        assert not any("unused" in columns for frame in report.cached for columns in scans(plan(frame)))
+        cube, candidates, scored = report.cached
+        assert "review" not in cube.columns and "review" in candidates.columns and "sentiment" in scored.columns
+    finally:
+        report.unpersist()
+
+
 def test_native_scoring_stays_in_the_jvm(stored):
     text = plan(T.score_reviews(stored["doc"], T.fragment_scorer("en", "on"), COLS))
     assert "Python" not in text and "Exchange" not in text

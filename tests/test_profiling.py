@@ -109,6 +109,7 @@ def test_catalog(spark, tmp_path):
     with pytest.raises(ValueError):
         catalog.product_names(df.drop("name"))
     assert catalog.distinct_counts(df, "name").first() == (5,)
+    assert catalog.distinct_counts(df, "name", "user_language", approximate=True).first() == (5, 1)
 
     path = tmp_path / "names"
     write_names(df, "name", str(path))
