@@ -31,6 +31,7 @@ TARGET_PATTERNS: Mapping[str, str] = {
     "weighted_vote_score": FLOAT_PATTERN,
 }
 
+GROUP_LIMIT_SETTING = "spark.sql.optimizer.windowGroupLimitThreshold"
 ROW_COUNTS = ("blank_rows", "nonconvertible_rows", "padded_rows", "special_character_rows")
 
 
@@ -71,9 +72,9 @@ def profile_columns(
     sketch = list(sketch)
     exact = [c for c in columns if c not in sketch]
     if not sketch:
-        return _profile_by_value(df, exact, patterns)
+        return profile_values(value_counts(df, exact), exact, patterns)
     sketched = _profile_by_row(df, sketch, patterns)
-    return _profile_by_value(df, exact, patterns).unionAll(sketched) if exact else sketched
+    return profile_values(value_counts(df, exact), exact, patterns).unionAll(sketched) if exact else sketched
 
 
 def _profile_by_row(df: DataFrame, columns: list[str], patterns: Mapping[str, str]) -> DataFrame:
@@ -95,19 +96,26 @@ def _profile_by_row(df: DataFrame, columns: list[str], patterns: Mapping[str, st
     return _as_text(df, columns).agg(F.array(*profiles).alias("profiles")).select(F.inline("profiles"))
 
 
-def _profile_by_value(df: DataFrame, columns: list[str], patterns: Mapping[str, str]) -> DataFrame:
-    text, rows, none = F.col("value"), F.col("row_count"), F.lit(0).cast("bigint")
-    checks = _row_checks(text)
+def _nonconvertible(columns: Iterable[str], patterns: Mapping[str, str]) -> Column:
+    # For (column_name, value) rows; null for a column without a pattern.
     names_of: dict[str, list[str]] = {}
     for name in columns:
         if name in patterns:
             names_of.setdefault(patterns[name], []).append(name)
-    nonconvertible = F.lit(None).cast("boolean")
+    test = F.lit(None).cast("boolean")
     for pattern, names in names_of.items():
-        applies = F.col("column_name").isin(names)
-        nonconvertible = F.when(applies, breaks_pattern(text, pattern)).otherwise(nonconvertible)
-    checks["nonconvertible_rows"] = nonconvertible
-    return value_counts(df, columns).groupBy("column_name").agg(
+        test = F.when(F.col("column_name").isin(names), breaks_pattern(F.col("value"), pattern)).otherwise(test)
+    return test
+
+
+def profile_values(
+    values: DataFrame, columns: Iterable[str], patterns: Mapping[str, str] = TARGET_PATTERNS
+) -> DataFrame:
+    """:func:`profile_columns` from the :func:`value_counts` of the columns."""
+    text, rows, none = F.col("value"), F.col("row_count"), F.lit(0).cast("bigint")
+    checks = _row_checks(text)
+    checks["nonconvertible_rows"] = _nonconvertible(columns, patterns)
+    return values.groupBy("column_name").agg(
         F.count("value").alias("distinct_values"),
         *[F.sum(F.when(checks[c], rows).when(~checks[c], none)).alias(c) for c in ROW_COUNTS],
     )
@@ -131,20 +139,36 @@ def nonconvertible_values(
 ) -> DataFrame:
     """Up to ``n`` distinct values per column that break the column's pattern, in ascending order.
 
-    The bad values are kept in the scan, made distinct before the shuffle, and cut to ``n`` per
-    column on both sides of the ranking shuffle, so no column is ever sorted whole in one task.
+    Good values are dropped in the scan, bad ones are made distinct before the shuffle and cut to
+    ``n`` per column on both sides of the ranking shuffle: no column is sorted whole in one task.
     """
     columns = [c for c in columns if c in patterns]
     text = _as_text(df, columns)
     bad = text.select(*[F.when(breaks_pattern(column(c), patterns[c]), column(c)).alias(c) for c in columns])
     values = bad.unpivot([], [column(c) for c in columns], "column_name", "value")
     values = values.where(F.col("value").isNotNull()).distinct()
-    first = Window.partitionBy("column_name").orderBy("value")
-    return (
-        values.withColumn("position", F.row_number().over(first))
-        .where(F.col("position") <= require_limit(n))
-        .select("column_name", "value")
-    )
+    return first_per_column(values, [F.asc("value")], n).select("column_name", "value")
+
+
+def nonconvertible_in_values(
+    values: DataFrame, columns: Iterable[str], n: int = 10, patterns: Mapping[str, str] = TARGET_PATTERNS
+) -> DataFrame:
+    """:func:`nonconvertible_values` from the :func:`value_counts` of the columns."""
+    bad = values.where(_nonconvertible(columns, patterns)).select("column_name", "value")
+    return first_per_column(bad, [F.asc("value")], n).select("column_name", "value")
+
+
+def first_per_column(values: DataFrame, order: list[Column], n: int) -> DataFrame:
+    """The first ``n`` rows of every column with their ``position``; each task passes on n rows at most.
+
+    Spark cuts the groups before the shuffle up to a limit of its own, 1000 unless the session says
+    otherwise; more rows than that are refused. ``value_frequency`` lists any number for one column.
+    """
+    most = int(values.sparkSession.conf.get(GROUP_LIMIT_SETTING))
+    if require_limit(n) > most:
+        raise ValueError(f"at most {most} rows per column ({GROUP_LIMIT_SETTING}), not {n}")
+    position = F.row_number().over(Window.partitionBy("column_name").orderBy(*order))
+    return values.withColumn("position", position).where(F.col("position") <= n)
 
 
 def null_or_zero_rows(df: DataFrame, name: str) -> DataFrame:

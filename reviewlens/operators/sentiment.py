@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from reviewlens.functions import sentiment as S
 from reviewlens.functions.predicates import column
 from reviewlens.operators.columns import require_columns, require_limit
+from reviewlens.operators.reports import top_rows, upvote_ranking
 from reviewlens.schema import REVIEW, ReviewColumns
 
 Scorer = Callable[[DataFrame, str, str], DataFrame]
@@ -157,13 +158,20 @@ def overall_sentiment(scored: DataFrame) -> DataFrame:
 
 
 def extreme_reviews(
-    scored: DataFrame, positive: bool = True, count: int = EXTREME_REVIEWS, cols: ReviewColumns = REVIEW
+    scored: DataFrame,
+    positive: bool = True,
+    count: int = EXTREME_REVIEWS,
+    prefilter: bool = False,
+    cols: ReviewColumns = REVIEW,
 ) -> DataFrame:
-    """The most upvoted positive (or negative) reviews; the limits themselves belong to both sides."""
+    """The most upvoted positive (or negative) reviews; the limits themselves belong to both sides.
+
+    ``prefilter`` as in ``reports.top_rows``: for stored scores, since it would run a model twice.
+    """
     require_columns(scored, ["sentiment", cols.upvotes, *cols.key])
     test = S.is_positive if positive else S.is_negative
-    order = [F.desc_nulls_last(column(cols.upvotes)), *[F.asc_nulls_last(column(c)) for c in cols.key]]
-    return scored.where(test(F.col("sentiment"))).orderBy(*order).limit(require_limit(count))
+    ranking = upvote_ranking(require_limit(count), cols)
+    return top_rows(scored.where(test(F.col("sentiment"))), ranking, prefilter, cols)
 
 
 def sentiment_histogram(scored: DataFrame, bins: int = S.HISTOGRAM_BINS) -> DataFrame:

@@ -156,6 +156,27 @@ def _half_up(value: str, digits: int) -> str:
     return f"CAST(round(CAST({value} AS DECIMAL(38, 10)), {digits}) AS DOUBLE)"
 
 
+def _profile_report() -> str:
+    counted = _each(RAW_COLUMNS, "SELECT '{c}' AS column_name, {c} AS value, count(*) AS n FROM raw_reviews GROUP BY 2")
+    broken = " OR ".join(
+        f"(column_name = '{c}' AND NOT regexp_full_match(value, '{p}'))" for c, p in PATTERNS.items()
+    )
+    return rf"""WITH {RAW}, counted AS ({counted}),
+      ranked AS (SELECT *,
+        row_number() OVER (PARTITION BY column_name ORDER BY n DESC, value NULLS LAST) AS by_count,
+        row_number() OVER (PARTITION BY column_name ORDER BY value NULLS LAST) AS by_value FROM counted),
+      bad AS (SELECT *, row_number() OVER (PARTITION BY column_name ORDER BY value) AS by_bad
+        FROM counted WHERE value IS NOT NULL AND ({broken})),
+      counts AS (SELECT column_name, count(value) AS d,
+        CAST(coalesce(sum(n) FILTER (WHERE value IS NULL OR regexp_full_match(value, '\s*')), 0) AS BIGINT) AS b
+        FROM counted GROUP BY 1)
+      SELECT 'distinct' AS section, column_name, CAST(NULL AS VARCHAR) AS value, d AS amount FROM counts
+      UNION ALL SELECT 'blank', column_name, NULL, b FROM counts
+      UNION ALL SELECT 'frequent', column_name, value, n FROM ranked WHERE by_count <= 20
+      UNION ALL SELECT 'sample', column_name, value, by_value FROM ranked WHERE by_value <= 20
+      UNION ALL SELECT 'nonconvertible', column_name, value, NULL FROM bad WHERE by_bad <= 10"""
+
+
 TOTALS = f"""total_reviews, avg_playtime, early_access_count,
   {_half_up('avg_playtime / 60', 1)} AS avg_playtime_hours,
   {_half_up('early_access_count * 100 / total_reviews', 1)} AS early_access_percent"""
@@ -314,6 +335,7 @@ def sql() -> dict[str, str]:
         "null_or_zero_sample": f"{sampled} ORDER BY md5('7|' || recommendationid), recommendationid LIMIT 10",
         "column_profile": _profile(),
         "column_profile_sketch": _profile(("review",)),
+        "column_profile_report": _profile_report(),
         "value_frequency": f"""WITH {RAW} SELECT votes_up AS value, count(*) AS row_count FROM raw_reviews
           GROUP BY 1 ORDER BY row_count DESC, value NULLS LAST LIMIT 20""",
         "value_frequency_language": f"""WITH {RAW} SELECT language AS value, count(*) AS row_count FROM raw_reviews

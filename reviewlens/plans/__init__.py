@@ -1 +1 @@
-"""Whole jobs: cleaning, engagement, product report."""
+"""Whole jobs: cleaning, column profile, engagement, product report."""

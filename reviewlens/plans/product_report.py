@@ -104,9 +104,11 @@ def product_report(
     cube = keep(R.report_cube(reviews, cols))
     candidates = keep(R.ranking_candidates(shown, [deepest, funny, commented]))
     sample = shown if max_reviews is None else sentiment_sample(candidates, max_reviews, False, cols)
-    scored = sample if T.is_scored(sample) else T.score_reviews(sample, scorer, cols)
+    stored = T.is_scored(sample)
+    scored = sample if stored else T.score_reviews(sample, scorer, cols)
     if max_reviews is not None:
         scored = keep(scored)
+    whole_table = stored and max_reviews is None
 
     return ProductReport(
         summary=R.summary_from_cube(cube),
@@ -118,8 +120,8 @@ def product_report(
         top_commented=R.top_reviews(candidates, commented, False, cols),
         scored=scored,
         overall=T.overall_sentiment(scored),
-        positive=scored_list(T.extreme_reviews(scored, True, cols=cols), cols),
-        negative=scored_list(T.extreme_reviews(scored, False, cols=cols), cols),
+        positive=scored_list(T.extreme_reviews(scored, True, prefilter=whole_table, cols=cols), cols),
+        negative=scored_list(T.extreme_reviews(scored, False, prefilter=whole_table, cols=cols), cols),
         histogram=T.sentiment_histogram(scored),
         cached=(cube, candidates, *((scored,) if max_reviews is not None else ())) if persist else (),
     )

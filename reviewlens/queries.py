@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -18,6 +19,7 @@ from reviewlens.operators.filters import between_days, of_product
 from reviewlens.plans.cleaning import clean_to_parquet
 from reviewlens.plans.engagement import engagement_rows
 from reviewlens.plans.product_report import product_report, scored_list, sentiment_sample
+from reviewlens.plans.profile import profile_report
 from reviewlens.schema import EXPLORE_CASTS, RAW_SCHEMA
 from reviewlens.sources.readers import read_parquet, read_raw_csv
 from reviewlens.sources.scratch import scratch_path
@@ -215,6 +217,28 @@ def column_profile_sketch(spark, sf):
     return profile.withColumn("distinct_values", exact)
 
 
+@register
+def column_profile_report(spark, sf):
+    """Every section of the profile bundle as rows (section, column_name, value, amount)."""
+    raw = raw_reviews(spark, sf)
+    report = profile_report(raw, raw.columns, persist=False)
+
+    def rows(section: str, frame: DataFrame, value, amount) -> DataFrame:
+        return frame.select(
+            F.lit(section).alias("section"), "column_name", value.alias("value"), amount.cast("bigint").alias("amount")
+        )
+
+    none = F.lit(None).cast("string")
+    parts = [
+        rows("distinct", report.counts, none, F.col("distinct_values")),
+        rows("blank", report.counts, none, F.col("blank_rows")),
+        rows("frequent", report.frequent_values, F.col("value"), F.col("row_count")),
+        rows("sample", report.sample_values, F.col("value"), F.col("position")),
+        rows("nonconvertible", report.nonconvertible_values, F.col("value"), F.lit(None)),
+    ]
+    return reduce(DataFrame.unionAll, parts)
+
+
 @register
 def value_frequency(spark, sf):
     return profiling.value_frequency(raw_reviews(spark, sf), "votes_up")
@@ -376,10 +400,7 @@ def game_report(spark, sf):
         rows("negative", r.negative, "review_id", "sentiment"),
         rows("histogram", r.histogram, "bucket", "review_count"),
     ]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionAll(part)
-    return result
+    return reduce(DataFrame.unionAll, parts)
 
 
 # ---------------------------------------------------------------- sentiment

@@ -19,10 +19,12 @@ def read_raw_csv(
     schema: T.StructType = RAW_SCHEMA,
     multiline: bool = True,
     null_value: str = "",
+    mode: str = "PERMISSIVE",
 ) -> DataFrame:
     """A CSV export with a header and doubled quotes, every column as declared (text for raw reviews).
 
-    A malformed number of columns fails the read: rows are neither dropped nor shifted silently.
+    Values a short row lacks become null, for the audit to count and the completeness filter to drop;
+    ``mode="FAILFAST"`` raises on a row with the wrong number of values.
 
     Quoted line breaks need ``multiline``, and such a file is read by one task: export in many files,
     or pass ``multiline=False`` when no value holds a line break, which lets Spark split files.
@@ -34,7 +36,7 @@ def read_raw_csv(
         .option("quote", '"')
         .option("escape", '"')
         .option("nullValue", null_value)
-        .option("mode", "FAILFAST")
+        .option("mode", mode)
         .csv(path)
     )
 

@@ -12,6 +12,7 @@ from reviewlens.operators.columns import drop_columns
 from reviewlens.operators.filters import of_product
 from reviewlens.plans.engagement import engagement_rows
 from reviewlens.plans.product_report import product_report
+from reviewlens.plans.profile import profile_report
 from reviewlens.queries import QUERIES
 from reviewlens.schema import ReviewColumns
 from reviewlens.sources.sinks import write_parquet
@@ -77,8 +78,15 @@ def test_audits_read_the_table_once(stored):
 
 
 def test_bad_values_are_cut_before_the_ranking_shuffle(stored):
-    text = plan(profiling.nonconvertible_values(stored["raw"], ["votes_up", "voted_up"]))
-    assert "WindowGroupLimit" in text and "Partial" in text
+    report = profile_report(stored["raw"], ["votes_up", "voted_up", "game"], persist=False)
+    for df in (
+        profiling.nonconvertible_values(stored["raw"], ["votes_up", "voted_up"]),
+        report.frequent_values,
+        report.sample_values,
+        report.nonconvertible_values,
+    ):
+        text = plan(df)
+        assert "WindowGroupLimit" in text and "Partial" in text and len(scans(text)) == 1
 
 
 def test_totals_do_not_read_text(stored):

@@ -2,7 +2,10 @@ import datetime as dt
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from reviewlens.operators import catalog, profiling
+from reviewlens.plans.profile import profile_report
 from reviewlens.sources.sinks import write_names
 
 
@@ -44,6 +47,24 @@ def test_profile(spark, sketch):
     assert found["game"]["distinct_values"] == 6
 
 
+@pytest.mark.parametrize("persist", [True, False])
+def test_report_equals_its_parts(spark, persist):
+    df = dirty(spark)
+    with profile_report(df, COLUMNS, frequent=3, sample=4, bad=2, persist=persist) as report:
+        counts = {row.column_name: row.asDict() for row in report.counts.collect()}
+        assert counts == profile_of(df, COLUMNS)
+        for name in COLUMNS:
+            frequent = report.frequent_values.where(F.col("column_name") == name).orderBy("position")
+            expected = profiling.value_frequency(df, name, 3)
+            assert frequent.select("value", "row_count").collect() == expected.collect()
+            sampled = report.sample_values.where(F.col("column_name") == name).orderBy("position")
+            assert sampled.select("value").collect() == profiling.distinct_sample(df, name, 4).collect()
+        bad = sorted(report.nonconvertible_values.collect())
+        assert bad == sorted(profiling.nonconvertible_values(df, COLUMNS, 2).collect())
+        assert {row.column_name for row in bad} == {"voted_up", "votes_up", "weighted_vote_score"}
+    assert not any(frame.is_cached for frame in report.cached)
+
+
 def test_profile_of_typed_columns(spark):
     df = spark.createDataFrame(
         [(1, True, dt.datetime(2024, 1, 1)), (None, None, None)], "votes_up int, voted_up boolean, t timestamp"
@@ -69,6 +90,8 @@ def test_nonconvertible_values_are_cut_per_column(spark):
     rows = profiling.nonconvertible_values(df, df.columns).collect()
     assert sorted(row.value for row in rows) == [f"x{i:02d}" for i in range(10)]
     assert {row.column_name for row in rows} == {"votes_up"}
+    with pytest.raises(ValueError, match="1000"):
+        profiling.nonconvertible_values(df, df.columns, 1001)
 
 
 def test_null_or_zero_by_type(spark):

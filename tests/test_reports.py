@@ -198,13 +198,13 @@ def test_report_on_nothing_is_empty(spark, game, days):
     assert all(rows == [] for rows in got.values())
 
 
-def test_report_uses_scores_the_table_has(spark):
+@pytest.mark.parametrize("max_reviews", [1000, None])
+def test_report_uses_scores_the_table_has(spark, max_reviews):
     df = doc_reviews(spark, SMALL)
     scorer = T.fragment_scorer("en", "on")
-    fresh = product_report(df, "click", scorer=scorer, persist=False, cols=DOC_REVIEWS)
-    stored = product_report(
-        T.score_reviews(df, scorer, DOC_REVIEWS), "click", scorer=None, persist=False, cols=DOC_REVIEWS
-    )
+    options = {"max_reviews": max_reviews, "persist": False, "cols": DOC_REVIEWS}
+    fresh = product_report(df, "click", scorer=scorer, **options)
+    stored = product_report(T.score_reviews(df, scorer, DOC_REVIEWS), "click", scorer=None, **options)
     assert sections(fresh) == sections(stored)
 
 

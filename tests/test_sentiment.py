@@ -52,7 +52,7 @@ def test_extremes_include_their_limits(spark):
     )
     assert [r.review_id for r in T.extreme_reviews(rows, True, cols=COLS).collect()] == [3, 1, 6]
     assert [r.review_id for r in T.extreme_reviews(rows, False, cols=COLS).collect()] == [4, 5]
-    assert [r.review_id for r in T.extreme_reviews(rows, False, 1, COLS).collect()] == [4]
+    assert [r.review_id for r in T.extreme_reviews(rows, False, 1, prefilter=True, cols=COLS).collect()] == [4]
 
 
 def test_lexicon_counts_whole_words(spark):
