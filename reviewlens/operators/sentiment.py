@@ -128,7 +128,8 @@ def ml_scorer(model, probability: str = "probability") -> Scorer:
         own = [column(c) for c in df.columns]
         inputs = df.select("*", F.coalesce(column(text), F.lit("")).alias("text"))
         p = F.when(column(text).isNotNull(), vector_to_array(column(probability)))
-        return model.transform(inputs).select(*own, F.struct(p[0].alias("negative"), p[1].alias("positive")).alias(output))
+        scores = F.struct(p[0].alias("negative"), p[1].alias("positive"))
+        return model.transform(inputs).select(*own, scores.alias(output))
 
     return score
 

@@ -281,7 +281,8 @@ def sql() -> dict[str, str]:
     top_games = games.format("") + " ORDER BY count DESC, game LIMIT 10"
     dated = f"WHERE {SALES_DAYS}"
     names = " UNION ALL ".join(f"SELECT '{code}' AS code, '{name}' AS name" for code, name in LANGUAGE_NAMES.items())
-    sampled = f"WITH {EXPLORED} SELECT recommendationid, votes_funny FROM typed WHERE votes_funny IS NULL OR votes_funny = 0"
+    zero = _null_or_zero("votes_funny")
+    sampled = f"WITH {EXPLORED} SELECT recommendationid, votes_funny FROM typed WHERE {zero}"
     return {
         "top_games": f"WITH {SALES} {top_games}",
         "top_games_dated": f"WITH {SALES} {games.format(dated)} ORDER BY count DESC, game LIMIT 20",
@@ -298,16 +299,16 @@ def sql() -> dict[str, str]:
         "top_authors_by_upvotes": f"""WITH {SALES} {authors.format(dated)}
           ORDER BY total_upvotes DESC, author_id LIMIT 10""",
         "engagement_all": f"""WITH {SALES}, g AS ({games.format(dated)}), a AS ({authors.format(dated)}),
+          by_games AS (SELECT *, row_number() OVER (ORDER BY count DESC, game) AS p FROM g),
+          by_count AS (SELECT *, row_number() OVER (ORDER BY review_count DESC, author_id) AS p FROM a),
+          by_upvotes AS (SELECT *, row_number() OVER (ORDER BY total_upvotes DESC, author_id) AS p FROM a),
           boards AS (
-            SELECT 'top_games' AS metric, CAST(row_number() OVER (ORDER BY count DESC, game) AS INT) AS position,
-              game AS key, count AS review_count, CAST(NULL AS BIGINT) AS total_upvotes FROM g
-            UNION ALL
-            SELECT 'top_authors_by_count', CAST(row_number() OVER (ORDER BY review_count DESC, author_id) AS INT),
-              author_id, review_count, total_upvotes FROM a
-            UNION ALL
-            SELECT 'top_authors_by_upvotes', CAST(row_number() OVER (ORDER BY total_upvotes DESC, author_id) AS INT),
-              author_id, review_count, total_upvotes FROM a)
-          SELECT * FROM boards WHERE position <= 10""",
+            SELECT 'top_games' AS metric, p, game AS key, 'count' AS measure, count AS value FROM by_games
+            UNION ALL SELECT 'top_authors_by_count', p, author_id, 'review_count', review_count FROM by_count
+            UNION ALL SELECT 'top_authors_by_count', p, author_id, 'total_upvotes', total_upvotes FROM by_count
+            UNION ALL SELECT 'top_authors_by_upvotes', p, author_id, 'review_count', review_count FROM by_upvotes
+            UNION ALL SELECT 'top_authors_by_upvotes', p, author_id, 'total_upvotes', total_upvotes FROM by_upvotes)
+          SELECT metric, CAST(p AS INT) AS position, key, measure, value FROM boards WHERE p <= 10""",
         "drop_columns_schema": f"WITH {RAW} SELECT {', '.join(CLEAN_COLUMNS)} FROM raw_reviews",
         "clean_cast": f"WITH {TYPED} SELECT * FROM typed",
         "explore_cast": f"WITH {EXPLORED} SELECT * FROM typed",
@@ -346,7 +347,8 @@ def sql() -> dict[str, str]:
             f"WHERE {c} IS NOT NULL AND NOT regexp_full_match({c}, '{p}') ORDER BY value LIMIT 10)"
             for c, p in PATTERNS.items()
         ),
-        "distinct_sample": f"WITH {RAW} SELECT DISTINCT game AS value FROM raw_reviews ORDER BY value NULLS LAST LIMIT 20",
+        "distinct_sample": f"""WITH {RAW} SELECT DISTINCT game AS value FROM raw_reviews
+          ORDER BY value NULLS LAST LIMIT 20""",
         "distinct_games": f"WITH {RAW} SELECT DISTINCT game FROM raw_reviews WHERE game <> '' ORDER BY game",
         "distinct_languages": f"WITH {RAW} SELECT DISTINCT language FROM raw_reviews WHERE language <> '' ORDER BY 1",
         "catalog_counts": f"""WITH {RAW} SELECT count(DISTINCT game) AS game,
@@ -376,7 +378,8 @@ def sql() -> dict[str, str]:
           FROM found LEFT JOIN names ON language = code""",
         "top_upvoted": f"WITH {DOC} SELECT {_shown('votes_up')} FROM ({_top('votes_up')})",
         "top_funny": f"WITH {DOC} SELECT {_shown('votes_funny')} FROM ({_top('votes_funny')})",
-        "top_commented": f"""WITH {DOC} SELECT {_shown('comment_count')}, left(author_steamid, 8) || '...' AS author_short
+        "top_commented": f"""WITH {DOC} SELECT {_shown('comment_count')},
+            left(author_steamid, 8) || '...' AS author_short
           FROM ({_top('comment_count', f'{GAME} AND {DOC_DAYS}')})""",
         "top_upvoted_by_language": f"""WITH {DOC} SELECT {_shown('votes_up')} FROM ({_top('votes_up')})
           WHERE language = 'de' ORDER BY votes_up DESC, review_id LIMIT 10""",

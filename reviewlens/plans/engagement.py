@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
@@ -70,31 +71,24 @@ def engagement_report(
 def engagement_rows(
     df: DataFrame, games_k: int = 10, authors_k: int = 10, start=None, end=None, cols: ReviewColumns = REVIEW
 ) -> DataFrame:
-    """The three leaderboards as one table: (metric, position, key, review_count, total_upvotes).
+    """The three leaderboards as one long table: (metric, position, key, measure, value).
 
     Both author boards keep the same aggregate, so Spark reuses its shuffle and reads the authors once.
     """
     _check(df, cols)
+    games = L.product_totals(df, start, end, cols)
     authors = L.author_totals(df, start, end, cols)
+    author_measures = ("review_count", "total_upvotes")
     boards = (
-        (
-            "top_games",
-            L.product_totals(df, start, end, cols).withColumn("total_upvotes", F.lit(None).cast("bigint")),
-            L.product_order(),
-            games_k,
-            ("game", "count"),
-        ),
-        ("top_authors_by_count", authors, L.author_count_order(), authors_k, ("author_id", "review_count")),
-        ("top_authors_by_upvotes", authors, L.author_upvote_order(), authors_k, ("author_id", "review_count")),
+        ("top_games", games, "game", L.product_order(), games_k, ("count",)),
+        ("top_authors_by_count", authors, "author_id", L.author_count_order(), authors_k, author_measures),
+        ("top_authors_by_upvotes", authors, "author_id", L.author_upvote_order(), authors_k, author_measures),
     )
-    parts = [
-        L.with_position(totals.orderBy(*order).limit(require_limit(k)), order).select(
-            F.lit(metric).alias("metric"),
-            "position",
-            F.col(key).cast("string").alias("key"),
-            F.col(count).alias("review_count"),
-            "total_upvotes",
+    parts = []
+    for metric, totals, key, order, k, measures in boards:
+        top = L.with_position(totals.orderBy(*order).limit(require_limit(k)), order)
+        board = top.select(
+            F.lit(metric).alias("metric"), "position", F.col(key).cast("string").alias("key"), *measures
         )
-        for metric, totals, order, k, (key, count) in boards
-    ]
-    return parts[0].unionAll(parts[1]).unionAll(parts[2])
+        parts.append(board.unpivot(["metric", "position", "key"], list(measures), "measure", "value"))
+    return reduce(DataFrame.unionAll, parts)

@@ -63,7 +63,9 @@ def write_names(df: DataFrame, name: str, path: str, single_file: bool = True, m
     (names.coalesce(1) if single_file else names).write.mode(mode).text(path)
 
 
-def export(df: DataFrame, path: str, file_format: str = "parquet", null_value: str = "", mode: str = "overwrite") -> None:
+def export(
+    df: DataFrame, path: str, file_format: str = "parquet", null_value: str = "", mode: str = "overwrite"
+) -> None:
     """Any result as ``parquet`` or ``csv`` with a header and doubled quotes.
 
     In CSV an empty text is written as ``""`` and null as ``null_value``. Spark's CSV reader takes a

@@ -144,15 +144,15 @@ def test_report_equals_its_parts(spark, persist):
 
 def test_rows_form_equals_report(spark):
     df = sales_reviews(spark, SMALL)
-    rows = engagement_rows(df, 7, 5).collect()
-    boards = {m: [r for r in rows if r.metric == m] for m in {r.metric for r in rows}}
-    games = [(r.key, r.review_count) for r in sorted(boards["top_games"], key=lambda r: r.position)]
-    assert games == [tuple(r) for r in leaderboards.top_products(df, 7).collect()]
-    authors = [
-        (r.key, r.total_upvotes, r.review_count)
-        for r in sorted(boards["top_authors_by_upvotes"], key=lambda r: r.position)
-    ]
-    assert authors == [tuple(r) for r in leaderboards.top_authors_by_upvotes(df, 5).collect()]
+    value = {(r.metric, r.position, r.measure): (r.key, r.value) for r in engagement_rows(df, 7, 5).collect()}
+    assert len(value) == 7 + 5 * 2 + 5 * 2
+    for position, (game, count) in enumerate(leaderboards.top_products(df, 7).collect(), 1):
+        assert value["top_games", position, "count"] == (game, count)
+    for position, (author, reviews_of) in enumerate(leaderboards.top_authors_by_count(df, 5).collect(), 1):
+        assert value["top_authors_by_count", position, "review_count"] == (author, reviews_of)
+    for position, (author, votes, reviews_of) in enumerate(leaderboards.top_authors_by_upvotes(df, 5).collect(), 1):
+        assert value["top_authors_by_upvotes", position, "total_upvotes"] == (author, votes)
+        assert value["top_authors_by_upvotes", position, "review_count"] == (author, reviews_of)
 
 
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])

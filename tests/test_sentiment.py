@@ -48,7 +48,8 @@ def test_overall_is_weighted_by_confidence(spark):
 
 def test_extremes_include_their_limits(spark):
     rows = scored(
-        spark, [(1, 1, 0.2, 1.0), (2, 9, 0.19, 1.0), (3, 5, 0.9, 1.0), (4, 7, -0.2, 1.0), (5, 7, -0.9, 1.0), (6, None, 1.0, 1.0)]
+        spark,
+        [(1, 1, 0.2, 1.0), (2, 9, 0.19, 1.0), (3, 5, 0.9, 1.0), (4, 7, -0.2, 1.0), (5, 7, -0.9, 1.0), (6, None, 1.0, 1.0)],
     )
     assert [r.review_id for r in T.extreme_reviews(rows, True, cols=COLS).collect()] == [3, 1, 6]
     assert [r.review_id for r in T.extreme_reviews(rows, False, cols=COLS).collect()] == [4, 5]
@@ -56,7 +57,9 @@ def test_extremes_include_their_limits(spark):
 
 
 def test_lexicon_counts_whole_words(spark):
-    df = texts(spark, "Good, GOOD good!", "goods are bad-ish", "awful... refund", "", None, "no opinion", "good good bad")
+    df = texts(
+        spark, "Good, GOOD good!", "goods are bad-ish", "awful... refund", "", None, "no opinion", "good good bad"
+    )
     rows = {r.review_id: r for r in T.score_reviews(df, cols=COLS).collect()}
     assert rows[0].raw_scores.positive == 0.8 and abs(rows[0].sentiment - 0.6) < 1e-12
     assert rows[1].raw_scores.positive == pytest.approx(1 / 3)
