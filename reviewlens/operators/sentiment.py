@@ -120,16 +120,24 @@ def classifier_scorer(
     return score
 
 
-def ml_scorer(model, probability: str = "probability") -> Scorer:
-    """Applies a fitted Spark ML pipeline that reads a ``text`` column and yields two probabilities."""
+def ml_scorer(model, input_column: str = "text", probability: str = "probability") -> Scorer:
+    """Applies a fitted two-class Spark ML pipeline that reads ``input_column`` and writes ``probability``.
+
+    Load the pipeline from storage: right after fitting, a model may still hold its session through
+    its training summary, which Spark cannot send to tasks once the session has observed a write.
+    """
     from pyspark.ml.functions import vector_to_array
 
     def score(df: DataFrame, text: str, output: str) -> DataFrame:
-        own = [column(c) for c in df.columns]
-        inputs = df.select("*", F.coalesce(column(text), F.lit("")).alias("text"))
-        p = F.when(column(text).isNotNull(), vector_to_array(column(probability)))
+        # The review travels as one struct, so that no column of it clashes with the pipeline's.
+        inputs = df.select(
+            F.struct(*[column(c) for c in df.columns]).alias("scored_review"),
+            F.coalesce(column(text), F.lit("")).alias(input_column),
+        )
+        known = F.col("scored_review")[text].isNotNull()
+        p = F.when(known, vector_to_array(column(probability)))
         scores = F.struct(p[0].alias("negative"), p[1].alias("positive"))
-        return model.transform(inputs).select(*own, scores.alias(output))
+        return model.transform(inputs).select("scored_review.*", scores.alias(output))
 
     return score
 

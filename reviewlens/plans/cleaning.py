@@ -41,6 +41,9 @@ def clean_to_parquet(
     By default the job is one map-only stage and the audit is observed while it writes: one scan.
     ``files`` and ``clustered`` add a shuffle, before which a rerun task would be observed twice, so
     there the audit is an aggregate of its own: two scans.
+
+    After an observed write Spark cannot send a model to tasks that was fitted in the same session;
+    save and load it first, see ``sentiment.ml_scorer``.
     """
     typed = convert_types(drop_columns(raw, unused), casts)
     fields = typed.schema.fields

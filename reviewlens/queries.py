@@ -473,7 +473,7 @@ def sentiment_plugin(spark, sf):
 
 @register
 def sentiment_ml(spark, sf):
-    from pyspark.ml import Pipeline
+    from pyspark.ml import Pipeline, PipelineModel
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import HashingTF, RegexTokenizer
 
@@ -487,7 +487,9 @@ def sentiment_ml(spark, sf):
             LogisticRegression(maxIter=10, regParam=0.01),
         ]
     )
-    scorer = T.ml_scorer(pipeline.fit(labelled))
+    path = scratch_path(spark, "model")
+    pipeline.fit(labelled).save(path)
+    scorer = T.ml_scorer(PipelineModel.load(path))
     return _score_columns(T.score_reviews(doc_reviews(spark, sf), scorer, DOC_REVIEWS))
 
 

@@ -121,6 +121,28 @@ def test_classifier_loads_once_per_task_and_scores_each_text_once(spark):
     assert loads.value == 2 and seen.value == 100
 
 
+def test_pipeline_scorer_keeps_the_columns_it_gets(spark, tmp_path):
+    from pyspark.ml import Pipeline, PipelineModel
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import HashingTF, Tokenizer
+
+    train = spark.createDataFrame([("good fun", 1.0), ("bad bad", 0.0)] * 5, "text string, label double")
+    stages = [
+        Tokenizer(inputCol="text", outputCol="words"),
+        HashingTF(inputCol="words", outputCol="features", numFeatures=64),
+        LogisticRegression(maxIter=5),
+    ]
+    Pipeline(stages=stages).fit(train).save(str(tmp_path / "model"))
+    model = PipelineModel.load(str(tmp_path / "model"))
+    rows = [("good", 1, "w"), ("bad", 2, None), (None, 3, "w")]
+    df = spark.createDataFrame(rows, "text string, label int, words string")
+    scored = T.score_reviews(df, T.ml_scorer(model), ReviewColumns(text="text"))
+    assert scored.columns == [*df.columns, "raw_scores", "sentiment", "confidence"]
+    good, bad, unknown = scored.orderBy("label").collect()
+    assert good.sentiment > 0.5 > -0.5 > bad.sentiment
+    assert (unknown.text, unknown.sentiment, unknown.raw_scores) == (None, None, (None, None))
+
+
 def test_failing_model_fails_the_job(spark):
     def load():
         def model(batch):
