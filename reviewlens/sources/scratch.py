@@ -2,21 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder that ``spark.checkpoint.dir`` names.
+    """A new path in the folder that ``spark.checkpoint.dir`` names, or else in ``spark.sql.warehouse.dir``.
 
-    Without that setting a local session gets a temporary folder; a cluster session is refused,
-    because executors do not share a machine's own folders.
+    Both are folders that all executors share. What is written there is deleted when the session's JVM ends.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="reviewlens-")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch"
+    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
