@@ -2,8 +2,7 @@
 
 Each rule votes good, bad, or abstains. The votes of a document are one of at most ``3 ** rules`` patterns, and
 Spark counts the patterns: these counts are all that expectation-maximisation needs to estimate how accurate
-each rule is, without labels. A document is kept by its posterior probability of being good, so that one
-accurate rule can outweigh several weak ones, and a rule that errs does not decide alone.
+each rule is, without labels. A document is kept by its posterior probability of being good.
 """
 
 from __future__ import annotations
@@ -140,7 +139,7 @@ def few_marks(t: Table) -> np.ndarray:
 
 def mostly_letters(t: Table) -> np.ndarray:
     x = _share(t["n_letters"], t["word_chars"])
-    return _between(x, x >= 0.85, x < 0.6)
+    return _between(x, x >= 0.93, x < 0.8)
 
 
 def many_words(t: Table) -> np.ndarray:
@@ -175,52 +174,72 @@ def base_failed(table: Table) -> np.ndarray:
     return (table["n_words"] < LEAST_WORDS) | (100 * table["n_repeat_words"] > 50 * table["n_words"])
 
 
+#: A document is of a rule's kind of bad only if that rule calls it bad: so surely at least.
+ANCHOR = 0.9
+
+
 @dataclass(frozen=True)
 class LabelModel:
-    """``prior`` of a good document; ``votes[rule, class, vote]`` probabilities of good and bad votes."""
+    """What expectation-maximisation has found.
+
+    Bad documents are of several kinds, whose votes have little in common (symbols, repetition, capitals), so
+    the model has one class of good documents, first, and for each rule one class of bad ones that this
+    rule finds. ``weight[class]`` are their shares and ``bad[class, rule]`` the probabilities that a rule
+    which votes calls a document of the class bad.
+    """
 
-    prior: float
-    votes: np.ndarray
+    weight: np.ndarray
+    bad: np.ndarray
 
-    @property
-    def accuracies(self) -> np.ndarray:
-        """Per rule, the probability that its vote is right, of a (bad, good) document it votes on."""
-        return np.stack([self.votes[:, BAD, BAD], self.votes[:, GOOD, GOOD]], axis=1)
+    def classes(self, patterns: np.ndarray) -> np.ndarray:
+        """Posterior of each class for each vote pattern; a rule that abstains adds nothing."""
+        votes = _votes(patterns, self.bad.shape[1])
+        odds = np.log(self.weight) + (votes == BAD) @ np.log(self.bad).T + (votes == GOOD) @ np.log(1 - self.bad).T
+        # The rule that defines a kind of bad must call the document bad; an abstention counts against it.
+        odds[:, 1:] += (votes == ABSTAIN) * np.log(1 - ANCHOR)
+        odds = np.exp(odds - odds.max(axis=1, keepdims=True, initial=-np.inf))
+        return odds / odds.sum(axis=1, keepdims=True)
 
     def posterior(self, patterns: np.ndarray) -> np.ndarray:
-        """Probability of being good; a rule that abstains adds nothing."""
-        odds = np.full(len(patterns), np.log(self.prior / (1 - self.prior)))
-        for rule in range(len(self.votes)):
-            vote = patterns // 3**rule % 3
-            step = np.log(self.votes[rule, GOOD] / self.votes[rule, BAD])
-            odds += np.where(vote == ABSTAIN, 0.0, step[np.minimum(vote, GOOD)])
-        return 1 / (1 + np.exp(-np.clip(odds, -500, 500)))
+        """Probability of being good."""
+        return self.classes(patterns)[:, 0]
+
+    def accuracies(self, patterns: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Per rule, the share of its (bad, good) votes that the posterior agrees with; nan without such votes."""
+        votes, good = _votes(patterns, self.bad.shape[1]), self.posterior(patterns)
+        with np.errstate(invalid="ignore"):
+            pairs = [((votes == v).T @ (counts * right), (votes == v).T @ counts) for v, right in ((BAD, 1 - good), (GOOD, good))]
+            return np.stack([right / cast for right, cast in pairs], axis=1)
+
+
+def _votes(patterns: np.ndarray, n_rules: int) -> np.ndarray:
+    return patterns[:, None] // 3 ** np.arange(n_rules) % 3
 
 
 def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200, n_rules: int = len(RULES)) -> LabelModel:
     """Expectation-maximisation on the counts of vote patterns.
 
-    It starts from documents being bad the surer the more rules call them bad. One document's worth of
-    votes for either answer smooths each probability, so nothing is ever certain or undefined; without
-    any documents the smoothing alone is left.
+    It starts from rules being right: they rarely call good documents bad. One vote of each kind, weighted by
+    that start, smooths each probability, so nothing is ever certain; without documents the start is left.
     """
-    vote = np.stack([patterns // 3**r % 3 for r in range(n_rules)], axis=1) if len(patterns) else np.zeros((0, n_rules))
-    good = 0.9 * 0.2 ** (vote == BAD).sum(axis=1)
-    weights = counts.astype(float)
-    model = None
+    start = np.full((n_rules + 1, n_rules), 0.1)
+    start[0] = 0.002
+    anchors = (np.arange(1, n_rules + 1), np.arange(n_rules))
+    start[anchors] = 0.95
+    model = LabelModel(np.array([0.9, *[0.1 / n_rules] * n_rules]), start)
+    if not len(patterns):
+        return model
+    votes, last = _votes(patterns, n_rules), None
     for _ in range(rounds):
-        by_class = np.stack([(1 - good) * weights, good * weights])
-        votes = np.empty((n_rules, 2, 2))
-        for r in range(n_rules):
-            for answer in (BAD, GOOD):
-                votes[r, :, answer] = by_class @ (vote[:, r] == answer) + 1
-        votes /= votes.sum(axis=2, keepdims=True)
-        prior = (by_class[GOOD].sum() + 1) / (weights.sum() + 2)
-        model = LabelModel(float(prior), votes)
-        found = model.posterior(patterns) if len(patterns) else good
-        if len(patterns) == 0 or np.abs(found - good).max() < 1e-9:
+        found = model.classes(patterns)
+        if last is not None and np.abs(found - last).max() < 1e-9:
             break
-        good = found
+        last, held = found, found.T * counts
+        bad, good = held @ (votes == BAD), held @ (votes == GOOD)
+        rates = (bad + start) / (bad + good + 1)
+        rates[anchors] = np.maximum(rates[anchors], ANCHOR)
+        weight = (held.sum(axis=1) + 1 / n_rules) / (counts.sum() + (n_rules + 1) / n_rules)
+        model = LabelModel(weight, np.clip(rates, 1e-6, 1 - 1e-6))
     return model
 
 
