@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 
 from reviewlens.llm.common import map_batches
 
-#: Entries that a worker process remembers before it starts afresh: bounds its memory, not the work.
-REMEMBERED = 300_000
+#: Entries of each of two generations that a worker process remembers: bounds its memory, not the work.
+REMEMBERED = 250_000
 LONGEST_KEY = 256
 END = "</w>"
 #: What the vocabulary's own pattern takes as white space, as a word, and as special text.
@@ -39,18 +39,23 @@ _not_white_to_onig = re.compile(r"[\x1c-\x1f]").search
 
 
 class Remembered(dict):
-    """A dict that fills itself by ``make`` and starts afresh when it is full."""
+    """A dict that fills itself by ``make``. When it is full it becomes the old one, from which what is used is taken over."""
 
     def __init__(self, make):
         super().__init__()
         self.make = make
+        self.old: dict = {}
 
     def __missing__(self, key):
-        value = self.make(key)
-        if len(key) <= LONGEST_KEY:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[key] = value
+        value = self.old.pop(key, None)
+        if value is None:
+            value = self.make(key)
+            if len(key) > LONGEST_KEY:
+                return value
+        if len(self) >= REMEMBERED:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
         return value
 
 
@@ -110,8 +115,7 @@ class Codec:
             whole = vocab[left + right]
             self.rank[whole], self.parts[whole] = rank, (vocab[left], vocab[right])
             self.merged[vocab[left], vocab[right]] = whole
-        self.compatible = Remembered(self._compatible)
-        self.words = Remembered(self._encode_word)
+        self.known: dict[int, bool] = {}
         self.encoded = Remembered(self._encode_chunk)
         self.decoded = Remembered(self._decode_ids)
 
@@ -121,58 +125,71 @@ class Codec:
         self.blob = b"".join(names)
         self.offset = [0, *np.cumsum([len(n) for n in names]).tolist()]
 
-    def _compatible(self, pair: tuple[int, int]) -> bool:
-        """Whether merging in rank order leaves ``left`` and ``right`` as two tokens.
+    def compatible(self, left: int, right: int) -> bool:
+        """Whether merging in rank order leaves ``left`` and ``right`` as two tokens; remembered per pair.
 
         Undoes the later of the two merges again and again. While two inner tokens stood side by side, a
         merge of them would have come first if its rank is lower than that of the merge just undone; at
         equal rank the one further left comes first.
         """
-        left, right = pair
+        key = left << 20 | right
         rank, parts, merged = self.rank, self.parts, self.merged
-        before = len(self.merged) + 1
+        before, found = len(self.merged) + 1, True
         while True:
             joined = merged.get((left, right))
             if joined is not None and rank[joined] < before:
-                return False
+                found = False
+                break
             if rank[left] < 0 and rank[right] < 0:
-                return True
+                break
             if rank[left] > rank[right]:
                 before, left = rank[left], parts[left][1]
             else:
                 before, right = rank[right] + 1, parts[right][0]
+        if len(self.known) >= 2 * REMEMBERED:
+            self.known.clear()
+        self.known[key] = found
+        return found
 
     def _encode_word(self, word: str) -> bytes:
-        raw = word.encode("utf-8").decode("latin-1")
+        raw = word if word.isascii() else word.encode("utf-8").decode("latin-1")
         text = raw[:-1] + chr(256 + ord(raw[-1]))
-        n, length, shorter, compatible = len(text), self.length, self.shorter, self.compatible
+        n, length, shorter, known = len(text), self.length, self.shorter, self.known
         longest = [-1] * n
         for end, token in self.automaton.iter(text):  # ends ascend, so the last match of a start is its longest
             longest[end + 1 - length[token]] = token
-        open_at = [True] * (n + 1)
+        open_at = bytearray(b"\1") * (n + 1)
         found: list[int] = []
-        at, token = 0, longest[0]
-        while at < n:
-            last = found[-1] if found else -1
+        at, last, token = 0, -1, longest[0]
+        while True:
+            pair = last << 20
             while token >= 0:
                 end = at + length[token]
-                if open_at[end] and (last < 0 or compatible[last, token]):
-                    break
+                if open_at[end]:
+                    if last < 0:
+                        break
+                    fits = known.get(pair | token)
+                    if fits or (fits is None and self.compatible(last, token)):
+                        break
                 token = shorter[token]
             if token >= 0:
                 found.append(token)
-                at = end
-                token = longest[at] if at < n else -1
+                if end == n:
+                    return pack(f"<{len(found)}I", *found)
+                at, last, token = end, token, longest[end]
             else:
-                open_at[at] = False
+                open_at[at] = 0
                 token = found.pop()
                 at -= length[token]
                 token = shorter[token]
-        return pack(f"<{len(found)}I", *found)
+                last = found[-1] if found else -1
 
     def _encode_chunk(self, chunk: str) -> bytes:
-        pieces = _pieces(chunk)
-        return self.words[pieces[0]] if len(pieces) == 1 else b"".join([self.words[p] for p in pieces])
+        if chunk.isalpha():
+            return self._encode_word(chunk)
+        pieces = (chunk[:-1], chunk[-1]) if chunk[-1] in ".,;:" and chunk[:-1].isalpha() else _pieces(chunk)
+        encoded = self.encoded
+        return b"".join([encoded[p] for p in pieces]) if len(pieces) > 1 else self._encode_word(chunk)
 
     def _decode_ids(self, ids: bytes) -> bytes:
         blob, offset = self.blob, self.offset

@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 
 from reviewlens.sources.scratch import scratch_path
 
+#: Rows that a Python function is given at a time, so that what it makes of them stays small.
+ROWS = 1024
 #: White space as the contracts of word counts have it; ``bytes.split()`` splits at exactly these.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -27,13 +29,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def portions(batches: Iterable[pa.RecordBatch], rows: int = ROWS) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], dict], schema: T.StructType | str) -> DataFrame:
     """``function`` gives the columns of the result for each Arrow batch; there is no shuffle."""
     target = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     names = target.fieldNames()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             columns = function(batch)
             yield pa.RecordBatch.from_arrays(
                 [x if isinstance(x, pa.Array) else pa.array(x) for x in (columns[n] for n in names)], names=names
@@ -47,7 +55,7 @@ def keep_rows(df: DataFrame, text: str, keep: Callable[[list], np.ndarray]) -> D
     position = df.columns.index(text)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             yield batch.filter(pa.array(keep(batch.column(position).to_pylist()), pa.bool_()))
 
     return df.mapInArrow(run, df.schema)

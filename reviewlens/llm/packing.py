@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewlens.llm.bpe import codec
-from reviewlens.llm.common import map_batches, stored
+from reviewlens.llm.common import portions, stored
 
 WINDOW = 4096
 END_OF_TEXT = 2
@@ -204,7 +204,7 @@ def tokenized(docs: DataFrame, path: str, window: int = WINDOW, end: int = END_O
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, part, seen = codec(path), TaskContext.get().partitionId(), defaultdict(int)
         tail = np.array([end], "<u4").tobytes()
-        for batch in batches:
+        for batch in portions(batches):
             doc, start, length, total, ids, ordinal = [], [], [], [], [], []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 every = b"".join([*own.encode_parts(text), tail])
@@ -246,28 +246,29 @@ def pack(docs: DataFrame, path: str, window: int = WINDOW, end: int = END_OF_TEX
     offsets = stored(
         counts.select("length", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("skip")), "piece-offsets"
     )
-    ranked = pieces.join(offsets, ["length", "part"], "left").select(
-        "doc_id", "start", "length", "doc_tokens", "ids", (F.col("skip") + F.col("ordinal")).alias("rank")
+    spot = "array<struct<start:long,length:long,sequence_id:long,offset:long>>"
+
+    @F.arrow_udf(spot)
+    def spots(whole: pa.Array, rank: pa.Array) -> pa.Array:
+        found = places.value.find(whole.to_numpy(zero_copy_only=False), rank.to_numpy(zero_copy_only=False))
+        names = ["start", "length", "sequence_id", "offset"]
+        ends = np.concatenate(([0], np.cumsum(np.bincount(found["piece"], minlength=len(whole)))))
+        parts = pa.StructArray.from_arrays([pa.array(found[n], pa.int64()) for n in names], names=names)
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), parts)
+
+    # Only lengths and ranks cross to Python; the ids stay where they are.
+    placed = pieces.join(offsets, ["length", "part"], "left").select(
+        "doc_id", "start", "doc_tokens", "ids", F.explode(spots("length", F.col("skip") + F.col("ordinal"))).alias("spot")
+    )
+    return placed.select(
+        "doc_id",
+        (F.col("start") + F.col("spot.start")).alias("start"),
+        "spot.length",
+        "doc_tokens",
+        F.substring("ids", (4 * F.col("spot.start") + 1).cast("int"), (4 * F.col("spot.length")).cast("int")).alias("ids"),
+        "spot.sequence_id",
+        "spot.offset",
     )
-
-    def run(batch: pa.RecordBatch) -> dict:
-        whole, rank = (batch.column(i).to_numpy(zero_copy_only=False) for i in (2, 5))
-        found = places.value.find(whole, rank)
-        piece = pa.array(found["piece"])
-        doc, start, total, ids = (batch.column(i).take(piece) for i in (0, 1, 3, 4))
-        spans = zip(ids.to_pylist(), found["start"].tolist(), found["length"].tolist(), strict=True)
-        return {
-            "doc_id": doc,
-            "start": start.to_numpy(zero_copy_only=False) + found["start"],
-            "length": found["length"],
-            "doc_tokens": total,
-            "ids": pa.array([x[4 * s : 4 * (s + n)] for x, s, n in spans], pa.binary()),
-            "sequence_id": found["sequence_id"],
-            "offset": found["offset"],
-        }
-
-    columns = "doc_id long, start long, length long, doc_tokens long, ids binary, sequence_id long, offset long"
-    return map_batches(ranked, run, columns)
 
 
 def sequences(packed: DataFrame) -> DataFrame:
