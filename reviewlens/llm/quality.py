@@ -75,8 +75,11 @@ _tables: tuple[np.ndarray, np.ndarray] | None = None
 def _case_table() -> tuple[np.ndarray, np.ndarray]:
     global _tables
     if _tables is None:
-        every = [chr(c) for c in range(0x110000)]
-        _tables = np.fromiter((c.isupper() for c in every), bool), np.fromiter((c.isalpha() for c in every), bool)
+        codes = range(0x110000)
+        _tables = (
+            np.fromiter((chr(c).isupper() for c in codes), bool, len(codes)),
+            np.fromiter((chr(c).isalpha() for c in codes), bool, len(codes)),
+        )
     return _tables
 
 

@@ -1,7 +1,7 @@
 """One query per operator, over its whole table; they derive the digest columns from the operators' results.
 
-``ORACLE_SQL`` has SQL where it can express the result on whole tables: op4 and op10. The others are tested
-against brute force, round trips or held-out accuracy in ``tests/llm``.
+``ORACLE_SQL`` has SQL where it can express the result on whole tables: op4, whose test pages hold no redirects
+and no canonical links. The others are tested against brute force, round trips or held-out accuracy in ``tests/llm``.
 """
 
 from __future__ import annotations
@@ -101,4 +101,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLE_SQL: dict[str, str] = {}
+
+def _url_sql() -> str:
+    rules = ", ".join(
+        f"('{r.host}', '{r.path}', '{r.name}', '{r.verdict}')" for r in map(url_filter.parse, URL_RULES)
+    )
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return f"""WITH rules(h, p, name, v) AS (VALUES {rules}),
+      parts AS (SELECT page_id,
+        translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), '{upper}', '{upper.lower()}') AS host,
+        regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages)
+      SELECT page_id, host, path, arg_max(name, length(name)) AS rule,
+        coalesce(arg_max(v, length(name)), 'allow') AS verdict
+      FROM parts LEFT JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+      GROUP BY page_id, host, path"""
+
+
+ORACLE_SQL: dict[str, str] = {"op4_url_filters": _url_sql()}

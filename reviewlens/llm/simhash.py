@@ -155,7 +155,9 @@ def drop_near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, radius: in
         found.where("doc_id = component_id").groupBy(F.col("doc_id").alias("__kept")).agg(F.count("*").alias("__rows")),
         "kept-documents",
     )
-    kept = docs.join(chosen, docs["doc_id"].cast("long") == chosen["__kept"]).select(*[docs[c] for c in docs.columns])
+    # The kept ids grow with the documents: a shuffle join at every size.
+    same = docs["doc_id"].cast("long") == chosen["__kept"]
+    kept = docs.join(chosen.hint("merge"), same).select(*[docs[c] for c in docs.columns])
     if not chosen.where("__rows > 1").isEmpty():
         kept = kept.dropDuplicates(["doc_id"])
     nameless = docs.where("doc_id is null")
