@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from reviewlens.schema import ReviewColumns
+from reviewlens.schema import LANGUAGE_NAMES, ReviewColumns
 
 # ``doc_reviews`` has a row id that breaks ties.
 DOC_REVIEWS = ReviewColumns(key=("review_id",))
@@ -63,6 +63,19 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(*[c.alias(name) for name, c in columns.items()])
 
 
+def dirty_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``raw_reviews`` with padded names, malformed floats and the codes of the language dimension."""
+    event = F.col("recommendationid").cast("bigint")
+    codes = F.array(*[F.lit(code) for code in sorted(LANGUAGE_NAMES)])
+    return raw_reviews(spark, sf_dir).withColumns(
+        {
+            "game": F.when(event % 7 == 0, F.concat(F.lit(" "), F.col("game"))).otherwise(F.col("game")),
+            "weighted_vote_score": F.when(event % 31 == 0, F.lit("0.5.1")).otherwise(F.col("weighted_vote_score")),
+            "language": F.element_at(codes, (event % len(LANGUAGE_NAMES) + 1).cast("int")),
+        }
+    )
+
+
 def doc_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed reviews with real text and a row id."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")

@@ -9,10 +9,10 @@ MIN_UNIX_SECONDS = -62135596800
 MAX_UNIX_SECONDS = 253402300799
 
 
-def to_whole_number(c: Column, dtype: T.DataType, allow_fractional: bool = False) -> Column:
-    """Whole number or null. ``'1.0'`` is malformed unless ``allow_fractional`` truncates it."""
+def to_whole_number(c: Column, dtype: T.DataType, allow_fractional: bool = True) -> Column:
+    """Whole number or null. ``'12.0'`` is truncated to 12, or malformed if ``allow_fractional`` is false."""
     if allow_fractional:
-        c = c.try_cast("decimal(38,6)")
+        c = c.try_cast("decimal(38,18)")
     return c.try_cast(dtype)
 
 
@@ -22,7 +22,7 @@ def unix_to_timestamp(seconds: Column) -> Column:
     return F.when(whole.between(MIN_UNIX_SECONDS, MAX_UNIX_SECONDS), F.timestamp_seconds(whole))
 
 
-def convert(field: T.StructField, target: T.DataType, allow_fractional: bool = False) -> Column:
+def convert(field: T.StructField, target: T.DataType, allow_fractional: bool = True) -> Column:
     """Expression turning one column into ``target``; a column that has the type already is left alone."""
     c = F.col(f"`{field.name}`")
     if field.dataType == target or (

@@ -8,9 +8,8 @@ from functools import reduce
 
 from pyspark.sql import Column, functions as F, types as T
 
-# Patterns and words of the conversion checks (fixed values). \A and \z anchor the whole value,
+# Patterns of the conversion checks (fixed values). \A and \z anchor the whole value,
 # also when it ends in a line break.
-BOOLEAN_WORDS = ("0", "1", "true", "false", "t", "f", "yes", "no", "y", "n")
 BOOLEAN_PATTERN = r"\A(0|1|true|false|t|f|yes|no|y|n)\z"
 INTEGER_PATTERN = r"\A-?\d+\z"
 FLOAT_PATTERN = r"\A-?\d+(\.\d*)?\z"

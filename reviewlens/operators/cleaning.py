@@ -12,7 +12,7 @@ from reviewlens.operators.columns import drop_columns, require_columns
 from reviewlens.schema import CLEAN_CASTS, UNUSED_COLUMNS, CastSpec
 
 
-def convert_types(df: DataFrame, casts: CastSpec = CLEAN_CASTS, allow_fractional: bool = False) -> DataFrame:
+def convert_types(df: DataFrame, casts: CastSpec = CLEAN_CASTS, allow_fractional: bool = True) -> DataFrame:
     """Apply a cast spec in one projection. Malformed and overflowing values become null."""
     targets = casts.target_types()
     require_columns(df, targets)
@@ -63,7 +63,7 @@ def clean_reviews(
     raw: DataFrame,
     casts: CastSpec = CLEAN_CASTS,
     unused: Iterable[str] = UNUSED_COLUMNS,
-    allow_fractional: bool = False,
+    allow_fractional: bool = True,
 ) -> DataFrame:
     """Drop unused columns, convert types, keep complete rows: one scan, no shuffle."""
     return drop_incomplete(convert_types(drop_columns(raw, unused), casts, allow_fractional))

@@ -10,29 +10,31 @@ from reviewlens.functions.predicates import as_date, column, on_days
 from reviewlens.operators.columns import require_columns
 from reviewlens.schema import REVIEW, ReviewColumns
 
-YEAR_COLUMN = "review_year"
-
-
-def between_days(df: DataFrame, start=None, end=None, created: str = REVIEW.created) -> DataFrame:
+def between_days(
+    df: DataFrame, start=None, end=None, created: str = REVIEW.created, created_year: str | None = None
+) -> DataFrame:
     """Reviews of ``start`` to ``end``, both days included; a bound left out is open.
 
     The test is a plain range on the clock, which Parquet row groups and pages are pruned by.
-    On a table partitioned by ``review_year`` whole directories are pruned too; their range is a
-    day wider on both sides because the year may have been taken in another session zone.
+    ``created_year`` names a partition column with the year of this same clock: whole directories are
+    then pruned too. Their range is a day wider on both sides because the year may have been taken in
+    another session zone.
     """
     if start is None and end is None:
         return df
     require_columns(df, [created])
     result = df.where(on_days(column(created), start, end))
-    if YEAR_COLUMN in df.columns:
+    if created_year is not None:
+        require_columns(df, [created_year])
         if start is not None:
-            result = result.where(F.col(YEAR_COLUMN) >= (as_date(start) - dt.timedelta(days=1)).year)
+            result = result.where(column(created_year) >= (as_date(start) - dt.timedelta(days=1)).year)
         if end is not None:
-            result = result.where(F.col(YEAR_COLUMN) <= (as_date(end) + dt.timedelta(days=1)).year)
+            result = result.where(column(created_year) <= (as_date(end) + dt.timedelta(days=1)).year)
     return result
 
 
 def of_product(df: DataFrame, product: str, start=None, end=None, cols: ReviewColumns = REVIEW) -> DataFrame:
     """Reviews of exactly this product (case-sensitive, untrimmed) in a day range."""
     require_columns(df, [cols.product])
-    return between_days(df.where(column(cols.product) == F.lit(product)), start, end, cols.created)
+    chosen = df.where(column(cols.product) == F.lit(product))
+    return between_days(chosen, start, end, cols.created, cols.created_year)

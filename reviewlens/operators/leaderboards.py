@@ -17,14 +17,14 @@ from reviewlens.schema import REVIEW, ReviewColumns
 def product_totals(df: DataFrame, start=None, end=None, cols: ReviewColumns = REVIEW) -> DataFrame:
     """(game, count): reviews per product; a null product is a group of its own."""
     require_columns(df, [cols.product])
-    rows = between_days(df, start, end, cols.created)
+    rows = between_days(df, start, end, cols.created, cols.created_year)
     return rows.groupBy(column(cols.product).alias("game")).agg(F.count(F.lit(1)).alias("count"))
 
 
 def author_totals(df: DataFrame, start=None, end=None, cols: ReviewColumns = REVIEW) -> DataFrame:
     """(author_id, total_upvotes, review_count): unknown votes add nothing, their reviews count."""
     require_columns(df, [cols.author, cols.upvotes])
-    rows = between_days(df, start, end, cols.created)
+    rows = between_days(df, start, end, cols.created, cols.created_year)
     return rows.groupBy(column(cols.author).alias("author_id")).agg(
         F.sum(column(cols.upvotes)).alias("total_upvotes"),
         F.count(F.lit(1)).alias("review_count"),
@@ -51,7 +51,7 @@ def top_products(df: DataFrame, k: int = 10, start=None, end=None, cols: ReviewC
 def top_authors_by_count(df: DataFrame, k: int = 10, start=None, end=None, cols: ReviewColumns = REVIEW) -> DataFrame:
     """The ``k`` authors with most reviews: (author_id, review_count)."""
     require_columns(df, [cols.author])
-    rows = between_days(df, start, end, cols.created)
+    rows = between_days(df, start, end, cols.created, cols.created_year)
     totals = rows.groupBy(column(cols.author).alias("author_id")).agg(F.count(F.lit(1)).alias("review_count"))
     return totals.orderBy(*author_count_order()).limit(require_limit(k))
 

@@ -31,7 +31,8 @@ TARGET_PATTERNS: Mapping[str, str] = {
     "weighted_vote_score": FLOAT_PATTERN,
 }
 
-GROUP_LIMIT_SETTING = "spark.sql.optimizer.windowGroupLimitThreshold"
+# How many parts of a column are ranked on their own before the column is.
+RANKED_PARTS = 64
 ROW_COUNTS = ("blank_rows", "nonconvertible_rows", "padded_rows", "special_character_rows")
 
 
@@ -63,37 +64,52 @@ def profile_columns(
 ) -> DataFrame:
     """One row of counts per column: distinct, blank, non-convertible, padded, special characters.
 
-    ``nonconvertible_rows`` is null for a column without a pattern. All columns are counted by value
-    in one scan and one shuffle of the distinct values, and each value is checked once. Name columns
-    of free text in ``sketch``: they are profiled row by row in a plain aggregate that shuffles
-    nothing but counts, and their number of distinct values is approximate. An empty table has no
-    exact rows.
+    ``nonconvertible_rows`` is null for a column without a pattern. One scan checks every row; what is
+    shuffled is a digest of each distinct value with its counts, so its size does not depend on
+    how long the texts are. For columns in ``sketch`` the number of distinct values is approximate and
+    nothing but counts is shuffled. An empty table gives a row of zeros per column.
     """
-    sketch = list(sketch)
-    exact = [c for c in columns if c not in sketch]
-    if not sketch:
-        return profile_values(value_counts(df, exact), exact, patterns)
-    sketched = _profile_by_row(df, sketch, patterns)
-    return profile_values(value_counts(df, exact), exact, patterns).unionAll(sketched) if exact else sketched
-
-
-def _profile_by_row(df: DataFrame, columns: list[str], patterns: Mapping[str, str]) -> DataFrame:
-    profiles = []
+    columns, sketch = list(columns), set(sketch)
+    known = [c for c in columns if c in patterns]
+    values = []
     for name in columns:
-        checks = _row_checks(column(name))
-        if name in patterns:
-            checks["nonconvertible_rows"] = breaks_pattern(column(name), patterns[name])
-        profiles.append(
+        text = column(name)
+        checks = _row_checks(text)
+        checks["nonconvertible_rows"] = breaks_pattern(text, patterns[name]) if name in patterns else F.lit(False)
+        digest = F.unhex(F.md5(text)) if name not in sketch else F.lit(None).cast("binary")
+        values.append(
             F.struct(
                 F.lit(name).alias("column_name"),
-                F.approx_count_distinct(column(name)).alias("distinct_values"),
-                *[
-                    (F.count_if(checks[c]) if c in checks else F.lit(None).cast("bigint")).alias(c)
-                    for c in ROW_COUNTS
-                ],
+                digest.alias("digest"),
+                text.isNotNull().alias("known"),
+                (F.xxhash64(text) if name in sketch else F.lit(None).cast("bigint")).alias("sketched"),
+                *[F.coalesce(checks[c], F.lit(False)).alias(c) for c in ROW_COUNTS],
             )
         )
-    return _as_text(df, columns).agg(F.array(*profiles).alias("profiles")).select(F.inline("profiles"))
+    rows = _as_text(df, columns).select(F.explode(F.array(*values)).alias("v")).select("v.*")
+    counted = rows.groupBy("column_name", "digest", "known").agg(
+        *[F.count_if(c).alias(c) for c in ROW_COUNTS], F.approx_count_distinct("sketched").alias("approximate")
+    )
+    empty = df.sparkSession.range(1).select(
+        F.explode(F.array(*[F.lit(c) for c in columns])).alias("column_name"),
+        F.lit(None).cast("binary").alias("digest"),
+        F.lit(False).alias("known"),
+        *[F.lit(0).cast("bigint").alias(c) for c in ROW_COUNTS],
+        F.lit(0).cast("bigint").alias("approximate"),
+    )
+    totals = counted.unionByName(empty).groupBy("column_name").agg(
+        F.count_if(F.col("digest").isNotNull()).alias("exact"),
+        F.max(F.when(F.col("known"), F.col("approximate"))).alias("approximate"),
+        *[F.sum(c).alias(c) for c in ROW_COUNTS],
+    )
+    approximate = F.coalesce("approximate", F.lit(0).cast("bigint"))
+    distinct = F.when(F.col("column_name").isin(sorted(sketch)), approximate).otherwise(F.col("exact"))
+    checked = F.when(F.col("column_name").isin(known), F.col("nonconvertible_rows"))
+    return totals.select(
+        "column_name",
+        distinct.alias("distinct_values"),
+        *[(checked.alias(c) if c == "nonconvertible_rows" else F.col(c)) for c in ROW_COUNTS],
+    )
 
 
 def _nonconvertible(columns: Iterable[str], patterns: Mapping[str, str]) -> Column:
@@ -108,19 +124,6 @@ def _nonconvertible(columns: Iterable[str], patterns: Mapping[str, str]) -> Colu
     return test
 
 
-def profile_values(
-    values: DataFrame, columns: Iterable[str], patterns: Mapping[str, str] = TARGET_PATTERNS
-) -> DataFrame:
-    """:func:`profile_columns` from the :func:`value_counts` of the columns."""
-    text, rows, none = F.col("value"), F.col("row_count"), F.lit(0).cast("bigint")
-    checks = _row_checks(text)
-    checks["nonconvertible_rows"] = _nonconvertible(columns, patterns)
-    return values.groupBy("column_name").agg(
-        F.count("value").alias("distinct_values"),
-        *[F.sum(F.when(checks[c], rows).when(~checks[c], none)).alias(c) for c in ROW_COUNTS],
-    )
-
-
 def value_frequency(df: DataFrame, name: str, n: int = 20) -> DataFrame:
     """The ``n`` most frequent values; ties by value, null last."""
     require_columns(df, [name])
@@ -159,16 +162,16 @@ def nonconvertible_in_values(
 
 
 def first_per_column(values: DataFrame, order: list[Column], n: int) -> DataFrame:
-    """The first ``n`` rows of every column with their ``position``; each task passes on n rows at most.
+    """The first ``n`` rows of every column with their ``position``.
 
-    Spark cuts the groups before the shuffle up to a limit of its own, 1000 unless the session says
-    otherwise; more rows than that are refused. ``value_frequency`` lists any number for one column.
+    The values of a column are ranked in parts, and the first ``n`` of each part once more: no task
+    sorts a whole column, whatever ``n``.
     """
-    most = int(values.sparkSession.conf.get(GROUP_LIMIT_SETTING))
-    if require_limit(n) > most:
-        raise ValueError(f"at most {most} rows per column ({GROUP_LIMIT_SETTING}), not {n}")
+    part = F.pmod(F.xxhash64("value"), F.lit(RANKED_PARTS))
+    within = Window.partitionBy("column_name", part).orderBy(*order)
+    first = values.withColumn("position", F.row_number().over(within)).where(F.col("position") <= require_limit(n))
     position = F.row_number().over(Window.partitionBy("column_name").orderBy(*order))
-    return values.withColumn("position", position).where(F.col("position") <= n)
+    return first.withColumn("position", position).where(F.col("position") <= n)
 
 
 def null_or_zero_rows(df: DataFrame, name: str) -> DataFrame:

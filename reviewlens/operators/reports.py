@@ -6,7 +6,7 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from reviewlens.functions.display import acquisition, day, day_text, hours, shorten
 from reviewlens.functions.predicates import column
@@ -115,13 +115,32 @@ def available_languages(df: DataFrame, language: str = REVIEW.language) -> DataF
 
 @dataclass(frozen=True)
 class Ranking:
-    """A row-level top-k: by one measure, descending, nulls last, ties by the key."""
+    """A row-level top-k: by one measure, descending, nulls last, ties by the key, then by all that is shown."""
 
     measure: str
     k: int = TOP_REVIEWS
 
-    def order(self, cols: ReviewColumns) -> list[Column]:
-        return [F.desc_nulls_last(column(self.measure)), *[F.asc_nulls_last(column(c)) for c in cols.key]]
+    def place(self, df: DataFrame, cols: ReviewColumns) -> Column:
+        """Measure and key as one struct that sorts like the ranking, in ascending order."""
+        measure = column(self.measure)
+        whole = isinstance(df.schema[self.measure].dataType, T.IntegralType)
+        parts = [measure.isNull(), F.bitwise_not(measure) if whole else -measure]
+        for name in cols.key:
+            parts += [column(name).isNull(), column(name)]
+        return F.struct(*[part.alias(f"p{i}") for i, part in enumerate(parts)])
+
+    def order(self, df: DataFrame, cols: ReviewColumns) -> list[Column]:
+        # Rows that agree in measure and key are told apart by a digest of what a list shows of them.
+        shown = [c for c in _shown(cols) if c in df.columns and c not in cols.key and c != self.measure]
+        digest = [F.xxhash64(*[column(c) for c in shown])] if shown else []
+        keys = [F.asc_nulls_last(column(c)) for c in cols.key]
+        return [F.desc_nulls_last(column(self.measure)), *keys, *digest]
+
+
+def _shown(cols: ReviewColumns) -> list[str]:
+    return [
+        cols.author, cols.text, cols.upvotes, cols.funny_votes, cols.comments, cols.created, cols.playtime, cols.language,
+    ]
 
 
 def upvote_ranking(k: int = TOP_REVIEWS, cols: ReviewColumns = REVIEW) -> Ranking:
@@ -136,22 +155,26 @@ def comment_ranking(k: int = TOP_REVIEWS, cols: ReviewColumns = REVIEW) -> Ranki
     return Ranking(cols.comments, k)
 
 
-def _may_rank(df: DataFrame, ranking: Ranking) -> Column:
-    # The k-th largest measure comes from a scan of that one column. Rows below it cannot be in the
-    # top k, ties with it and nulls stay in, so the exact ranking above decides.
+def _may_rank(df: DataFrame, ranking: Ranking, cols: ReviewColumns) -> Column:
+    # The place of the k-th row comes from a scan of measure and key. Rows behind it are out, also where
+    # the measure is flat or unknown. The test of the measure alone says less, but reaches the Parquet scan.
     measure = column(ranking.measure)
-    largest = df.select(measure.alias("m")).orderBy(F.desc_nulls_last("m")).limit(require_limit(ranking.k))
-    return (measure >= largest.agg(F.min("m")).scalar()) | measure.isNull()
+    places = df.select(ranking.place(df, cols).alias("place"), measure.alias("m"))
+    last = places.orderBy("place").limit(require_limit(ranking.k)).agg(
+        F.max("place").alias("place"), F.min("m").alias("m")
+    )
+    ahead = ranking.place(df, cols) <= last.select("place").scalar()
+    return ((measure >= last.select("m").scalar()) | measure.isNull()) & ahead
 
 
-def ranking_candidates(df: DataFrame, rankings: list[Ranking]) -> DataFrame:
-    """A superset of the rows of all ``rankings``: the few reviews whose text has to be read.
+def ranking_candidates(df: DataFrame, rankings: list[Ranking], cols: ReviewColumns = REVIEW) -> DataFrame:
+    """The rows of all ``rankings`` and what ties with their last rows in measure and key: all that has to be read.
 
     The limits are scalar subqueries, known before the wide scan starts, so Parquet skips row groups
     and pages that hold no candidate.
     """
-    require_columns(df, [r.measure for r in rankings])
-    return df.where(reduce(lambda left, right: left | right, [_may_rank(df, r) for r in rankings]))
+    require_columns(df, [*cols.key, *[r.measure for r in rankings]])
+    return df.where(reduce(lambda left, right: left | right, [_may_rank(df, r, cols) for r in rankings]))
 
 
 def top_rows(df: DataFrame, ranking: Ranking, prefilter: bool = True, cols: ReviewColumns = REVIEW) -> DataFrame:
@@ -161,8 +184,8 @@ def top_rows(df: DataFrame, ranking: Ranking, prefilter: bool = True, cols: Revi
     scan. The result is the same.
     """
     require_columns(df, [ranking.measure, *cols.key])
-    rows = ranking_candidates(df, [ranking]) if prefilter else df
-    return rows.orderBy(*ranking.order(cols)).limit(require_limit(ranking.k))
+    rows = ranking_candidates(df, [ranking], cols) if prefilter else df
+    return rows.orderBy(*ranking.order(rows, cols)).limit(require_limit(ranking.k))
 
 
 def review_list(
@@ -192,17 +215,23 @@ def top_reviews(df: DataFrame, ranking: Ranking, prefilter: bool = True, cols: R
     return review_list(top_rows(df, ranking, prefilter, cols), ranking.measure, cols=cols)
 
 
+def of_language(df: DataFrame, language: str | None, cols: ReviewColumns = REVIEW) -> DataFrame:
+    """Reviews in one language; all of them for ``all`` or no language. The test reaches the scan."""
+    require_columns(df, [cols.language])
+    return df if not language or language == ALL_LANGUAGES else df.where(column(cols.language) == F.lit(language))
+
+
 def in_language(
-    rows: DataFrame, ranking: Ranking, language: str | None, limit: int = 10, cols: ReviewColumns = REVIEW
+    df: DataFrame, ranking: Ranking, language: str | None, limit: int = 10, cols: ReviewColumns = REVIEW
 ) -> DataFrame:
-    """First ``limit`` rows in one language of a ranking's rows; all of them for ``all`` or no language."""
-    if not language or language == ALL_LANGUAGES:
-        return rows
-    chosen = rows.where(column(cols.language) == F.lit(language))
-    return chosen.orderBy(*ranking.order(cols)).limit(require_limit(limit))
+    """The first ``limit`` reviews of ``df`` in one language; the whole ranking for ``all`` or no language.
+
+    The language is chosen before the ranking, so a language has its list however rare it is.
+    """
+    chosen = of_language(df, language, cols)
+    return top_rows(chosen, ranking if chosen is df else Ranking(ranking.measure, require_limit(limit)), cols=cols)
 
 
-def language_match_count(first: DataFrame, second: DataFrame, language: str) -> DataFrame:
-    """Rows of two review lists in one language; a review in both lists counts twice."""
-    in_lists = first.select("language").unionAll(second.select("language"))
-    return in_lists.agg(F.count_if(F.col("language") == F.lit(language)).alias("matches"))
+def language_match_count(df: DataFrame, language: str | None, cols: ReviewColumns = REVIEW) -> DataFrame:
+    """How many of the reviews are in one language, as ``matches``."""
+    return of_language(df, language, cols).agg(F.count(F.lit(1)).alias("matches"))

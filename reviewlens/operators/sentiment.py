@@ -7,6 +7,7 @@ for a null text.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -22,7 +23,6 @@ from reviewlens.schema import REVIEW, ReviewColumns
 Scorer = Callable[[DataFrame, str, str], DataFrame]
 
 SCORES_TYPE = "struct<negative:double,positive:double>"
-SCORED_REVIEWS = 1000
 EXTREME_REVIEWS = 10
 BATCH_SIZE = 32
 
@@ -84,6 +84,17 @@ def fragment_scorer(positive: str, negative: str) -> Scorer:
     return score
 
 
+_models: dict[str, Callable] = {}
+
+
+def loaded(name: str, load: Callable[[], Callable]) -> Callable:
+    """The model of a scorer, loaded once per worker process; a new scorer takes the place of an older one."""
+    if name not in _models:
+        _models.clear()
+        _models[name] = load()
+    return _models[name]
+
+
 def classifier_scorer(
     load: Callable[[], Callable[[list[str]], np.ndarray]],
     batch_size: int = BATCH_SIZE,
@@ -91,15 +102,16 @@ def classifier_scorer(
 ) -> Scorer:
     """Runs a two-class text model on the executors.
 
-    ``load`` runs once per task and returns a function from texts to logits of shape (texts, 2),
+    ``load`` runs once per worker process and returns a function from texts to logits of shape (texts, 2),
     negative first, that are turned into probabilities by softmax; tokenising is the model's part.
     Only the text crosses to Python. Batches hold up to ``batch_size`` texts. ``partitions`` spreads a small
     input, such as a top-k sample that sits in one task, over that many tasks.
     """
     require_limit(batch_size)
+    name = uuid.uuid4().hex
 
     def probabilities(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        model = load()
+        model = loaded(name, load)
         for texts in batches:
             scores = np.full((len(texts), 2), np.nan)
             known = np.flatnonzero(texts.notna().to_numpy())
@@ -153,10 +165,6 @@ def score_reviews(df: DataFrame, scorer: Scorer | None = None, cols: ReviewColum
     return scored.withColumns({"sentiment": S.sentiment_score(scores), "confidence": S.confidence(scores)})
 
 
-def is_scored(df: DataFrame) -> bool:
-    return {"sentiment", "confidence"} <= set(df.columns)
-
-
 def overall_sentiment(scored: DataFrame) -> DataFrame:
     """One row: confidence-weighted mean, its label, and the number of scored reviews."""
     totals = scored.agg(

@@ -132,7 +132,7 @@ def _each(columns, select: str) -> str:
     return " UNION ALL ".join(select.format(c=c) for c in columns)
 
 
-def _profile(sketched: tuple[str, ...] = ()) -> str:
+def _profile(sketched: tuple[str, ...] = (), columns: tuple[str, ...] = RAW_COLUMNS, view: str = "") -> str:
     def one(c: str) -> str:
         broken = (
             f"count(*) FILTER (WHERE {c} IS NOT NULL AND NOT regexp_full_match({c}, '{PATTERNS[c]}'))"
@@ -146,9 +146,26 @@ def _profile(sketched: tuple[str, ...] = ()) -> str:
             count(*) FILTER (WHERE {c} IS NOT NULL AND {c} <> trim({c})) AS padded_rows,
             count(*) FILTER (WHERE {c} IS NOT NULL AND regexp_matches({c}, '[^a-zA-Z0-9\s\.-]'))
               AS special_character_rows
-          FROM raw_reviews"""
+          FROM {"dirty" if view else "raw_reviews"}"""
 
-    return f"WITH {RAW} " + " UNION ALL ".join(one(c) for c in RAW_COLUMNS)
+    return f"WITH {view or RAW} " + " UNION ALL ".join(one(c) for c in columns)
+
+
+DIRTY = f"""{RAW}, dirty AS (
+  SELECT CASE WHEN e % 7 = 0 THEN ' ' || game ELSE game END AS game,
+    CASE WHEN e % 31 = 0 THEN '0.5.1' ELSE weighted_vote_score END AS weighted_vote_score,
+    [{", ".join(f"'{code}'" for code in sorted(LANGUAGE_NAMES))}][CAST(e % {len(LANGUAGE_NAMES)} + 1 AS INT)] AS language
+  FROM (SELECT *, CAST(recommendationid AS BIGINT) AS e FROM raw_reviews))"""
+
+
+def _lost() -> str:
+    cast = sorted(CLEAN_CASTS.target_types())
+    counts = ", ".join(
+        f"(SELECT count(*) FROM raw_reviews WHERE {c} IS NOT NULL AND {c} <> '') - "
+        f"(SELECT count(*) FROM typed WHERE {c} IS NOT NULL) AS {c}" for c in cast
+    )
+    each = " UNION ALL ".join(f"SELECT '{c}' AS column_name, {c} AS lost_values FROM n" for c in cast)
+    return f"n AS (SELECT {counts}) {each}"
 
 
 def _half_up(value: str, digits: int) -> str:
@@ -220,7 +237,7 @@ def _scored(rows: str, positive: str = _count("en"), negative: str = _count("on"
       greatest(p_pos, 1 - p_pos) AS confidence FROM chance)"""
 
 
-SAMPLE = _scored(_top("votes_up", limit=1000))
+SAMPLE = _scored(f"SELECT * FROM doc_reviews WHERE {GAME}")
 SCORES = """SELECT review_id, round(sentiment, 9) AS sentiment, round(confidence, 9) AS confidence,
   round(p_neg, 9) AS negative, round(p_pos, 9) AS positive FROM scored"""
 SCORES_ALL = f"WITH {_scored('SELECT * FROM doc_reviews')} {SCORES}"
@@ -232,7 +249,7 @@ CLEANED = f"WITH {TYPED} SELECT * FROM typed WHERE {COMPLETE}"
 
 
 def _extreme(test: str) -> str:
-    return f"""WITH {SAMPLE} SELECT {_shown('votes_up')},
+    return f"""WITH {SAMPLE} SELECT {_shown('votes_up')}, votes_funny,
       round(sentiment, 9) AS sentiment, round(confidence, 9) AS confidence
       FROM scored WHERE {test} ORDER BY votes_up DESC, review_id LIMIT 10"""
 
@@ -262,7 +279,7 @@ def _report() -> str:
              "(SELECT * FROM scored WHERE sentiment <= -0.2 ORDER BY votes_up DESC, review_id LIMIT 10)"),
         item("histogram", "b", "n", f"(SELECT {BUCKET} AS b, count(*) AS n FROM scored GROUP BY 1)"),
     ]
-    return f"""WITH {_scored(_top('votes_up', dated, 1000))},
+    return f"""WITH {_scored(f'SELECT * FROM doc_reviews WHERE {dated}')},
       chosen AS (SELECT * FROM doc_reviews WHERE {dated}),
       totals AS (SELECT game, count(*) AS total_reviews,
         {_half_up('avg(author_playtime_at_review)', 2)} AS avg_playtime,
@@ -322,6 +339,15 @@ def sql() -> dict[str, str]:
         + _each(RAW_COLUMNS, "SELECT '{c}' AS column_name, "
                 "count(*) FILTER (WHERE {c} IS NULL) AS missing_rows FROM typed"),
         "drop_incomplete": CLEANED,
+        "clean_fractional": CLEANED,
+        "lost_in_cast": f"WITH {TYPED}, raw AS (SELECT * FROM raw_reviews), " + _lost(),
+        "null_or_zero_random_check": f"""WITH {EXPLORED}, n AS (SELECT least(10, count(*)) AS n FROM typed WHERE {zero})
+          SELECT n AS sampled_rows, n AS different_rows, n AS rows_of_the_kind FROM n""",
+        "column_profile_dirty": _profile(columns=("game", "language", "weighted_vote_score"), view=DIRTY),
+        "language_display_names": f"""WITH names AS ({names}),
+          found AS (SELECT DISTINCT code AS language FROM names JOIN events ON true
+            WHERE code = (SELECT list(code ORDER BY code)[CAST(event_id % {len(LANGUAGE_NAMES)} + 1 AS INT)] FROM names))
+          SELECT language, name AS display_name, language AS filter_code FROM found JOIN names ON language = code""",
         "drop_report": f"""WITH {TYPED}, n AS (SELECT count(*) AS b, count(*) FILTER (WHERE {COMPLETE}) AS a FROM typed)
           SELECT b AS rows_before, a AS rows_after, b - a AS rows_dropped FROM n""",
         "drop_one_column": f"WITH {RAW} SELECT * FROM raw_reviews WHERE review IS NOT NULL AND review <> ''",
@@ -381,11 +407,11 @@ def sql() -> dict[str, str]:
         "top_commented": f"""WITH {DOC} SELECT {_shown('comment_count')},
             left(author_steamid, 8) || '...' AS author_short
           FROM ({_top('comment_count', f'{GAME} AND {DOC_DAYS}')})""",
-        "top_upvoted_by_language": f"""WITH {DOC} SELECT {_shown('votes_up')} FROM ({_top('votes_up')})
-          WHERE language = 'de' ORDER BY votes_up DESC, review_id LIMIT 10""",
-        "language_match_count": f"""WITH {DOC} SELECT count(*) AS matches FROM (
-            SELECT language FROM ({_top('votes_up')}) UNION ALL SELECT language FROM ({_top('votes_funny')}))
-          WHERE language = 'de'""",
+        "top_upvoted_by_language": f"""WITH {DOC} SELECT {_shown('votes_up')} FROM doc_reviews
+          WHERE {GAME} AND language = 'de' ORDER BY votes_up DESC, review_id LIMIT 10""",
+        "language_match_count": f"WITH {DOC} SELECT count(*) AS matches FROM doc_reviews WHERE {GAME} AND language = 'de'",
+        "top_upvoted_without_id": f"""WITH {DOC} SELECT votes_up, count(*) AS listed_reviews
+          FROM ({_top('votes_up', limit=20)}) GROUP BY 1""",
         "game_report": _report(),
         "sentiment_scores": f"WITH {SAMPLE} {SCORES}",
         "sentiment_scores_all": SCORES_ALL,
@@ -402,8 +428,17 @@ def sql() -> dict[str, str]:
         + _scored("SELECT * FROM doc_reviews", _words("le|de|the|und"), _words("que|la|of|der"))
         + SCORES,
         "sentiment_plugin": SCORES_ALL,
+        "sentiment_ml_check": f"""WITH {DOC} SELECT count(*) AS reviews, count(DISTINCT review_id) AS different_reviews,
+          count(*) AS sum_to_one, count(*) AS probabilities FROM doc_reviews""",
         "csv_roundtrip": f"WITH {RAW} SELECT * FROM raw_reviews",
         "csv_clean": CLEANED,
+        "csv_shuffled_columns": f"WITH {RAW} SELECT * FROM raw_reviews",
+        "csv_bad_rows": """SELECT count(*) FILTER (WHERE event_id % 50 <> 0) AS good_rows,
+            count(*) FILTER (WHERE event_id % 50 = 0) AS bad_rows,
+            count(DISTINCT event_id) FILTER (WHERE event_id % 50 <> 0) AS good_events FROM events""",
+        "parquet_by_year": f"{CLEANED} AND {DOC_DAYS.replace('timestamp_created', 'timestamp_updated')}",
+        "parquet_by_year_pruned": f"""WITH {TYPED} SELECT game, count(*) AS count FROM typed
+          WHERE {COMPLETE} AND {DOC_DAYS} GROUP BY 1""",
         "parquet_roundtrip": CLEANED,
         "parquet_clustered": CLEANED,
         "names_text_file": f"WITH {RAW} SELECT DISTINCT game AS name FROM raw_reviews WHERE game <> ''",

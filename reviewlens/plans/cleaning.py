@@ -1,32 +1,68 @@
-"""The cleaning job: raw table in, compact typed table and its audit out, in one scan."""
+"""The cleaning job: raw table in, compact typed table and its audits out, from one scan of the raw data."""
 
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
-from reviewlens.functions.predicates import is_complete, is_missing
+from reviewlens.functions.predicates import column, is_complete, is_missing, is_present
 from reviewlens.operators.cleaning import convert_types, drop_report, null_audit
-from reviewlens.operators.columns import drop_columns
+from reviewlens.operators.columns import drop_columns, require_columns
 from reviewlens.schema import CLEAN_CASTS, UNUSED_COLUMNS, CastSpec
-from reviewlens.sources.sinks import cluster_reviews, write_parquet
+from reviewlens.sources.scratch import scratch_path
+from reviewlens.sources.sinks import YEAR_COLUMN, cluster_reviews, files_for, with_review_year, write_parquet
 
 
 @dataclass(frozen=True)
 class CleaningReport:
-    """What a cleaning run found: missing values per column before dropping, and the rows it kept."""
+    """What a cleaning run found, per column where it says so.
+
+    ``missing_before`` counts missing values after the casts, ``lost_in_cast`` those of them that were there
+    before, ``corrupt_rows`` the rows whose number of values was wrong, and ``missing_after`` audits what was kept.
+    """
 
     rows_before: int
     rows_after: int
     missing_before: dict[str, int]
+    lost_in_cast: dict[str, int] = field(default_factory=dict)
+    corrupt_rows: int = 0
+    missing_after: dict[str, int] = field(default_factory=dict)
 
     @property
     def rows_dropped(self) -> int:
         return self.rows_before - self.rows_after
 
 
+def _with_counts(
+    raw: DataFrame, casts: CastSpec, unused: Iterable[str], allow_fractional: bool, corrupt: str | None
+) -> tuple[DataFrame, DataFrame, Column, list[Column]]:
+    """The typed table with the raw values beside it, the typed table alone, its row test, and the audits."""
+    if corrupt is not None:
+        require_columns(raw, [corrupt])
+    kept = drop_columns(raw, [*unused, *([corrupt] if corrupt else [])])
+    typed = convert_types(kept, casts, allow_fractional)
+    fields, cast = typed.schema.fields, [f for f in kept.schema.fields if f.name in casts.target_types()]
+    # One projection: the typed columns, and what the casts started from under names of its own.
+    before = {f"__raw_{i}": f for i, f in enumerate(cast)}
+    wide = raw.withColumns({name: column(f.name) for name, f in before.items()})
+    wide = convert_types(wide, casts, allow_fractional)
+    sound = column(corrupt).isNull() if corrupt else F.lit(True)
+    complete = is_complete(fields) & sound
+    audits = [
+        F.count(F.lit(1)).alias("rows_before"),
+        F.count_if(complete).alias("rows_after"),
+        F.count_if(~sound).alias("corrupt_rows"),
+    ]
+    audits += [F.count_if(is_missing(f)).alias(f"missing_{i}") for i, f in enumerate(fields)]
+    audits += [F.count_if(complete & is_missing(f)).alias(f"after_{i}") for i, f in enumerate(fields)]
+    for name, f in before.items():
+        there = is_present(type(f)(name, f.dataType))
+        audits.append(F.count_if(there & column(f.name).isNull()).alias(f"lost{name}"))
+    return wide, typed, complete, audits
+
+
 def clean_to_parquet(
     raw: DataFrame,
     path: str,
@@ -35,37 +71,51 @@ def clean_to_parquet(
     files: int | None = None,
     clustered: bool = False,
     max_rows_per_file: int | None = None,
+    allow_fractional: bool = True,
+    by_year: str | None = None,
+    corrupt: str | None = None,
 ) -> CleaningReport:
-    """Clean ``raw`` into ``path``.
+    """Clean ``raw`` into ``path``; the raw data is read once.
+
+    By default the job is one map-only stage, and the audits are observed while it writes. ``files``,
+    ``clustered`` and ``by_year`` move rows: the typed table is then written to the scratch folder first, with
+    the audits, and laid out from there. Without ``files`` a clustered table gets one for about each GB.
 
-    By default the job is one map-only stage and the audit is observed while it writes: one scan.
-    ``files`` and ``clustered`` add a shuffle, before which a rerun task would be observed twice, so
-    there the audit is an aggregate of its own: two scans.
+    ``by_year`` names a clock by whose year the output is partitioned, in a column ``review_year``. ``corrupt``
+    names the column in which the reader left rows with a wrong number of values; they are counted and left out.
+    ``allow_fractional=False`` makes ``12.0`` malformed, and so drops its row.
 
     After an observed write Spark cannot send a model to tasks that was fitted in the same session;
     save and load it first, see ``sentiment.ml_scorer``.
     """
-    typed = convert_types(drop_columns(raw, unused), casts)
-    fields = typed.schema.fields
-    complete = is_complete(fields)
-    audit = [F.count_if(is_missing(f)).alias(f"missing_{i}") for i, f in enumerate(fields)]
-    counts = [F.count(F.lit(1)).alias("rows_before"), F.count_if(complete).alias("rows_after"), *audit]
-
-    if files is None and not clustered:
-        observation = Observation("cleaning")
-        write_parquet(typed.observe(observation, *counts).where(complete), path, max_rows_per_file=max_rows_per_file)
-        found = observation.get
+    unused = list(unused)
+    wide, typed, complete, audits = _with_counts(raw, casts, unused, allow_fractional, corrupt)
+    observation = Observation("cleaning")
+    kept = wide.observe(observation, *audits).where(complete).select(*[column(c) for c in typed.columns])
+    if files is None and not clustered and by_year is None:
+        write_parquet(kept, path, max_rows_per_file=max_rows_per_file)
     else:
-        found = typed.agg(*counts).first().asDict()
-        kept = typed.where(complete)
-        if clustered:
-            write_parquet(cluster_reviews(kept, files), path, max_rows_per_file=max_rows_per_file)
-        else:
-            write_parquet(kept, path, files=files, max_rows_per_file=max_rows_per_file)
+        spark, stage = raw.sparkSession, scratch_path(raw.sparkSession, "typed")
+        write_parquet(kept, stage)
+        rows = spark.read.schema(typed.schema).parquet(stage)
+        files = files or (files_for(spark, stage) if clustered else None)
+        rows = cluster_reviews(rows, files) if clustered else rows
+        partitions = []
+        if by_year is not None:
+            rows, partitions = with_review_year(rows, by_year), [YEAR_COLUMN]
+        write_parquet(
+            rows, path, files=None if clustered else files, max_rows_per_file=max_rows_per_file, partition_by=partitions
+        )
+    found = observation.get
+    names = [f.name for f in typed.schema.fields]
+    cast = [c for c in names if c in casts.target_types()]
     return CleaningReport(
         found["rows_before"],
         found["rows_after"],
-        {f.name: found[f"missing_{i}"] for i, f in enumerate(fields)},
+        {c: found[f"missing_{i}"] for i, c in enumerate(names)},
+        {c: found[f"lost__raw_{i}"] for i, c in enumerate(cast)},
+        found["corrupt_rows"],
+        {c: found[f"after_{i}"] for i, c in enumerate(names)},
     )
 
 

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
+from reviewlens.functions.display import shorten
 from reviewlens.functions.predicates import column
 from reviewlens.operators import reports as R
 from reviewlens.operators import sentiment as T
@@ -14,11 +15,13 @@ from reviewlens.operators.columns import require_columns, require_limit
 from reviewlens.operators.filters import of_product
 from reviewlens.schema import REVIEW, ReviewColumns
 
+SCORES = ("sentiment", "confidence")
+
 
 @dataclass(frozen=True)
 class ProductReport:
     """Sections of a report, each a lazy frame; all are empty for an unknown product or an empty range
-    (``overall`` then is its one neutral row)."""
+    (``overall`` then is its one neutral row). ``scored`` has the text as it is displayed."""
 
     summary: DataFrame
     languages: DataFrame
@@ -46,50 +49,66 @@ class ProductReport:
 
 
 def sentiment_sample(
-    df: DataFrame, max_reviews: int | None = T.SCORED_REVIEWS, prefilter: bool = True, cols: ReviewColumns = REVIEW
+    df: DataFrame, max_reviews: int | None = None, prefilter: bool = True, cols: ReviewColumns = REVIEW
 ) -> DataFrame:
-    """The most upvoted reviews that get scored; None scores all of them."""
+    """All reviews, or the ``max_reviews`` most upvoted ones, spread over the session's tasks again."""
     if max_reviews is None:
         return df
-    return R.top_rows(df, R.upvote_ranking(require_limit(max_reviews), cols), prefilter, cols)
+    chosen = R.top_rows(df, R.upvote_ranking(require_limit(max_reviews), cols), prefilter, cols)
+    return chosen.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 def scored_list(rows: DataFrame, cols: ReviewColumns = REVIEW) -> DataFrame:
-    """Display columns of scored reviews with their sentiment and confidence."""
-    return R.review_list(rows, cols.upvotes, ("sentiment", "confidence"), cols=cols)
+    """Display columns of scored reviews with their funny votes, sentiment and confidence."""
+    return R.review_list(rows, cols.upvotes, (cols.funny_votes, *SCORES), cols=cols)
 
 
-def _shown_columns(df: DataFrame, cols: ReviewColumns) -> DataFrame:
+def _shown_columns(df: DataFrame, cols: ReviewColumns, more: tuple[str, ...] = ()) -> DataFrame:
     # What lists and sentiment need: caching freezes columns, so the rest has to go before it.
     names = [
         *cols.key, cols.author, cols.text, cols.upvotes, cols.funny_votes, cols.comments, cols.created,
-        cols.playtime, cols.language, *(("sentiment", "confidence") if T.is_scored(df) else ()),
+        cols.playtime, cols.language, *more,
     ]
     require_columns(df, names)
     return df.select(*[column(name) for name in dict.fromkeys(names)])
 
 
+def scored_for_display(
+    df: DataFrame,
+    scorer: T.Scorer | None = None,
+    stored: bool = False,
+    max_reviews: int | None = None,
+    cols: ReviewColumns = REVIEW,
+) -> DataFrame:
+    """Reviews with their scores, whole texts scored, then cut to what is displayed: small enough to keep."""
+    if stored and scorer is not None:
+        raise ValueError("a table with stored scores takes no scorer")
+    sample = sentiment_sample(_shown_columns(df, cols, SCORES if stored else ()), max_reviews, cols=cols)
+    scored = sample if stored else T.score_reviews(sample, scorer, cols).drop("raw_scores")
+    return scored.withColumn(cols.text, shorten(column(cols.text)))
+
+
 def product_report(
     df: DataFrame,
     product: str,
     start=None,
     end=None,
     scorer: T.Scorer | None = None,
-    max_reviews: int | None = T.SCORED_REVIEWS,
+    max_reviews: int | None = None,
     top: int = R.TOP_REVIEWS,
     persist: bool = True,
+    stored: bool = False,
     cols: ReviewColumns = REVIEW,
 ) -> ProductReport:
     """Everything about one product in a day range.
 
-    The reviews are read in two ways only: narrow, for a cube of counts from which all totals add up,
-    and with text, for the few reviews that can enter a top list or the sentiment sample. What the
-    sections share - cube, candidates, scored sample - is small and cached. (Candidates are the rows of
-    the lists and whatever ties with their last place, so they are few unless a measure is coarse.)
+    The reviews are read narrow for a cube of counts, from which all totals add up, and for the places of
+    the last rows of the lists; with text for the few reviews that enter a list; and once more to be scored.
+    What the sections share is cached: the cube, the rows of the lists, and each review's scores with its
+    text as displayed, so that a model sees each review once whatever the number of sections.
 
-    A table that has ``sentiment`` and ``confidence`` already is not scored again. To score all
-    reviews (``max_reviews=None``), write such a table once with ``sentiment.score_reviews`` and
-    report on it: all scored reviews of a hot product are too many to cache, and are not.
+    Every review is scored unless ``max_reviews`` asks for the most upvoted ones only. ``stored`` takes
+    the columns ``sentiment`` and ``confidence`` of the table instead; a scorer is then refused.
     """
     reviews = of_product(df, product, start, end, cols)
     shown = _shown_columns(reviews, cols)
@@ -100,15 +119,9 @@ def product_report(
         R.funny_ranking(top, cols),
         R.comment_ranking(top, cols),
     )
-    deepest = R.upvote_ranking(max(top, max_reviews or 0), cols)
+    scored = keep(scored_for_display(reviews, scorer, stored, max_reviews, cols))
     cube = keep(R.report_cube(reviews, cols))
-    candidates = keep(R.ranking_candidates(shown, [deepest, funny, commented]))
-    sample = shown if max_reviews is None else sentiment_sample(candidates, max_reviews, False, cols)
-    stored = T.is_scored(sample)
-    scored = sample if stored else T.score_reviews(sample, scorer, cols)
-    if max_reviews is not None:
-        scored = keep(scored)
-    whole_table = stored and max_reviews is None
+    candidates = keep(R.ranking_candidates(shown, [upvoted, funny, commented], cols))
 
     return ProductReport(
         summary=R.summary_from_cube(cube),
@@ -120,8 +133,8 @@ def product_report(
         top_commented=R.top_reviews(candidates, commented, False, cols),
         scored=scored,
         overall=T.overall_sentiment(scored),
-        positive=scored_list(T.extreme_reviews(scored, True, prefilter=whole_table, cols=cols), cols),
-        negative=scored_list(T.extreme_reviews(scored, False, prefilter=whole_table, cols=cols), cols),
+        positive=scored_list(T.extreme_reviews(scored, True, cols=cols), cols),
+        negative=scored_list(T.extreme_reviews(scored, False, cols=cols), cols),
         histogram=T.sentiment_histogram(scored),
-        cached=(cube, candidates, *((scored,) if max_reviews is not None else ())) if persist else (),
+        cached=(cube, candidates, scored) if persist else (),
     )

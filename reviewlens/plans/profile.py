@@ -38,23 +38,25 @@ def profile_report(
     sample: int = 20,
     bad: int = 10,
     persist: bool = True,
+    listed: Iterable[str] | None = None,
 ) -> ProfileReport:
-    """Profile all of ``columns`` from one scan.
+    """Profile ``columns``: counts from one scan, lists of values from one more.
 
-    Every section is made from the counted values, which are what is cached: one row per distinct
-    value. Leave free text out, and profile it with ``profile_columns(sketch=...)``: it has about as
-    many values as rows.
+    The counts shuffle digests only. The lists are made from the counted values of the ``listed`` columns (all
+    of them by default), which are what is cached, one row per distinct value: leave free text out of
+    ``listed``, as it has about as many values as rows.
     """
     columns = list(columns)
-    values = P.value_counts(df, columns)
+    listed = columns if listed is None else list(listed)
+    values = P.value_counts(df, listed)
     if persist:
         values = values.persist(StorageLevel.MEMORY_AND_DISK)
     by_count = [F.desc("row_count"), F.asc_nulls_last("value")]
     by_value = [F.asc_nulls_last("value")]
     return ProfileReport(
-        counts=P.profile_values(values, columns, patterns),
+        counts=P.profile_columns(df, columns, patterns),
         frequent_values=P.first_per_column(values, by_count, frequent),
         sample_values=P.first_per_column(values.select("column_name", "value"), by_value, sample),
-        nonconvertible_values=P.nonconvertible_in_values(values, columns, bad, patterns),
+        nonconvertible_values=P.nonconvertible_in_values(values, listed, bad, patterns),
         cached=(values,) if persist else (),
     )

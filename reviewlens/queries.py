@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from reviewlens import oracle as O
-from reviewlens.fixtures import DOC_REVIEWS, doc_reviews, raw_reviews, sales_reviews, table
+from reviewlens.fixtures import DOC_REVIEWS, dirty_reviews, doc_reviews, raw_reviews, sales_reviews, table
 from reviewlens.functions import display as D
 from reviewlens.functions import sentiment as S
 from reviewlens.operators import catalog, cleaning, leaderboards, profiling, reports
@@ -18,12 +18,12 @@ from reviewlens.operators.columns import drop_columns
 from reviewlens.operators.filters import between_days, of_product
 from reviewlens.plans.cleaning import clean_to_parquet
 from reviewlens.plans.engagement import engagement_rows
-from reviewlens.plans.product_report import product_report, scored_list, sentiment_sample
+from reviewlens.plans.product_report import product_report, scored_list
 from reviewlens.plans.profile import profile_report
-from reviewlens.schema import EXPLORE_CASTS, RAW_SCHEMA
+from reviewlens.schema import EXPLORE_CASTS, RAW_SCHEMA, ReviewColumns
 from reviewlens.sources.readers import read_parquet, read_raw_csv
 from reviewlens.sources.scratch import scratch_path
-from reviewlens.sources.sinks import export, write_names
+from reviewlens.sources.sinks import YEAR_COLUMN, export, write_names
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,7 +57,7 @@ def _scorer() -> T.Scorer:
 
 
 def _scored(spark: SparkSession, sf: str) -> DataFrame:
-    return T.score_reviews(sentiment_sample(_game(spark, sf), cols=DOC_REVIEWS), _scorer(), DOC_REVIEWS)
+    return T.score_reviews(_game(spark, sf), _scorer(), DOC_REVIEWS)
 
 
 def _score_columns(scored: DataFrame) -> DataFrame:
@@ -157,6 +157,21 @@ def drop_incomplete(spark, sf):
     return cleaning.drop_incomplete(_typed(spark, sf))
 
 
+@register
+def clean_fractional(spark, sf):
+    """Whole numbers written with a fraction keep their rows."""
+    raw = raw_reviews(spark, sf)
+    return cleaning.clean_reviews(raw.withColumn("votes_up", F.concat("votes_up", F.lit(".0"))))
+
+
+@register
+def lost_in_cast(spark, sf):
+    """Per column, the values that were there before the cast and are missing after it."""
+    path = scratch_path(spark, "clean")
+    report = clean_to_parquet(raw_reviews(spark, sf), path)
+    return spark.createDataFrame(sorted(report.lost_in_cast.items()), "column_name string, lost_values bigint")
+
+
 @register
 def drop_report(spark, sf):
     return cleaning.drop_report(_typed(spark, sf))
@@ -202,6 +217,25 @@ def null_or_zero_random_sample(spark, sf):
     return profiling.random_rows(profiling.null_or_zero_rows(_typed(spark, sf), "votes_funny"), 10, SEED)
 
 
+@register
+def null_or_zero_random_check(spark, sf):
+    """What holds for any random sample: its size, and that all its rows are of the kind asked for."""
+    typed = cleaning.convert_types(raw_reviews(spark, sf), EXPLORE_CASTS)
+    sample = profiling.random_rows(profiling.null_or_zero_rows(typed, "votes_funny"), 10, SEED)
+    return sample.agg(
+        F.count(F.lit(1)).alias("sampled_rows"),
+        F.count_distinct("recommendationid").alias("different_rows"),
+        F.count_if(F.col("votes_funny").isNull() | (F.col("votes_funny") == 0)).alias("rows_of_the_kind"),
+    )
+
+
+@register
+def column_profile_dirty(spark, sf):
+    """Padded text, malformed floats and long language codes, which the plain raw view lacks."""
+    dirty = dirty_reviews(spark, sf)
+    return profiling.profile_columns(dirty, ["game", "language", "weighted_vote_score"])
+
+
 @register
 def column_profile(spark, sf):
     raw = raw_reviews(spark, sf)
@@ -339,6 +373,14 @@ def language_display(spark, sf):
     return languages.select("language", name.alias("display_name"), D.language_code(name).alias("filter_code"))
 
 
+@register
+def language_display_names(spark, sf):
+    """Every code of the language dimension by its display name, and back."""
+    languages = reports.available_languages(dirty_reviews(spark, sf))
+    name = D.language_name(F.col("language"))
+    return languages.select("language", name.alias("display_name"), D.language_code(name).alias("filter_code"))
+
+
 @register
 def top_upvoted(spark, sf):
     return reports.top_reviews(_game(spark, sf), reports.upvote_ranking(), cols=DOC_REVIEWS)
@@ -358,26 +400,27 @@ def top_commented(spark, sf):
 @register
 def top_upvoted_by_language(spark, sf):
     ranking = reports.upvote_ranking()
-    rows = reports.top_rows(_game(spark, sf), ranking, cols=DOC_REVIEWS)
-    return reports.review_list(
-        reports.in_language(rows, ranking, LANGUAGE, cols=DOC_REVIEWS), ranking.measure, cols=DOC_REVIEWS
-    )
+    rows = reports.in_language(_game(spark, sf), ranking, LANGUAGE, cols=DOC_REVIEWS)
+    return reports.review_list(rows, ranking.measure, cols=DOC_REVIEWS)
 
 
 @register
 def language_match_count(spark, sf):
-    game = _game(spark, sf)
-    return reports.language_match_count(
-        reports.top_rows(game, reports.upvote_ranking(), cols=DOC_REVIEWS),
-        reports.top_rows(game, reports.funny_ranking(), cols=DOC_REVIEWS),
-        LANGUAGE,
-    )
+    return reports.language_match_count(_game(spark, sf), LANGUAGE, DOC_REVIEWS)
+
+
+@register
+def top_upvoted_without_id(spark, sf):
+    """The cleaned layout has no row id: author and clock, then a digest of the row, break ties."""
+    rows = of_product(doc_reviews(spark, sf).drop("review_id"), GAME)
+    listed = reports.top_reviews(rows, reports.upvote_ranking(20))
+    return listed.groupBy("votes_up").agg(F.count(F.lit(1)).alias("listed_reviews"))
 
 
 @register
 def game_report(spark, sf):
     """Every section of the bundle as rows (section, item, amount), to compare it as a whole."""
-    r = product_report(doc_reviews(spark, sf), GAME, *DOC_DAYS, scorer=_scorer(), cols=DOC_REVIEWS)
+    r = product_report(doc_reviews(spark, sf), GAME, *DOC_DAYS, scorer=_scorer(), persist=False, cols=DOC_REVIEWS)
 
     def rows(section: str, frame: DataFrame, item, amount) -> DataFrame:
         return frame.select(
@@ -493,6 +536,18 @@ def sentiment_ml(spark, sf):
     return _score_columns(T.score_reviews(doc_reviews(spark, sf), scorer, DOC_REVIEWS))
 
 
+@register
+def sentiment_ml_check(spark, sf):
+    """What holds for any trained model: all reviews scored, by probabilities."""
+    scores = sentiment_ml(spark, sf)
+    return scores.agg(
+        F.count(F.lit(1)).alias("reviews"),
+        F.count_distinct("review_id").alias("different_reviews"),
+        F.count_if(F.abs(F.col("negative") + F.col("positive") - 1) < 1e-6).alias("sum_to_one"),
+        F.count_if(F.col("negative").between(0, 1) & F.col("positive").between(0, 1)).alias("probabilities"),
+    )
+
+
 # ---------------------------------------------------------------- sources and sinks
 
 
@@ -511,6 +566,48 @@ def csv_clean(spark, sf):
     return cleaning.clean_reviews(read_raw_csv(spark, path))
 
 
+@register
+def csv_shuffled_columns(spark, sf):
+    """Columns are found by name: a file with its columns the other way round reads the same."""
+    path = scratch_path(spark, "csv")
+    raw = raw_reviews(spark, sf)
+    export(raw.select(*reversed(raw.columns)), path, "csv", null_value=NULL_MARK)
+    return read_raw_csv(spark, path, RAW_SCHEMA, null_value=NULL_MARK)
+
+
+@register
+def csv_bad_rows(spark, sf):
+    """Rows with too many values are set apart, the others read as they are."""
+    path = scratch_path(spark, "csv")
+    events = table(spark, sf, "events").select("event_id", "event_type")
+    extra = F.when(F.col("event_id") % 50 == 0, F.lit(",extra")).otherwise(F.lit(""))
+    lines = events.select(F.concat_ws(",", F.col("event_id").cast("string"), F.concat("event_type", extra)).alias("value"))
+    spark.range(1).select(F.lit("event_id,event_type").alias("value")).union(lines).coalesce(1).write.text(path)
+    read = read_raw_csv(spark, path, "event_id string, event_type string", corrupt="bad")
+    return read.agg(
+        F.count_if(F.col("bad").isNull()).alias("good_rows"),
+        F.count_if(F.col("bad").isNotNull()).alias("bad_rows"),
+        F.count_distinct(F.when(F.col("bad").isNull(), F.col("event_id"))).alias("good_events"),
+    )
+
+
+@register
+def parquet_by_year(spark, sf):
+    """A table partitioned by the year of one clock, filtered on the other clock: the year plays no part."""
+    path = scratch_path(spark, "by-year")
+    clean_to_parquet(raw_reviews(spark, sf), path, by_year="timestamp_created")
+    cleaned = read_parquet(spark, path).drop(YEAR_COLUMN)
+    return between_days(cleaned, *DOC_DAYS, created="timestamp_updated")
+
+
+@register
+def parquet_by_year_pruned(spark, sf):
+    path = scratch_path(spark, "by-year")
+    clean_to_parquet(raw_reviews(spark, sf), path, by_year="timestamp_created")
+    cols = ReviewColumns(created_year=YEAR_COLUMN)
+    return leaderboards.product_totals(read_parquet(spark, path), *DOC_DAYS, cols=cols)
+
+
 @register
 def parquet_roundtrip(spark, sf):
     path = scratch_path(spark, "clean")

@@ -154,7 +154,8 @@ class ReviewColumns:
     """Binds the roles an operator needs to column names of the table at hand.
 
     ``key`` breaks ties in row-level rankings. The cleaned table has no row id, so the
-    default is the author and the clock; bind an id column where there is one.
+    default is the author and the clock; bind an id column where there is one. ``created_year`` names a
+    partition column with the year of ``created``, for day filters to prune directories by.
     """
 
     product: str = "game"
@@ -168,6 +169,7 @@ class ReviewColumns:
     playtime: str = "author_playtime_at_review"
     free: str = "received_for_free"
     early_access: str = "written_during_early_access"
+    created_year: str | None = None
     key: tuple[str, ...] = ("author_steamid", "timestamp_created")
 
 

@@ -16,29 +16,39 @@ def read_parquet(spark: SparkSession, path: str | list[str], schema: T.StructTyp
 def read_raw_csv(
     spark: SparkSession,
     path: str | list[str],
-    schema: T.StructType = RAW_SCHEMA,
+    schema: T.StructType | str = RAW_SCHEMA,
     multiline: bool = True,
     null_value: str = "",
-    mode: str = "PERMISSIVE",
+    corrupt: str | None = None,
+    line_sep: str | None = None,
 ) -> DataFrame:
     """A CSV export with a header and doubled quotes, every column as declared (text for raw reviews).
 
-    Values a short row lacks become null, for the audit to count and the completeness filter to drop;
-    ``mode="FAILFAST"`` raises on a row with the wrong number of values.
+    Columns are found by the names in the header, whatever their order; a header that lacks a declared name, or
+    has another one, is an error, and so is a file whose header differs from the first one's. A row with
+    too few or too many values is an error too, unless ``corrupt`` names a column for it: then the row is kept
+    with its text there, to be counted and left out by the cleaning job, and the column is null elsewhere.
 
-    Quoted line breaks need ``multiline``, and such a file is read by one task: export in many files,
-    or pass ``multiline=False`` when no value holds a line break, which lets Spark split files.
+    Quoted line breaks need ``multiline``, and such a file is read by one task: export in many files, or pass
+    ``multiline=False`` when no value holds a line break, which lets Spark split files. With ``line_sep``, files
+    whose rows end otherwise than in a plain line feed can be split even if values hold line feeds.
     """
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("multiLine", multiline)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("nullValue", null_value)
-        .option("mode", mode)
-        .csv(path)
-    )
+    declared = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    options = {"header": True, "multiLine": multiline, "quote": '"', "escape": '"', "nullValue": null_value}
+    if line_sep is not None:
+        options["lineSep"] = line_sep
+    header = spark.read.options(**options).csv(path).columns
+    odd = sorted(set(header) ^ set(declared.names))
+    if odd or len(header) != len(declared):
+        raise ValueError(f"the header {header} differs from the declared columns {declared.names} in {odd}")
+    fields = [declared[name] for name in header]
+    if corrupt is not None:
+        fields.append(T.StructField(corrupt, T.StringType()))
+        options |= {"columnNameOfCorruptRecord": corrupt}
+    # Without column pruning: else a row is only checked as far as its values are asked for.
+    options |= {"mode": "FAILFAST" if corrupt is None else "PERMISSIVE", "enforceSchema": False, "columnPruning": False}
+    rows = spark.read.schema(T.StructType(fields)).options(**options).csv(path)
+    return rows.select(*[f"`{name}`" for name in declared.names], *([f"`{corrupt}`"] if corrupt else []))
 
 
 def has_rows(df: DataFrame) -> bool:

@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from reviewlens.functions.predicates import column
 from reviewlens.operators.catalog import distinct_names
 from reviewlens.operators.columns import require_columns, require_limit
-from reviewlens.operators.filters import YEAR_COLUMN
 from reviewlens.schema import REVIEW, ReviewColumns
 
 COMPRESSION = "snappy"
+YEAR_COLUMN = "review_year"
+FILE_BYTES = 1 << 30
 
 
 def write_parquet(
@@ -40,7 +41,7 @@ def cluster_reviews(df: DataFrame, files: int | None = None, cols: ReviewColumns
 
     Ranges are cut on product, clock and a digest of the author: one product, or one product and
     clock, that holds a third of the table is spread over many files. Choose ``files`` for about 1 GB
-    each; left out, ``spark.sql.shuffle.partitions`` decides.
+    each, see ``files_for``; left out, ``spark.sql.shuffle.partitions`` decides.
     """
     require_columns(df, [cols.product, cols.created, cols.author])
     keys = [column(cols.product), column(cols.created), F.xxhash64(column(cols.author))]
@@ -48,16 +49,24 @@ def cluster_reviews(df: DataFrame, files: int | None = None, cols: ReviewColumns
     return ranged.sortWithinPartitions(column(cols.product), column(cols.created))
 
 
-def with_review_year(df: DataFrame, created: str = REVIEW.created) -> DataFrame:
-    """Adds ``review_year``, a partition column that day filters prune directories by."""
+def files_for(spark: SparkSession, path: str, file_bytes: int = FILE_BYTES) -> int:
+    """How many files of about ``file_bytes`` hold what is stored at ``path``."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stored = folder.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(folder).getLength()
+    return max(1, -(-stored // file_bytes))
+
+
+def with_review_year(df: DataFrame, created: str = REVIEW.created, name: str = YEAR_COLUMN) -> DataFrame:
+    """Adds the year of a clock as a partition column. Bind it as ``created_year`` for day filters on that clock."""
     require_columns(df, [created])
-    return df.withColumn(YEAR_COLUMN, F.year(column(created)))
+    return df.withColumn(name, F.year(column(created)))
 
 
-def write_names(df: DataFrame, name: str, path: str, single_file: bool = True, mode: str = "overwrite") -> None:
-    """Sorted distinct non-empty values of a column, one per line in UTF-8 text files.
+def write_names(df: DataFrame, name: str, path: str, single_file: bool = False, mode: str = "overwrite") -> None:
+    """Sorted distinct non-empty values of a column, one per line in UTF-8 text files, in the order of their names.
 
-    The values are made distinct and sorted by the cluster; ``single_file`` only concerns the names.
+    The values are made distinct and sorted by the cluster. ``single_file`` sorts and writes them in one
+    task: for lists that are known to be short.
     """
     names = distinct_names(df, name)
     (names.coalesce(1) if single_file else names).write.mode(mode).text(path)

@@ -22,12 +22,24 @@ def converted(spark, spec, *values, **options):
 
 def test_integers(spark):
     values = ["7", " 7 ", "-3", "1.0", "abc", "3000000000", "", None]
-    assert converted(spark, CastSpec(integers=("v",)), *values) == [7, 7, -3, None, None, None, None, None]
+    assert converted(spark, CastSpec(integers=("v",)), *values) == [7, 7, -3, 1, None, None, None, None]
 
 
-def test_fractional_integers_on_request(spark):
-    got = converted(spark, CastSpec(integers=("v",)), "1.0", "2.9", "7", "3000000000", "x", allow_fractional=True)
-    assert got == [1, 2, 7, None, None]
+def test_fractions_are_cut_unless_refused(spark):
+    values = ["1.0", "2.9", "2.9999999", "-2.9", "7", "3000000000", "x"]
+    spec = CastSpec(integers=("v",))
+    assert converted(spark, spec, *values) == [1, 2, 2, -2, 7, None, None]
+    assert converted(spark, spec, *values, allow_fractional=False) == [None, None, None, None, 7, None, None]
+
+
+def test_cleaning_job_counts_what_casts_lose(spark, tmp_path):
+    raw = raw_reviews(spark, SMALL).withColumn("votes_up", F.concat("votes_up", F.lit(".0")))
+    report = clean_to_parquet(raw, str(tmp_path / "a"))
+    assert report.rows_after == 84 and report.lost_in_cast["votes_up"] == 0
+    assert report.lost_in_cast["author_playtime_at_review"] == 11
+    assert set(report.missing_after.values()) == {0}
+    strict = clean_to_parquet(raw, str(tmp_path / "b"), allow_fractional=False)
+    assert strict.rows_after == 0 and strict.lost_in_cast["votes_up"] == 1000
 
 
 def test_longs_and_floats(spark):
@@ -136,12 +148,15 @@ def test_column_helpers(spark):
     assert drop_columns(df, ["name", "nope"]).columns == ["title", "review_language"]
 
 
-@pytest.mark.parametrize("options", [{}, {"files": 1}, {"clustered": True}, {"clustered": True, "files": 3}])
+@pytest.mark.parametrize("options", [{}, {"files": 1}, {"clustered": True}, {"clustered": True, "files": 3}, {"by_year": "timestamp_created"}])
 def test_cleaning_job(spark, tmp_path, options):
     raw = raw_reviews(spark, SMALL)
     path = str(tmp_path / "clean")
     report = clean_to_parquet(raw, path, **options)
     written = spark.read.parquet(path)
+    if "by_year" in options:
+        assert {r.review_year for r in written.select("review_year").distinct().collect()} == {2024}
+        written = written.drop("review_year")
     expected = cleaning.clean_reviews(raw)
     assert (report.rows_before, report.rows_after, report.rows_dropped) == (1000, 84, 916)
     assert report.missing_before == cleaning.null_audit(cleaning.convert_types(drop_columns(raw))).first().asDict()

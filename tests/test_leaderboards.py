@@ -93,10 +93,18 @@ def test_years_are_pruned_and_results_stay(spark, tmp_path):
     write_parquet(with_review_year(df), path, partition_by=["review_year"])
     stored = spark.read.parquet(path)
     days = (dt.date(1997, 1, 1), dt.date(1997, 12, 31))
-    pruned = leaderboards.top_products(stored, 50, *days)
+    pruned = leaderboards.top_products(stored, 50, *days, cols=ReviewColumns(created_year="review_year"))
     assert pruned.collect() == leaderboards.top_products(df, 50, *days).collect()
     plan = pruned._jdf.queryExecution().executedPlan().toString()
     assert "review_year" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert leaderboards.top_products(stored, 50, *days).collect() == pruned.collect()
+
+
+def test_a_year_column_counts_only_where_it_is_bound(spark):
+    df = spark.createDataFrame([("g", dt.datetime(2023, 5, 1), 2019)], "game string, timestamp_created timestamp, review_year int")
+    assert leaderboards.top_products(df, 1, "2023-01-01", "2023-12-31").count() == 1
+    cols = ReviewColumns(created_year="review_year")
+    assert leaderboards.top_products(df, 1, "2023-01-01", "2023-12-31", cols).count() == 0
 
 
 def test_summary(spark):

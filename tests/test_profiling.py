@@ -90,8 +90,14 @@ def test_nonconvertible_values_are_cut_per_column(spark):
     rows = profiling.nonconvertible_values(df, df.columns).collect()
     assert sorted(row.value for row in rows) == [f"x{i:02d}" for i in range(10)]
     assert {row.column_name for row in rows} == {"votes_up"}
-    with pytest.raises(ValueError, match="1000"):
-        profiling.nonconvertible_values(df, df.columns, 1001)
+    assert profiling.nonconvertible_values(df, df.columns, 2000).count() == 30
+
+
+def test_profile_of_an_empty_table_has_a_row_per_column(spark):
+    empty = spark.createDataFrame([], "votes_up string, game string")
+    for sketch in ((), ("game",)):
+        rows = sorted(profiling.profile_columns(empty, empty.columns, sketch=sketch).collect())
+        assert [tuple(r) for r in rows] == [("game", 0, 0, None, 0, 0), ("votes_up", 0, 0, 0, 0, 0)]
 
 
 def test_null_or_zero_by_type(spark):
@@ -135,9 +141,9 @@ def test_catalog(spark, tmp_path):
     assert catalog.distinct_counts(df, "name", "user_language", approximate=True).first() == (5, 1)
 
     path = tmp_path / "names"
-    write_names(df, "name", str(path))
+    write_names(df, "name", str(path), single_file=True)
     (part,) = path.glob("part-*")
     assert part.read_text(encoding="utf-8") == "Z\na\nb\né\n"
-    write_names(df, "name", str(tmp_path / "parts"), single_file=False)
+    write_names(df, "name", str(tmp_path / "parts"))
     parts = sorted((tmp_path / "parts").glob("part-*"))
     assert "".join(p.read_text(encoding="utf-8") for p in parts) == "Z\na\nb\né\n"

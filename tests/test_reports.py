@@ -138,14 +138,36 @@ def test_review_list(spark):
 
 def test_language_filter(spark):
     ranking = reports.upvote_ranking(cols=COLS)
-    rows = reports.top_rows(of_product(sample(spark), "g"), ranking, cols=COLS)
-    german = reports.in_language(rows, ranking, "german", cols=COLS)
+    game = of_product(sample(spark), "g")
+    german = reports.in_language(game, ranking, "german", cols=COLS)
     assert [row.review_id for row in german.collect()] == [4, 2]
-    assert [row.review_id for row in reports.in_language(rows, ranking, "german", 1, COLS).collect()] == [4]
+    assert [row.review_id for row in reports.in_language(game, ranking, "german", 1, COLS).collect()] == [4]
     for everything in ("all", "", None):
-        assert reports.in_language(rows, ranking, everything, cols=COLS) is rows
-    assert reports.language_match_count(rows, rows, "german").first() == (4,)
-    assert reports.language_match_count(rows, rows, "thai").first() == (0,)
+        assert reports.in_language(game, ranking, everything, cols=COLS).count() == game.count()
+    assert reports.language_match_count(game, "german").first() == (2,)
+    assert reports.language_match_count(game, "thai").first() == (0,)
+
+
+def test_a_rare_language_has_its_list(spark):
+    rows = [(i, "english" if i < 200 else "thai", 1000 - i) for i in range(203)]
+    df = spark.createDataFrame(rows, "review_id bigint, language string, votes_up int")
+    thai = reports.in_language(df, reports.upvote_ranking(), "thai", cols=COLS)
+    assert [row.review_id for row in thai.collect()] == [200, 201, 202]
+
+
+@pytest.mark.parametrize("measure", ["0", "cast(null as int)", "if(id % 2 = 0, null, 0)"])
+def test_candidates_are_few_however_flat_the_measure(spark, measure):
+    df = spark.range(1000).selectExpr("id as review_id", f"{measure} as votes_up")
+    assert reports.ranking_candidates(df, [reports.upvote_ranking(7)], COLS).count() == 7
+
+
+def test_equal_rows_have_one_order(spark):
+    rows = [("a", None, f"text{i}", 1) for i in range(8)]
+    df = spark.createDataFrame(rows, "author_steamid string, timestamp_created timestamp, review string, votes_up int")
+    listed = [
+        [r.review for r in reports.top_rows(df.repartition(n), reports.upvote_ranking(3)).collect()] for n in (1, 3, 7)
+    ]
+    assert listed[0] == listed[1] == listed[2]
 
 
 def sections(report):
@@ -204,8 +226,19 @@ def test_report_uses_scores_the_table_has(spark, max_reviews):
     scorer = T.fragment_scorer("en", "on")
     options = {"max_reviews": max_reviews, "persist": False, "cols": DOC_REVIEWS}
     fresh = product_report(df, "click", scorer=scorer, **options)
-    stored = product_report(T.score_reviews(df, scorer, DOC_REVIEWS), "click", scorer=None, **options)
-    assert sections(fresh) == sections(stored)
+    scored = T.score_reviews(df, scorer, DOC_REVIEWS)
+    assert sections(fresh) == sections(product_report(scored, "click", stored=True, **options))
+    with pytest.raises(ValueError, match="stored"):
+        product_report(scored, "click", scorer=scorer, stored=True, **options)
+    other = T.fragment_scorer("on", "en")
+    again = product_report(scored, "click", scorer=other, **options)
+    assert sections(again) == sections(product_report(df, "click", scorer=other, **options))
+
+
+def test_report_scores_every_review(spark):
+    with product_report(doc_reviews(spark, SMALL), "click", cols=DOC_REVIEWS) as report:
+        assert report.overall.first().analyzed_count == report.summary.first().total_reviews
+        assert report.positive.columns == report.negative.columns and "votes_funny" in report.positive.columns
 
 
 def test_default_key_is_author_and_clock():

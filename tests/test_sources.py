@@ -5,10 +5,11 @@ from pyspark.sql import functions as F
 
 from conftest import SMALL
 from reviewlens.fixtures import raw_reviews, sales_reviews
-from reviewlens.schema import RAW_SCHEMA
+from reviewlens.schema import RAW_SCHEMA, CastSpec
 from reviewlens.sources.readers import has_rows, read_parquet, read_raw_csv
 from reviewlens.sources.scratch import scratch_path
-from reviewlens.sources.sinks import cluster_reviews, export, write_parquet
+from reviewlens.plans.cleaning import clean_to_parquet
+from reviewlens.sources.sinks import cluster_reviews, export, files_for, write_parquet
 
 
 def test_csv_keeps_quotes_breaks_spaces_and_nulls(spark, tmp_path):
@@ -28,12 +29,37 @@ def test_csv_single_lines_can_be_split(spark, tmp_path):
     assert back.exceptAll(raw).isEmpty() and back.count() == 1000
 
 
-def test_csv_with_wrong_columns(spark, tmp_path):
+@pytest.mark.parametrize("row", ["1", "1,2,3"])
+def test_csv_rows_of_the_wrong_width_are_never_lost_silently(spark, tmp_path, row):
     path = tmp_path / "bad.csv"
-    path.write_text("a,b\n1,2\n1\n")
-    assert read_raw_csv(spark, str(path), "a string, b string").collect() == [("1", "2"), ("1", None)]
+    path.write_text(f"a,b\n1,2\n{row}\n")
     with pytest.raises(Exception, match="(?i)malformed"):
-        read_raw_csv(spark, str(path), "a string, b string", mode="FAILFAST").collect()
+        read_raw_csv(spark, str(path), "a string, b string").select("a").collect()
+    kept = read_raw_csv(spark, str(path), "a string, b string", corrupt="bad")
+    assert [(r.a, r.bad) for r in kept.collect()] == [("1", None), ("1", row)]
+    report = clean_to_parquet(kept, str(tmp_path / "clean"), CastSpec(integers=("a",)), unused=(), corrupt="bad")
+    assert (report.rows_before, report.rows_after, report.corrupt_rows) == (2, 1, 1)
+    assert spark.read.parquet(str(tmp_path / "clean")).columns == ["a", "b"]
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    path = tmp_path / "in" / "one.csv"
+    path.write_text("b,a\n1,2\n")
+    assert read_raw_csv(spark, str(path), "a string, b string").collect() == [("2", "1")]
+    for declared in ("a string, c string", "a string", "a string, b string, c string"):
+        with pytest.raises(ValueError, match="header"):
+            read_raw_csv(spark, str(path), declared)
+    (tmp_path / "in" / "two.csv").write_text("a,b\n1,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_raw_csv(spark, str(tmp_path / "in"), "a string, b string").collect()
+
+
+def test_csv_with_its_own_line_ends(spark, tmp_path):
+    path = tmp_path / "crlf.csv"
+    path.write_bytes(b'a,b\r\n1,"x\ny"\r\n')
+    read = read_raw_csv(spark, str(path), "a string, b string", multiline=False, line_sep="\r\n")
+    assert read.collect() == [("1", "x\ny")]
 
 
 def test_parquet_with_declared_schema(spark, tmp_path):
@@ -83,17 +109,19 @@ def test_scratch_folder_comes_from_the_session(spark):
     assert first.startswith(root + "/x-") and first != second
 
 
-class FakeSession:
-    def __init__(self, **settings):
-        self.settings = settings
-        self.conf = self
+def test_scratch_folder_without_a_checkpoint_folder_is_in_the_warehouse(spark):
+    class Unset:
+        conf, _jvm, _jsc = None, spark._jvm, spark._jsc
 
-    def get(self, name, default=None):
-        return self.settings.get(name, default)
+        def get(self, name, default=None):
+            return default if name == "spark.checkpoint.dir" else spark.conf.get(name)
 
+    session = Unset()
+    session.conf = session
+    assert scratch_path(session, "x").startswith(spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch/x-")
 
-def test_scratch_folder_is_never_local_on_a_cluster():
-    with pytest.raises(ValueError):
-        scratch_path(FakeSession(**{"spark.master": "yarn"}), "x")
-    assert scratch_path(FakeSession(**{"spark.master": "local[2]"}), "x")
-    assert scratch_path(FakeSession(**{"spark.checkpoint.dir": "hdfs:///shared/"}), "x").startswith("hdfs:///shared/x-")
+
+def test_files_follow_the_size(spark, tmp_path):
+    write_parquet(spark.range(1000), str(tmp_path / "t"))
+    assert files_for(spark, str(tmp_path / "t")) == 1
+    assert files_for(spark, str(tmp_path / "t"), 100) > 10
