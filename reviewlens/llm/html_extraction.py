@@ -192,7 +192,8 @@ def _hash_all(root: Node) -> None:
 
 
 def subtrees(html: str | None) -> set[int]:
-    """Hashes of the page's subtrees that hold text and are not dropped anyway, the holders of the article excepted."""
+    """Hashes of the page's subtrees that are not dropped anyway: not of those that hold the article, nor what an
+    ``article`` element holds, as copied articles are no template."""
     root = parse(html)
     holders = set(map(id, _prepare(root)))
     _hash_all(root)
@@ -200,7 +201,7 @@ def subtrees(html: str | None) -> set[int]:
     todo = [root]
     while todo:
         node = todo.pop()
-        if node.dropped:
+        if node.dropped or (id(node) in holders and node.tag == "article"):
             continue
         if id(node) not in holders and node.tag not in ("html", "body") and node.children:
             found.add(node.hash)
@@ -224,6 +225,7 @@ def main_text(html: str | None, template: frozenset[int] | set[int] = frozenset(
         current.clear()
 
     for holder in holders:
+        removed = frozenset() if holder.tag == "article" else template
         todo: list[Node | str | None] = [holder]
         while todo:
             item = todo.pop()
@@ -233,7 +235,7 @@ def main_text(html: str | None, template: frozenset[int] | set[int] = frozenset(
                 current.append(item)
             elif item.tag == "br":
                 current.append(" ")
-            elif not item.dropped and (item is holder or item.hash not in template or not template):
+            elif not item.dropped and (item is holder or not removed or item.hash not in removed):
                 block = item.tag in BLOCKS
                 if block:
                     flush()
