@@ -20,8 +20,8 @@ from reviewlens.llm.common import map_batches
 SPACE = "▁"
 #: A character outside the vocabulary costs this much more than the rarest piece, and is written as bytes.
 UNKNOWN_COST = 10.0
-#: Terminal counts that a worker process keeps between batches before it starts afresh.
-REMEMBERED = 500_000
+#: Terminal counts in each of two generations that a worker process keeps between batches.
+REMEMBERED = 250_000
 LONGEST_KEY = 256
 
 
@@ -45,9 +45,11 @@ class Unigram:
 
     def __init__(self, scores: dict[str, float]):
         self.scores = scores
-        self.longest = max(map(len, scores), default=1)
         self.unknown = min(scores.values(), default=0.0) - UNKNOWN_COST
+        # every ending of a piece: the search for pieces that end at a node walks up while the walk is in here
+        self.endings = dict.fromkeys((piece[i:] for piece in scores for i in range(len(piece))), -math.inf) | scores
         self.counts: dict[str, int] = {}
+        self.old: dict[str, int] = {}
 
     def add(self, words: set[str]) -> None:
         """Stores the token count of each word, read with the space mark in front as after white space.
@@ -56,7 +58,7 @@ class Unigram:
         held: ``best[d]`` and ``tokens[d]`` belong to its node at depth ``d``, and the part of it that the
         next word shares is not computed again.
         """
-        scores, longest, unknown = self.scores, self.longest, self.unknown
+        scores, ending, unknown, counts = self.scores, self.endings.get, self.unknown, self.counts
         path, best, tokens = "", [0.0], [0]
         for plain in sorted(words):
             word = SPACE + plain
@@ -66,28 +68,35 @@ class Unigram:
             del best[shared + 1 :]
             del tokens[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
-                top, count = -math.inf, 0
-                for start in range(max(0, end - longest), end):
-                    score = scores.get(word[start:end])
-                    if score is not None and best[start] + score > top:
+                top, count, start = -math.inf, 0, end - 1
+                score = ending(word[start:end])
+                while score is not None:
+                    if best[start] + score >= top:  # at a tie the longest last piece
                         top, count = best[start] + score, tokens[start] + 1
+                    if not start:
+                        break
+                    start -= 1
+                    score = ending(word[start:end])
                 if word[end - 1] not in scores and best[end - 1] + unknown > top:
                     top = best[end - 1] + unknown
                     count = tokens[end - 1] + len(word[end - 1].encode("utf-8", "surrogatepass"))
                 best.append(top)
                 tokens.append(count)
             path = word
-            self.counts[plain] = tokens[-1]
+            counts[plain] = tokens[-1]
 
     def count(self, texts: list[str | None]) -> list[tuple[int, int]]:
         """(pre-tokens, tokens) of each text."""
         if len(self.counts) > REMEMBERED:
-            self.counts.clear()
+            self.old, self.counts = self.counts, {}
         split = [text.split() if text else [] for text in texts]
-        new = {word for words in split for word in words}.difference(self.counts)
+        held, old = self.counts, self.old
+        new = set().union(*split).difference(held)
+        known = new & old.keys()
+        held.update((word, old[word]) for word in known)
+        new -= known
         long = {w for w in new if len(w) > LONGEST_KEY}
         self.add(new)
-        held = self.counts
         found = [(len(words), sum(map(held.__getitem__, words))) for words in split]
         for word in long:
             del held[word]

@@ -113,6 +113,18 @@ def test_shared_prefixes_give_the_same_counts_as_single_words():
         assert alone.counts == {word: together.counts[word]}
 
 
+def test_memory_of_the_counter_is_bounded(monkeypatch):
+    scores = unigram.zipf_scores(queries.UNIGRAM_FILE)
+    roomy, texts = unigram.Unigram(scores), [[f"word{i} other{i % 3} word{i - 7}"] for i in range(100)]
+    expected = [roomy.count(t) for t in texts]
+    monkeypatch.setattr(unigram, "REMEMBERED", 10)
+    tight = unigram.Unigram(scores)
+    assert [tight.count(t) for t in texts] == expected
+    assert len(tight.counts) + len(tight.old) <= 2 * (10 + 3)
+    tight.count(["y" * 5000])
+    assert "y" * 5000 not in tight.counts
+
+
 # ---------------------------------------------------------------- packing
 
 
