@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reviewlens.llm import language, packing, quality, secret_scan, simhash
+from reviewlens.llm import language, packing, quality, secret_scan, text_dedup
 from reviewlens.llm.common import stored
 from reviewlens.llm.queries import BPE_FILE
 
@@ -28,8 +28,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays: the one with the smallest doc_id."""
-    return simhash.drop_near_duplicates(docs)
+    """One document of each group with five-word Jaccard 0.8 or more stays: the one with the smallest doc_id."""
+    return text_dedup.drop_near_duplicates(docs)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -26,24 +26,33 @@ SEED = 42
 BLOCK = 2048
 
 
-def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:
-    """SimHash over the word shingles of a whole text, repeats included; 0 for a text without words."""
+def shingle_hashes(text: str | None, words: int) -> np.ndarray:
+    """A hash of each word shingle of a whole text, repeats included; a shorter text is one shingle."""
     found = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not found:
-        return 0
+        return np.empty(0, np.uint64)
     joined = b" ".join(found)
-    if len(found) <= words:
-        return xxhash.xxh64_intdigest(joined, SEED)
     digest, seed = xxhash.xxh64_digest, SEED
     lengths = np.fromiter(map(len, found), np.int64, len(found))
     ends = np.cumsum(lengths + 1) - 1
-    starts = (ends - lengths)[: len(found) - words + 1].tolist()
-    hashes = b"".join([digest(joined[s:e], seed) for s, e in zip(starts, ends[words - 1 :].tolist(), strict=True)])
-    bits = np.unpackbits(np.frombuffer(hashes, np.uint8).reshape(-1, 8), axis=1)
+    starts = (ends - lengths)[: max(len(found) - words, 0) + 1].tolist()
+    stops = ends[min(words, len(found)) - 1 :].tolist()
+    hashes = b"".join([digest(joined[s:e], seed) for s, e in zip(starts, stops, strict=True)])
+    return np.frombuffer(hashes, ">u8").astype(np.uint64)
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that more than half of the hashes have; 0 for none."""
+    bits = np.unpackbits(hashes.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
     ones = 2 * bits.sum(axis=0, dtype=np.int64) > len(bits)
     return int.from_bytes(np.packbits(ones).tobytes(), "big")
 
 
+def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:
+    """SimHash over the word shingles of a whole text, repeats included; 0 for a text without words."""
+    return majority(shingle_hashes(text, words))
+
+
 def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
     """(doc_id, fp) of every row; fp is the fingerprint as a signed long."""
 
@@ -150,7 +159,11 @@ def drop_near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, radius: in
 
     Of rows without doc_id, one of each text stays.
     """
-    found = near_duplicates(docs, words, radius)
+    return first_of_each(docs, near_duplicates(docs, words, radius))
+
+
+def first_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that name their component in ``found`` (doc_id, component_id), each doc_id once."""
     chosen = stored(
         found.where("doc_id = component_id").groupBy(F.col("doc_id").alias("__kept")).agg(F.count("*").alias("__rows")),
         "kept-documents",

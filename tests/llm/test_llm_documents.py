@@ -5,12 +5,13 @@ import itertools
 import re
 import zlib
 
+import corpus_pipeline
 import numpy as np
 import pytest
-from brute import AWKWARD, awkward, base_quality, components, empty, secrets, simhash
+from brute import AWKWARD, WORD, awkward, base_quality, components, empty, secrets, simhash
 from conftest import SMALL
 
-from reviewlens.llm import language, quality, queries, secret_scan, simhash as near
+from reviewlens.llm import language, quality, queries, secret_scan, simhash as near, text_dedup
 from reviewlens.llm.components import connected_components
 
 TEXTS = [t for _, t, *_ in AWKWARD]
@@ -203,6 +204,52 @@ def test_components_of_chains_stars_and_loops(spark):
     assert connected_components(spark.createDataFrame([], "u string, v string")).collect() == []
 
 
+# ---------------------------------------------------------------- near-duplicate texts of the pipeline
+
+
+def five_words(text):
+    words = [w.encode() for w in WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))]
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def test_pipeline_stage_finds_what_exact_jaccard_finds(spark):
+    """Edited copies from Jaccard 0.7 to 0.95, most of them more than 4 bits apart."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for group in range(60):
+        words = [f"w{x}" for x in rng.integers(0, 5000, 200)]
+        rows.append((10 * group, " ".join(words)))
+        for copy in range(1, 4):
+            edited = list(words)
+            for at in rng.choice(200, copy * 2 + group % 3, replace=False):
+                edited[at] = f"x{rng.integers(0, 5000)}"
+            rows.append((10 * group + copy, " ".join(edited)))
+    ids, sets = [i for i, _ in rows], [five_words(t) for _, t in rows]
+    linked = np.array([[5 * len(a & b) >= 4 * len(a | b) for b in sets] for a in sets])
+    prints = [near.fingerprint(t) for _, t in rows]
+    apart = [(prints[i] ^ prints[j]).bit_count() for i, j in zip(*np.nonzero(np.triu(linked, 1)), strict=True)]
+    assert sum(bits > near.RADIUS for bits in apart) > 30
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in text_dedup.near_duplicates(docs).collect()}
+    expected = components(linked, ids)
+    assert [found[i] for i in ids] == expected
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert sorted(r.doc_id for r in kept.collect()) == [i for i, c in zip(ids, expected, strict=True) if i == c]
+
+
+@pytest.mark.parametrize("block", [3, 1024])
+def test_blocks_of_texts_join_what_jaccard_joins(spark, block, monkeypatch):
+    words = [f"w{i}" for i in range(100)]
+    rows = [(i, " ".join([*words[: 50 + i], *words[: 2 * i]])) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = [five_words(t) for _, t in rows]
+    assert (text_dedup.alike([text_dedup.shingles(t) for _, t in rows]) == [[5 * len(a & b) >= 4 * len(a | b) for b in sets] for a in sets]).all()
+    classes = text_dedup._described(docs).withColumnRenamed("doc_id", "node")
+    found = {r.node: r.component for r in connected_components(text_dedup.near_pairs(docs, classes, block=block)).collect()}
+    linked = np.array([[5 * len(a & b) >= 4 * len(a | b) for b in sets] for a in sets])
+    assert [found.get(i, i) for i in range(40)] == components(linked, range(40))
+
+
 # ---------------------------------------------------------------- secrets
 
 
