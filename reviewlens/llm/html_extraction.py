@@ -1,8 +1,9 @@
 """Main text of web pages by removal of site templates.
 
-Pages are parsed to element trees. Each subtree outside the article gets a hash of its tags and text, and Spark
-counts on how many pages of its host it occurs: what recurs on many of them is the site's template and is
-deleted, whatever it is called. What a page says about itself (navigation, forms, notices, comments and so
+Pages are parsed to element trees. Each subtree gets a hash of its tags and text, and Spark counts on how many
+pages of its host it occurs: what recurs on many of them is the site's template and is deleted, whatever it is
+called. In an ``article`` element, blocks are counted by the different articles around them, so that copied
+articles stay. What a page says about itself (navigation, forms, notices, comments and so
 on, by element, role and class) is deleted too, as such parts often differ from page to page.
 """
 
@@ -160,8 +161,8 @@ def _is_main(node: Node) -> bool:
     return node.tag == "main" or bool(re.search(r"""role\s*=\s*["']?main\b|itemprop\s*=\s*["']?articleBody""", node.attributes, re.I))
 
 
-def _prepare(root: Node) -> list[Node]:
-    """Marks what is dropped, and gives the elements that hold the article: articles, else main, else all."""
+def _prepare(root: Node) -> tuple[list[Node], list[Node]]:
+    """Marks what is dropped, and gives the articles and the main elements that are not inside an article."""
     articles, mains = [], []
     todo: list[tuple[Node, bool]] = [(root, False)]
     while todo:
@@ -175,7 +176,7 @@ def _prepare(root: Node) -> list[Node]:
         elif not inside and _is_main(node):
             mains.append(node)
         todo += [(child, inside) for child in reversed(node.children) if isinstance(child, Node)]
-    return articles or mains or [root]
+    return articles, mains
 
 
 def _hash_all(root: Node) -> None:
@@ -191,30 +192,58 @@ def _hash_all(root: Node) -> None:
         node.hash = int.from_bytes(hashlib.blake2b(b"\0".join(parts), digest_size=8).digest(), "little", signed=True)
 
 
-def subtrees(html: str | None) -> set[int]:
-    """Hashes of the page's subtrees that are not dropped anyway: not of those that hold the article, nor what an
-    ``article`` element holds, as copied articles are no template."""
+def subtrees(html: str | None) -> set[tuple[int | None, bool, int]]:
+    """(hash, inside, around) of the page's subtrees that are not dropped anyway: outside articles all but those that
+    hold the article, around them the page; inside an ``article`` its blocks, around them that article.
+
+    Rows without a hash count the page itself and its articles.
+    """
     root = parse(html)
-    holders = set(map(id, _prepare(root)))
+    articles, mains = _prepare(root)
+    holders = set(map(id, articles or mains or [root]))
+    starts = set(map(id, articles))
     _hash_all(root)
-    found: set[int] = set()
-    todo = [root]
+    found: set[tuple[int | None, bool, int]] = {(None, False, root.hash)}
+    todo: list[tuple[Node, Node]] = [(root, root)]
     while todo:
-        node = todo.pop()
-        if node.dropped or (id(node) in holders and node.tag == "article"):
+        node, around = todo.pop()
+        if node.dropped:
             continue
-        if id(node) not in holders and node.tag not in ("html", "body") and node.children:
-            found.add(node.hash)
-        todo += [c for c in node.children if isinstance(c, Node)]
+        inside = around is not root
+        if id(node) in starts:
+            around = node
+            found.add((None, True, node.hash))
+        elif inside and node.tag in BLOCKS and node.children:
+            found.add((node.hash, True, around.hash))
+        elif not inside and id(node) not in holders and node.tag not in ("html", "body") and node.children:
+            found.add((node.hash, False, root.hash))
+        todo += [(c, around) for c in node.children if isinstance(c, Node)]
     return found
 
 
-def main_text(html: str | None, template: frozenset[int] | set[int] = frozenset()) -> str:
-    """Text of the article: blocks in page order, one per line, without dropped parts and template subtrees."""
+def main_text(
+    html: str | None, template: frozenset[int] | set[int] = frozenset(), inner: frozenset[int] | set[int] = frozenset()
+) -> str:
+    """Text of the article: blocks in page order, one per line, without dropped parts and template subtrees.
+
+    ``template`` is removed outside ``article`` elements, ``inner`` inside them. Articles, or else the main element,
+    are the text if they have at least half of what is then left of the page.
+    """
     root = parse(html)
-    holders = _prepare(root)
-    if template:
+    articles, mains = _prepare(root)
+    if template or inner:
         _hash_all(root)
+    starts = set(map(id, articles))
+    whole = _text([root], starts, template, inner)
+    for holders in (articles, mains):
+        if holders and holders != [root]:
+            text = _text(holders, starts, template, inner)
+            if 2 * len(text) >= len(whole):
+                return text
+    return whole
+
+
+def _text(holders: list[Node], starts: set[int], template: frozenset[int] | set[int], inner: frozenset[int] | set[int]) -> str:
     blocks: list[str] = []
     current: list[str] = []
 
@@ -225,19 +254,26 @@ def main_text(html: str | None, template: frozenset[int] | set[int] = frozenset(
         current.clear()
 
     for holder in holders:
-        removed = frozenset() if holder.tag == "article" else template
-        todo: list[Node | str | None] = [holder]
+        inside = False
+        todo: list[Node | str | None | bool] = [holder]
         while todo:
             item = todo.pop()
             if item is None:
                 flush()
+            elif item is False:
+                inside = False
             elif isinstance(item, str):
                 current.append(item)
             elif item.tag == "br":
                 current.append(" ")
-            elif not item.dropped and (item is holder or not removed or item.hash not in removed):
-                block = item.tag in BLOCKS
-                if block:
+            elif not item.dropped:
+                start = id(item) in starts
+                if item is not holder and not start and (item.hash in inner and item.tag in BLOCKS if inside else item.hash in template):
+                    continue
+                if start:
+                    inside = True
+                    todo.append(False)
+                if item.tag in BLOCKS:
                     flush()
                     todo.append(None)
                 todo += reversed(item.children)
@@ -246,26 +282,37 @@ def main_text(html: str | None, template: frozenset[int] | set[int] = frozenset(
 
 
 def templates(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
-    """(host, hashes): the template subtrees of each host that has some.
+    """(host, hashes, inner): the template subtrees of each host that has some, outside and inside articles.
 
     A host has at most its mean number of subtrees a page, over ``least_share``.
     """
 
     def run(batch: pa.RecordBatch) -> dict:
-        hosts, hashes = [], []
+        hosts, rows = [], []
         for host, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            found = sorted(subtrees(html))
-            hosts += [host] * (len(found) + 1)
-            hashes += [None, *found]  # the null counts the page itself
-        return {"host": pa.array(hosts, pa.string()), "hash": pa.array(hashes, pa.int64())}
-
-    rows = map_batches(pages.select(host_of(F.col("url")).alias("host"), F.col("html").cast("string")), run, "host string, hash long")
+            found = subtrees(html)
+            hosts += [host] * len(found)
+            rows += found
+        hashes, inside, around = zip(*rows, strict=True) if rows else ((), (), ())
+        return {
+            "host": pa.array(hosts, pa.string()),
+            "hash": pa.array(hashes, pa.int64()),
+            "inside": pa.array(inside, pa.bool_()),
+            "around": pa.array(around, pa.int64()),
+        }
+
+    source = pages.select(host_of(F.col("url")).alias("host"), F.col("html").cast("string"))
+    rows = map_batches(source, run, "host string, hash long, inside boolean, around long")
+    # Outside articles pages count, inside them different articles.
+    each = rows.groupBy("host", "hash", "inside", "around").agg(F.count("*").alias("rows"))
+    number = F.when(F.col("inside"), F.count("*")).otherwise(F.sum("rows"))
     counted = stored(
-        rows.groupBy("host", "hash").agg(F.count("*").alias("n")).where(F.col("hash").isNull() | (F.col("n") >= least_pages)), "subtree-counts"
+        each.groupBy("host", "hash", "inside").agg(number.alias("n")).where(F.col("hash").isNull() | (F.col("n") >= least_pages)), "subtree-counts"
     )
-    total = stored(counted.where("hash is null").select("host", F.col("n").alias("pages")), "host-pages")
-    often = counted.where("hash is not null").join(total, "host").where(F.col("n") > F.col("pages") * least_share)
-    return often.groupBy("host").agg(F.collect_list("hash").alias("hashes"))
+    total = stored(counted.where("hash is null").select("host", "inside", F.col("n").alias("of")), "host-pages")
+    often = counted.where("hash is not null").join(total, ["host", "inside"]).where(F.col("n") > F.col("of") * least_share)
+    listed = lambda which: F.collect_list(F.when(which, F.col("hash")))
+    return often.groupBy("host").agg(listed(~F.col("inside")).alias("hashes"), listed(F.col("inside")).alias("inner"))
 
 
 def extract(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
@@ -277,17 +324,17 @@ def extract(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float
     """
     site = stored(templates(pages, least_pages, least_share), "templates")
     own = pages.select("page_id", "url", F.col("html").cast("string").alias("html"), host_of(F.col("url")).alias("host"))
-    joined = own.join(site, "host", "left").select("page_id", "url", "html", "hashes")
+    joined = own.join(site, "host", "left").select("page_id", "url", "html", F.when(F.col("hashes").isNotNull(), F.struct("hashes", "inner")).alias("template"))
     kind = own.schema
 
     def run(batch: pa.RecordBatch) -> dict:
-        texts, last, held = [], None, frozenset()
+        texts, last, held = [], None, ()
         for i, html in enumerate(batch.column(2).to_pylist()):
             hashes = batch.column(3)[i]
             if hashes.is_valid:
                 if hashes != last:
-                    last, held = hashes, frozenset(hashes.as_py())
-                texts.append(main_text(html, held))
+                    last, held = hashes, tuple(map(frozenset, hashes.as_py().values()))
+                texts.append(main_text(html, *held))
             else:
                 texts.append(main_text(html))
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))

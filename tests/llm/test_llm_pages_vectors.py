@@ -68,6 +68,18 @@ def test_template_subtrees_go_and_articles_stay(spark):
     assert {found[i] for i in range(15, 27)} == {"copied"}
 
 
+def test_template_inside_articles_goes_and_text_outside_stays(spark):
+    """Blocks under many different articles go; copied articles stay; teaser cards are not the text of a page."""
+    box = "<div><p>Read more on our site</p></div>"
+    rows = [(f"http://a.example/{i}", f"<body><article><p>Own text {i}</p>{box}</article></body>") for i in range(12)]
+    rows += [("http://a.example/copy", f"<body><article><p>copied</p><p>lines</p></article><i>{i}</i></body>") for i in range(8)]
+    rows += [("http://b.example/", "<body><div>" + "A long body. " * 9 + "</div><article>Card</article></body>")]
+    found = {r.page_id: r.text for r in html.extract(pages(spark, rows)).collect()}
+    assert [found[i] for i in range(12)] == [f"Own text {i}" for i in range(12)]
+    assert {found[i] for i in range(12, 20)} == {"copied\nlines"}
+    assert found[20] == ("A long body. " * 9).strip() + "\nCard"
+
+
 def test_extraction_of_awkward_pages(spark):
     rows = [(None, None), (None, "<p>x"), ("no scheme", ""), ("http://A.example", "<p>y</p>")] + [("http://a.example", "<p>y</p>")] * 2
     found = html.extract(pages(spark, rows)).collect()
