@@ -3,8 +3,8 @@
 Each half of the vectors has a codebook of its own; pairs of codewords are the cells of a grid. A vector lies in
 its home cell and visits other cells in the order of how near they can be: a half of a vector is at least
 ``(d(x, c)^2 - d(x, own)^2) / (2 |c - own|)`` away from everything nearer to codeword ``c``, and the squares of both
-halves add up. Visits end at the reach within which the wanted share of pairs at the threshold itself lies, which
-is measured on a bounded sample. What is met is verified in double precision.
+halves add up. Visits end where that sum passes the squared distance of unit vectors at the threshold, so that no pair is lost,
+however the vectors are spread. What is met is verified in double precision.
 
 The codebooks are fitted on the sample; every vector is indexed. A large cell is cut into blocks, and blocks of
 residents meet blocks of visitors in tasks of their own. A meeting gives back counts and a spanning set of
@@ -25,9 +25,9 @@ from reviewlens.llm.common import runs, stored
 from reviewlens.llm.components import connected_components
 
 THRESHOLD = 0.95
-#: Share of pairs exactly at the threshold whose cells are visited from either side; nearer pairs are met more surely.
-RECALL = 0.995
-#: Vectors on which the codebooks and the reach are fitted, taken by digest of their id.
+#: What rounding may add to a squared lower bound.
+SLACK = 1e-6
+#: Vectors on which the codebooks are fitted, taken by digest of their id.
 SAMPLE = 16_384
 PER_CELL = 32
 MOST_CODEWORDS = 4096
@@ -55,7 +55,7 @@ class Index:
             own = away.argmin(axis=1)
             apart = np.sqrt(((book[own][:, None, :] - book[None, :, :]) ** 2).sum(axis=2)) if len(book) <= 64 else _apart(book, own)
             gap = away - away[np.arange(len(part)), own][:, None]
-            found.append((own, (gap / np.where(apart > 0, 2 * apart, 1)) ** 2))
+            found.append((own, (np.maximum(gap, 0) / np.where(apart > 0, 2 * apart, 1)) ** 2))
         return found
 
     def cells(self, vectors: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -90,22 +90,13 @@ def _codebook(points: np.ndarray, size: int, seed: int, rounds: int = 10) -> np.
     return book
 
 
-def fit(sample: np.ndarray, n: int, threshold: float = THRESHOLD, recall: float = RECALL) -> Index:
+def fit(sample: np.ndarray, n: int, threshold: float = THRESHOLD) -> Index:
     """An index for ``n`` unit vectors from a sample of them: about ``PER_CELL`` vectors a cell."""
     wanted = int(np.clip(np.sqrt(max(n, 1) / PER_CELL), 2, MOST_CODEWORDS))
     size = 1 << (wanted.bit_length() - 1)
     middle = sample.shape[1] // 2
-    index = Index((_codebook(sample[:, :middle], size, 1), _codebook(sample[:, middle:], size, 2)), 0.0)
-    random = np.random.default_rng(3)
-    chosen = sample[random.choice(len(sample), 4000)]
-    aside = random.normal(size=chosen.shape)
-    aside -= (aside * chosen).sum(axis=1)[:, None] * chosen
-    aside /= np.maximum(np.sqrt((aside**2).sum(axis=1)), 1e-300)[:, None]
-    partners = threshold * chosen + np.sqrt(1 - threshold**2) * aside
-    (_, low1), (_, low2) = index.bounds(chosen)
-    (own1, _), (own2, _) = index.bounds(partners)
-    row = np.arange(len(chosen))
-    return Index(index.halves, float(np.quantile(low1[row, own1] + low2[row, own2], recall)))
+    halves = (_codebook(sample[:, :middle], size, 1), _codebook(sample[:, middle:], size, 2))
+    return Index(halves, 2 * (1 - threshold) + SLACK)
 
 
 def _units(raw: list[bytes]) -> np.ndarray:
@@ -121,7 +112,7 @@ def _prepared(vectors: DataFrame) -> DataFrame:
     return whole.select("vec_id", F.when(sound & F.col("vec_id").isNotNull(), v).alias("vector"))
 
 
-def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
+def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row.
 
     Vectors that are null, zero, or hold null or non-finite components, and rows without vec_id, link with
@@ -141,7 +132,7 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, recall: float
     found = None
     for dim, n in sorted(shapes.items()):
         own = classes.where(F.col("dim") == dim)
-        met = _meetings(own, int(dim), int(n), threshold, recall)
+        met = _meetings(own, int(dim), int(n), threshold)
         found = met if found is None else found.unionByName(met)
     if found is None:
         found = spark.createDataFrame([], "u long, v long, links long")
@@ -168,12 +159,12 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, recall: float
     )
 
 
-def _meetings(classes: DataFrame, dim: int, n: int, threshold: float, recall: float) -> DataFrame:
+def _meetings(classes: DataFrame, dim: int, n: int, threshold: float) -> DataFrame:
     """(u, v, links): for nodes with links, how many a meeting found and the least node it reaches there."""
     spark = classes.sparkSession
     drawn = classes.orderBy(F.xxhash64("node"), "node").select("vector").limit(SAMPLE).toArrow().column(0).combine_chunks()
     sample = _normal(drawn.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim))
-    index = spark.sparkContext.broadcast(fit(sample, n, threshold, recall))
+    index = spark.sparkContext.broadcast(fit(sample, n, threshold))
 
     def place(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

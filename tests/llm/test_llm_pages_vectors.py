@@ -265,6 +265,22 @@ def test_recall_at_the_threshold_itself():
     assert met >= 0.98
 
 
+def test_no_pair_is_lost_where_coordinates_differ_in_variance():
+    """Pairs at the threshold that differ as the data do, not evenly in all directions."""
+    rng = np.random.default_rng(6)
+    scale = 1 / np.arange(1, 65)
+    x = rng.normal(size=(5000, 64)) * scale
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    aside = rng.normal(size=x.shape) * scale
+    aside -= (aside * x).sum(axis=1)[:, None] * x
+    aside /= np.linalg.norm(aside, axis=1)[:, None]
+    y = 0.95 * x + np.sqrt(1 - 0.95**2) * aside
+    index = vector_dedup.fit(x, 100_000)
+    home, _ = index.cells(y)
+    _, visits = index.cells(x)
+    assert all(h in set(v.tolist()) for h, v in zip(home, visits, strict=True))
+
+
 def test_no_vectors(spark):
     assert vector_dedup.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).collect() == []
 
