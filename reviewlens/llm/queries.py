@@ -6,6 +6,7 @@ and no canonical links. The others are tested against brute force, round trips o
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
@@ -17,6 +18,8 @@ from reviewlens.llm import (
     html_extraction,
     language,
     packing,
+    period_runs,
+    prefix_trie,
     quality,
     secret_scan,
     simhash,
@@ -85,6 +88,28 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.report(table(spark, sf_dir, "documents"))
 
 
+def with_period(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The words as they are, or for about one document in ten with their end made periodic; a null doc_id changes nothing."""
+    n = len(words)
+    h = zlib.crc32(str(doc_id).encode())
+    if doc_id is None or h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + i % p] for i in range(n - a)]
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return period_runs.digests(period_runs.period_runs(table(spark, sf_dir, "documents"), with_period))
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conv = F.col("conv_id")
+    graft = conv - F.pmod(conv, F.lit(20)), F.crc32(conv.cast("string")) % 4
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"), graft)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -98,6 +123,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_bpe,
         op9_language_id,
         op10_secret_scans,
+        op11_periodic_runs,
+        op13_conversation_trie,
     )
 }
 
