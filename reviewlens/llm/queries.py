@@ -23,6 +23,7 @@ from reviewlens.llm import (
     quality,
     secret_scan,
     simhash,
+    suffix_tree,
     unigram,
     url_filter,
     vector_dedup,
@@ -104,6 +105,16 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return period_runs.digests(period_runs.period_runs(table(spark, sf_dir, "documents"), with_period))
 
 
+def op12_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = suffix_tree.score(docs, ~suffix_tree.held_out() & F.col("doc_id").isNotNull())
+    return scored.select(
+        "doc_id",
+        suffix_tree.held_out().alias("held_out"),
+        *["n_tokens", "n_known", "train_tokens", "base_score", "score"],
+    )
+
+
 def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     conv = F.col("conv_id")
     graft = conv - F.pmod(conv, F.lit(20)), F.crc32(conv.cast("string")) % 4
@@ -124,6 +135,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_language_id,
         op10_secret_scans,
         op11_periodic_runs,
+        op12_lm_scores,
         op13_conversation_trie,
     )
 }
