@@ -11,9 +11,9 @@ MAX_UNIX_SECONDS = 253402300799
 
 def to_whole_number(c: Column, dtype: T.DataType, allow_fractional: bool = True) -> Column:
     """Whole number or null. ``'12.0'`` is truncated to 12, or malformed if ``allow_fractional`` is false."""
-    if allow_fractional:
-        c = c.try_cast("decimal(38,18)")
-    return c.try_cast(dtype)
+    whole = c.try_cast(dtype)
+    # Nearly all numbers are plain ones; the exact and dear way over decimals is for what is left.
+    return F.coalesce(whole, c.try_cast("decimal(38,18)").try_cast(dtype)) if allow_fractional else whole
 
 
 def unix_to_timestamp(seconds: Column) -> Column:

@@ -33,6 +33,8 @@ TARGET_PATTERNS: Mapping[str, str] = {
 
 # How many parts of a column are ranked on their own before the column is.
 RANKED_PARTS = 64
+# Characters of a free text that take part in its ranking before its text is fetched.
+RANKED_CHARACTERS = 64
 ROW_COUNTS = ("blank_rows", "nonconvertible_rows", "padded_rows", "special_character_rows")
 
 
@@ -64,52 +66,42 @@ def profile_columns(
 ) -> DataFrame:
     """One row of counts per column: distinct, blank, non-convertible, padded, special characters.
 
-    ``nonconvertible_rows`` is null for a column without a pattern. One scan checks every row; what is
-    shuffled is a digest of each distinct value with its counts, so its size does not depend on
-    how long the texts are. For columns in ``sketch`` the number of distinct values is approximate and
-    nothing but counts is shuffled. An empty table gives a row of zeros per column.
+    ``nonconvertible_rows`` is null for a column without a pattern. One scan checks every row as a flat aggregate of one
+    row a task; one more makes the digests of the other columns' values distinct, and what is shuffled is 16 bytes a
+    distinct value, however long the texts are. For columns in ``sketch`` the number of distinct values is approximate
+    and comes from the first scan. An empty table gives a row of zeros per column.
     """
     columns, sketch = list(columns), set(sketch)
-    known = [c for c in columns if c in patterns]
-    values = []
-    for name in columns:
-        text = column(name)
-        checks = _row_checks(text)
-        checks["nonconvertible_rows"] = breaks_pattern(text, patterns[name]) if name in patterns else F.lit(False)
-        digest = F.unhex(F.md5(text)) if name not in sketch else F.lit(None).cast("binary")
-        values.append(
-            F.struct(
-                F.lit(name).alias("column_name"),
-                digest.alias("digest"),
-                text.isNotNull().alias("known"),
-                (F.xxhash64(text) if name in sketch else F.lit(None).cast("bigint")).alias("sketched"),
-                *[F.coalesce(checks[c], F.lit(False)).alias(c) for c in ROW_COUNTS],
-            )
+    text = _as_text(df, columns)
+    numbers = {name: f"c{i}" for i, name in enumerate(columns)}
+    flat = []
+    for name, number in numbers.items():
+        checks = _row_checks(column(name))
+        if name in patterns:
+            checks["nonconvertible_rows"] = breaks_pattern(column(name), patterns[name])
+        flat += [F.count_if(check).alias(f"{number}_{kind}") for kind, check in checks.items()]
+        if name in sketch:
+            flat.append(F.approx_count_distinct(column(name)).alias(f"{number}_distinct"))
+    none, zero = F.lit(None).cast("bigint"), F.lit(0).cast("bigint")
+    counts = [
+        F.struct(
+            F.lit(name).alias("column_name"),
+            (column(f"{number}_distinct") if name in sketch else zero).alias("distinct_values"),
+            *[
+                (column(f"{number}_{kind}") if kind != "nonconvertible_rows" or name in patterns else none).alias(kind)
+                for kind in ROW_COUNTS
+            ],
         )
-    rows = _as_text(df, columns).select(F.explode(F.array(*values)).alias("v")).select("v.*")
-    counted = rows.groupBy("column_name", "digest", "known").agg(
-        *[F.count_if(c).alias(c) for c in ROW_COUNTS], F.approx_count_distinct("sketched").alias("approximate")
-    )
-    empty = df.sparkSession.range(1).select(
-        F.explode(F.array(*[F.lit(c) for c in columns])).alias("column_name"),
-        F.lit(None).cast("binary").alias("digest"),
-        F.lit(False).alias("known"),
-        *[F.lit(0).cast("bigint").alias(c) for c in ROW_COUNTS],
-        F.lit(0).cast("bigint").alias("approximate"),
-    )
-    totals = counted.unionByName(empty).groupBy("column_name").agg(
-        F.count_if(F.col("digest").isNotNull()).alias("exact"),
-        F.max(F.when(F.col("known"), F.col("approximate"))).alias("approximate"),
-        *[F.sum(c).alias(c) for c in ROW_COUNTS],
-    )
-    approximate = F.coalesce("approximate", F.lit(0).cast("bigint"))
-    distinct = F.when(F.col("column_name").isin(sorted(sketch)), approximate).otherwise(F.col("exact"))
-    checked = F.when(F.col("column_name").isin(known), F.col("nonconvertible_rows"))
-    return totals.select(
-        "column_name",
-        distinct.alias("distinct_values"),
-        *[(checked.alias(c) if c == "nonconvertible_rows" else F.col(c)) for c in ROW_COUNTS],
-    )
+        for name, number in numbers.items()
+    ]
+    checked = text.agg(*flat).select(F.inline(F.array(*counts)))
+    exact = [name for name in columns if name not in sketch]
+    if exact:
+        digests = F.array(*[F.struct(F.lit(name).alias("column_name"), F.unhex(F.md5(column(name))).alias("digest")) for name in exact])
+        values = text.select(F.inline(digests)).where(F.col("digest").isNotNull()).distinct()
+        distinct = values.groupBy("column_name").agg(F.count(F.lit(1)).alias("distinct_values"))
+        checked = checked.unionByName(distinct, allowMissingColumns=True)
+    return checked.groupBy("column_name").agg(F.sum("distinct_values").alias("distinct_values"), *[F.sum(c).alias(c) for c in ROW_COUNTS])
 
 
 def _nonconvertible(columns: Iterable[str], patterns: Mapping[str, str]) -> Column:
@@ -124,11 +116,43 @@ def _nonconvertible(columns: Iterable[str], patterns: Mapping[str, str]) -> Colu
     return test
 
 
-def value_frequency(df: DataFrame, name: str, n: int = 20) -> DataFrame:
-    """The ``n`` most frequent values; ties by value, null last."""
+def value_frequency(df: DataFrame, name: str, n: int = 20, free_text: bool = False) -> DataFrame:
+    """The ``n`` most frequent values; ties by value, null last.
+
+    ``free_text`` is for columns with about as many values as rows: no text is shuffled. Digests are counted with
+    the first ``RANKED_CHARACTERS`` of their text, and only the texts of those that are not behind the n-th by
+    count and these characters are fetched, by a second scan.
+    """
     require_columns(df, [name])
+    require_limit(n)
+    if free_text:
+        return _frequent_texts(df, name, n)
     counted = df.groupBy(column(name).alias("value")).agg(F.count(F.lit(1)).alias("row_count"))
-    return counted.orderBy(F.desc("row_count"), F.asc_nulls_last("value")).limit(require_limit(n))
+    return counted.orderBy(F.desc("row_count"), F.asc_nulls_last("value")).limit(n)
+
+
+def _frequent_texts(df: DataFrame, name: str, n: int) -> DataFrame:
+    text = column(name).cast("string")
+    digest = F.unhex(F.md5(text))
+    start = F.substring(text, 1, RANKED_CHARACTERS)
+    counted = df.select(digest.alias("digest"), start.alias("start")).groupBy("digest").agg(
+        F.count(F.lit(1)).alias("row_count"), F.min("start").alias("start")
+    )
+    # Sorts like the ranking, as far as the first characters go.
+    placed = counted.select("digest", "row_count", F.struct(-F.col("row_count"), F.col("start").isNull(), "start").alias("place"))
+    last = placed.select("place").orderBy("place").limit(n).agg(F.max("place")).scalar()
+    ahead = placed.where(F.col("place") <= last)
+    chosen = ahead.agg(
+        F.map_from_entries(F.collect_list(F.when(F.col("digest").isNotNull(), F.struct(F.hex("digest"), "row_count")))).alias("of"),
+        F.max(F.when(F.col("digest").isNull(), F.col("row_count"))).alias("nulls"),
+    )
+    counts, nulls = chosen.select("of").scalar(), chosen.select("nulls").scalar()
+    key = F.hex(digest)
+    found = df.select(text.alias("value"), F.when(text.isNull(), nulls).otherwise(F.element_at(counts, key)).alias("row_count"))
+    rows = found.where(F.col("row_count").isNotNull())
+    # What is left are the rows of the few texts that can be in the result, one per text and task when shuffled.
+    values = rows.groupBy("value").agg(F.max("row_count").alias("row_count"))
+    return values.orderBy(F.desc("row_count"), F.asc_nulls_last("value")).limit(n)
 
 
 def distinct_sample(df: DataFrame, name: str, n: int = 20) -> DataFrame:

@@ -49,8 +49,21 @@ def word_count(text: Column, words: Iterable[str]) -> Column:
 
 
 def fragment_count(text: Column, fragment: str) -> Column:
-    """Occurrences of one fragment anywhere, left to right without overlap."""
-    return F.regexp_count(text, F.lit(rf"\Q{fragment}\E"))
+    """Occurrences of one fragment anywhere, left to right without overlap: what is missing without it."""
+    if not fragment:
+        raise ValueError("an empty fragment is everywhere")
+    without = F.octet_length(F.replace(text, F.lit(fragment), F.lit("")))
+    return ((F.octet_length(text) - without) / F.lit(len(fragment.encode()))).cast("int")
+
+
+def evaluated_once(value: Column) -> Column:
+    """``value`` behind a barrier for the optimizer: what reads the result reads a finished value.
+
+    Without it a scorer made of plain expressions is copied into every filter, sort key and projection above
+    it, and filters on its result move below joins. No task has a negative number, but the optimizer has to take
+    the number for one that differs wherever it is asked for.
+    """
+    return F.when(F.spark_partition_id() >= 0, value)
 
 
 def smoothed_scores(positive: Column, negative: Column) -> Column:
@@ -59,6 +72,13 @@ def smoothed_scores(positive: Column, negative: Column) -> Column:
     return F.struct((F.lit(1.0) - p).alias("negative"), p.alias("positive"))
 
 
+def _from_counts(df: DataFrame, output: str, positive: Column, negative: Column) -> DataFrame:
+    # The scores use each count several times, so the counts are what is evaluated once.
+    counts = F.struct(positive.alias("positive"), negative.alias("negative"))
+    counted = df.withColumn(output, evaluated_once(counts))
+    return counted.withColumn(output, smoothed_scores(column(output)["positive"], column(output)["negative"]))
+
+
 def lexicon_scorer(
     positive: Iterable[str] = POSITIVE_WORDS, negative: Iterable[str] = NEGATIVE_WORDS
 ) -> Scorer:
@@ -67,8 +87,7 @@ def lexicon_scorer(
 
     def score(df: DataFrame, text: str, output: str) -> DataFrame:
         lowered = F.lower(column(text))
-        scores = smoothed_scores(word_count(lowered, positive), word_count(lowered, negative))
-        return df.withColumn(output, scores)
+        return _from_counts(df, output, word_count(lowered, positive), word_count(lowered, negative))
 
     return score
 
@@ -78,21 +97,23 @@ def fragment_scorer(positive: str, negative: str) -> Scorer:
 
     def score(df: DataFrame, text: str, output: str) -> DataFrame:
         lowered = F.lower(column(text))
-        scores = smoothed_scores(fragment_count(lowered, positive), fragment_count(lowered, negative))
-        return df.withColumn(output, scores)
+        return _from_counts(df, output, fragment_count(lowered, positive), fragment_count(lowered, negative))
 
     return score
 
 
+# Models that a worker process keeps: as many as the scorers that one job may well use side by side.
+KEPT_MODELS = 4
 _models: dict[str, Callable] = {}
 
 
 def loaded(name: str, load: Callable[[], Callable]) -> Callable:
-    """The model of a scorer, loaded once per worker process; a new scorer takes the place of an older one."""
-    if name not in _models:
-        _models.clear()
-        _models[name] = load()
-    return _models[name]
+    """The model of a scorer, loaded once per worker process; beyond ``KEPT_MODELS`` the one longest unused goes."""
+    model = _models.pop(name) if name in _models else load()
+    _models[name] = model
+    while len(_models) > KEPT_MODELS:
+        del _models[next(iter(_models))]
+    return model
 
 
 def classifier_scorer(
@@ -158,7 +179,11 @@ def ml_scorer(model, input_column: str = "text", probability: str = "probability
 
 
 def score_reviews(df: DataFrame, scorer: Scorer | None = None, cols: ReviewColumns = REVIEW) -> DataFrame:
-    """``df`` with ``sentiment``, ``confidence`` and ``raw_scores``. Narrow: no shuffle, no join."""
+    """``df`` with ``sentiment``, ``confidence`` and ``raw_scores``. Narrow: no shuffle, no join.
+
+    Each review is scored once, whatever reads the scores. Filter reviews before they are scored: a filter above
+    the scores stays above them.
+    """
     require_columns(df, [cols.text])
     scored = (scorer or lexicon_scorer())(df, cols.text, "raw_scores")
     scores = F.col("raw_scores")
@@ -193,9 +218,29 @@ def extreme_reviews(
 
 def sentiment_histogram(scored: DataFrame, bins: int = S.HISTOGRAM_BINS) -> DataFrame:
     """(bucket, bucket_start, review_count) over [-1, 1]; empty buckets have no row."""
-    buckets = scored.where(F.col("sentiment").isNotNull()).groupBy(
-        S.bucket(F.col("sentiment"), require_limit(bins)).alias("bucket")
+    return histogram_from_parts(sentiment_parts(scored, bins), bins)
+
+
+def sentiment_parts(scored: DataFrame, bins: int = S.HISTOGRAM_BINS) -> DataFrame:
+    """Sums per bucket, from which the histogram and the overall score add up: one scan for both."""
+    value, weight = F.col("sentiment"), F.col("confidence")
+    bucket = S.bucket(value, require_limit(bins)).alias("bucket")
+    return scored.where(value.isNotNull()).groupBy(bucket).agg(
+        F.count(F.lit(1)).alias("review_count"),
+        F.sum(value * weight).alias("weighted"),
+        F.sum(weight).alias("weight"),
     )
-    counted = buckets.agg(F.count(F.lit(1)).alias("review_count")).orderBy("bucket")
+
+
+def histogram_from_parts(parts: DataFrame, bins: int = S.HISTOGRAM_BINS) -> DataFrame:
     start = F.round(F.col("bucket") * F.lit(2.0 / bins) - F.lit(1.0), 9)
-    return counted.select("bucket", start.alias("bucket_start"), "review_count")
+    return parts.orderBy("bucket").select("bucket", start.alias("bucket_start"), "review_count")
+
+
+def overall_from_parts(parts: DataFrame) -> DataFrame:
+    """:func:`overall_sentiment` added up from :func:`sentiment_parts`."""
+    totals = parts.agg(
+        F.coalesce(F.try_divide(F.sum("weighted"), F.sum("weight")), F.lit(0.0)).alias("sentiment_score"),
+        F.coalesce(F.sum("review_count"), F.lit(0)).cast("bigint").alias("analyzed_count"),
+    )
+    return totals.withColumn("sentiment_label", S.label(S.clamp(F.col("sentiment_score"))))

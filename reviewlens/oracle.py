@@ -365,6 +365,8 @@ def sql() -> dict[str, str]:
         "column_profile_report": _profile_report(),
         "value_frequency": f"""WITH {RAW} SELECT votes_up AS value, count(*) AS row_count FROM raw_reviews
           GROUP BY 1 ORDER BY row_count DESC, value NULLS LAST LIMIT 20""",
+        "value_frequency_review": f"""WITH {RAW} SELECT review AS value, count(*) AS row_count FROM raw_reviews
+            GROUP BY review ORDER BY row_count DESC, review ASC NULLS LAST LIMIT 20""",
         "value_frequency_language": f"""WITH {RAW} SELECT language AS value, count(*) AS row_count FROM raw_reviews
           GROUP BY 1 ORDER BY row_count DESC, value NULLS LAST LIMIT 20""",
         "nonconvertible_values": f"WITH {RAW} "
@@ -433,6 +435,8 @@ def sql() -> dict[str, str]:
         "csv_roundtrip": f"WITH {RAW} SELECT * FROM raw_reviews",
         "csv_clean": CLEANED,
         "csv_shuffled_columns": f"WITH {RAW} SELECT * FROM raw_reviews",
+        "csv_one_file": """SELECT CAST(doc_id AS VARCHAR) AS doc_id, md5('"' || replace(text, chr(13), ' ') || '"' || chr(10) || '"') AS quoted_md5,
+            md5(text) AS text_md5 FROM documents""",
         "csv_bad_rows": """SELECT count(*) FILTER (WHERE event_id % 50 <> 0) AS good_rows,
             count(*) FILTER (WHERE event_id % 50 = 0) AS bad_rows,
             count(DISTINCT event_id) FILTER (WHERE event_id % 50 <> 0) AS good_events FROM events""",

@@ -20,7 +20,9 @@ class CleaningReport:
     """What a cleaning run found, per column where it says so.
 
     ``missing_before`` counts missing values after the casts, ``lost_in_cast`` those of them that were there
-    before, ``corrupt_rows`` the rows whose number of values was wrong, and ``missing_after`` audits what was kept.
+    before, and ``corrupt_rows`` the rows whose number of values was wrong. ``missing_after`` is counted behind the
+    row test, in the rows as they are written: it is not zero where the test let a missing value through, as for columns
+    that were not ``required``.
     """
 
     rows_before: int
@@ -36,7 +38,12 @@ class CleaningReport:
 
 
 def _with_counts(
-    raw: DataFrame, casts: CastSpec, unused: Iterable[str], allow_fractional: bool, corrupt: str | None
+    raw: DataFrame,
+    casts: CastSpec,
+    unused: Iterable[str],
+    allow_fractional: bool,
+    corrupt: str | None,
+    required: Iterable[str] | None,
 ) -> tuple[DataFrame, DataFrame, Column, list[Column]]:
     """The typed table with the raw values beside it, the typed table alone, its row test, and the audits."""
     if corrupt is not None:
@@ -49,14 +56,15 @@ def _with_counts(
     wide = raw.withColumns({name: column(f.name) for name, f in before.items()})
     wide = convert_types(wide, casts, allow_fractional)
     sound = column(corrupt).isNull() if corrupt else F.lit(True)
-    complete = is_complete(fields) & sound
+    names = None if required is None else set(required)
+    require_columns(typed, names or ())
+    complete = is_complete([f for f in fields if names is None or f.name in names]) & sound
     audits = [
         F.count(F.lit(1)).alias("rows_before"),
         F.count_if(complete).alias("rows_after"),
         F.count_if(~sound).alias("corrupt_rows"),
     ]
     audits += [F.count_if(is_missing(f)).alias(f"missing_{i}") for i, f in enumerate(fields)]
-    audits += [F.count_if(complete & is_missing(f)).alias(f"after_{i}") for i, f in enumerate(fields)]
     for name, f in before.items():
         there = is_present(type(f)(name, f.dataType))
         audits.append(F.count_if(there & column(f.name).isNull()).alias(f"lost{name}"))
@@ -74,6 +82,7 @@ def clean_to_parquet(
     allow_fractional: bool = True,
     by_year: str | None = None,
     corrupt: str | None = None,
+    required: Iterable[str] | None = None,
 ) -> CleaningReport:
     """Clean ``raw`` into ``path``; the raw data is read once.
 
@@ -83,15 +92,18 @@ def clean_to_parquet(
 
     ``by_year`` names a clock by whose year the output is partitioned, in a column ``review_year``. ``corrupt``
     names the column in which the reader left rows with a wrong number of values; they are counted and left out.
-    ``allow_fractional=False`` makes ``12.0`` malformed, and so drops its row.
+    ``allow_fractional=False`` makes ``12.0`` malformed, and so drops its row. ``required`` names the columns that a row
+    must have; by default all of them.
 
     After an observed write Spark cannot send a model to tasks that was fitted in the same session;
     save and load it first, see ``sentiment.ml_scorer``.
     """
     unused = list(unused)
-    wide, typed, complete, audits = _with_counts(raw, casts, unused, allow_fractional, corrupt)
-    observation = Observation("cleaning")
+    wide, typed, complete, audits = _with_counts(raw, casts, unused, allow_fractional, corrupt, required)
+    observation, written = Observation("cleaning"), Observation("cleaned")
+    after = [F.count_if(is_missing(f)).alias(f"after_{i}") for i, f in enumerate(typed.schema.fields)]
     kept = wide.observe(observation, *audits).where(complete).select(*[column(c) for c in typed.columns])
+    kept = kept.observe(written, *after)
     if files is None and not clustered and by_year is None:
         write_parquet(kept, path, max_rows_per_file=max_rows_per_file)
     else:
@@ -115,7 +127,7 @@ def clean_to_parquet(
         {c: found[f"missing_{i}"] for i, c in enumerate(names)},
         {c: found[f"lost__raw_{i}"] for i, c in enumerate(cast)},
         found["corrupt_rows"],
-        {c: found[f"after_{i}"] for i, c in enumerate(names)},
+        {c: written.get[f"after_{i}"] for i, c in enumerate(names)},
     )
 
 

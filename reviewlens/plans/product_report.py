@@ -104,8 +104,8 @@ def product_report(
 
     The reviews are read narrow for a cube of counts, from which all totals add up, and for the places of
     the last rows of the lists; with text for the few reviews that enter a list; and once more to be scored.
-    What the sections share is cached: the cube, the rows of the lists, and each review's scores with its
-    text as displayed, so that a model sees each review once whatever the number of sections.
+    What the sections share is cached: the cube, the rows of the lists, each review's scores with its text as
+    displayed, and their sums per bucket, so that a model sees each review once whatever the number of sections.
 
     Every review is scored unless ``max_reviews`` asks for the most upvoted ones only. ``stored`` takes
     the columns ``sentiment`` and ``confidence`` of the table instead; a scorer is then refused.
@@ -121,6 +121,7 @@ def product_report(
     )
     scored = keep(scored_for_display(reviews, scorer, stored, max_reviews, cols))
     cube = keep(R.report_cube(reviews, cols))
+    parts = keep(T.sentiment_parts(scored))
     candidates = keep(R.ranking_candidates(shown, [upvoted, funny, commented], cols))
 
     return ProductReport(
@@ -132,9 +133,9 @@ def product_report(
         top_funny=R.top_reviews(candidates, funny, False, cols),
         top_commented=R.top_reviews(candidates, commented, False, cols),
         scored=scored,
-        overall=T.overall_sentiment(scored),
+        overall=T.overall_from_parts(parts),
         positive=scored_list(T.extreme_reviews(scored, True, cols=cols), cols),
         negative=scored_list(T.extreme_reviews(scored, False, cols=cols), cols),
-        histogram=T.sentiment_histogram(scored),
-        cached=(cube, candidates, scored) if persist else (),
+        histogram=T.histogram_from_parts(parts),
+        cached=(cube, candidates, scored, parts) if persist else (),
     )

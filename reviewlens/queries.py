@@ -278,6 +278,12 @@ def value_frequency(spark, sf):
     return profiling.value_frequency(raw_reviews(spark, sf), "votes_up")
 
 
+@register
+def value_frequency_review(spark, sf):
+    """Free text: only the texts of the winners are fetched."""
+    return profiling.value_frequency(raw_reviews(spark, sf), "review", free_text=True)
+
+
 @register
 def value_frequency_language(spark, sf):
     return profiling.value_frequency(raw_reviews(spark, sf), "language")
@@ -420,7 +426,7 @@ def top_upvoted_without_id(spark, sf):
 @register
 def game_report(spark, sf):
     """Every section of the bundle as rows (section, item, amount), to compare it as a whole."""
-    r = product_report(doc_reviews(spark, sf), GAME, *DOC_DAYS, scorer=_scorer(), persist=False, cols=DOC_REVIEWS)
+    path = scratch_path(spark, "report")
 
     def rows(section: str, frame: DataFrame, item, amount) -> DataFrame:
         return frame.select(
@@ -429,21 +435,23 @@ def game_report(spark, sf):
             F.round(F.col(amount).cast("double"), 6).alias("amount"),
         )
 
-    parts = [
-        rows("total_reviews", r.summary, "game", "total_reviews"),
-        rows("avg_playtime", r.summary, "game", "avg_playtime"),
-        rows("early_access", r.summary, "game", "early_access_percent"),
-        rows("daily", r.daily, "date", "count"),
-        rows("acquisition", r.acquisition, "category", "count"),
-        rows("top_upvoted", r.top_upvoted, "review_id", "votes_up"),
-        rows("top_funny", r.top_funny, "review_id", "votes_funny"),
-        rows("top_commented", r.top_commented, "review_id", "comment_count"),
-        rows("overall", r.overall, "sentiment_label", "sentiment_score"),
-        rows("positive", r.positive, "review_id", "sentiment"),
-        rows("negative", r.negative, "review_id", "sentiment"),
-        rows("histogram", r.histogram, "bucket", "review_count"),
-    ]
-    return reduce(DataFrame.unionAll, parts)
+    with product_report(doc_reviews(spark, sf), GAME, *DOC_DAYS, scorer=_scorer(), cols=DOC_REVIEWS) as r:
+        parts = [
+            rows("total_reviews", r.summary, "game", "total_reviews"),
+            rows("avg_playtime", r.summary, "game", "avg_playtime"),
+            rows("early_access", r.summary, "game", "early_access_percent"),
+            rows("daily", r.daily, "date", "count"),
+            rows("acquisition", r.acquisition, "category", "count"),
+            rows("top_upvoted", r.top_upvoted, "review_id", "votes_up"),
+            rows("top_funny", r.top_funny, "review_id", "votes_funny"),
+            rows("top_commented", r.top_commented, "review_id", "comment_count"),
+            rows("overall", r.overall, "sentiment_label", "sentiment_score"),
+            rows("positive", r.positive, "review_id", "sentiment"),
+            rows("negative", r.negative, "review_id", "sentiment"),
+            rows("histogram", r.histogram, "bucket", "review_count"),
+        ]
+        reduce(DataFrame.unionAll, parts).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 # ---------------------------------------------------------------- sentiment
@@ -575,14 +583,28 @@ def csv_shuffled_columns(spark, sf):
     return read_raw_csv(spark, path, RAW_SCHEMA, null_value=NULL_MARK)
 
 
+@register
+def csv_one_file(spark, sf):
+    """One file whose texts hold line breaks and doubled quotes, read in byte ranges by many tasks."""
+    path = scratch_path(spark, "csv")
+    texts = table(spark, sf, "documents").select(
+        F.col("doc_id").cast("string").alias("doc_id"),
+        F.concat(F.lit('"'), F.translate("text", "\r", " "), F.lit('"\n"')).alias("quoted"),
+        "text",
+    )
+    export(texts.coalesce(1), path, "csv", null_value=NULL_MARK)
+    read = read_raw_csv(spark, path, "doc_id string, quoted string, text string", null_value=NULL_MARK, split_quoted=True)
+    return read.select("doc_id", F.md5("quoted").alias("quoted_md5"), F.md5("text").alias("text_md5"))
+
+
 @register
 def csv_bad_rows(spark, sf):
     """Rows with too many values are set apart, the others read as they are."""
     path = scratch_path(spark, "csv")
-    events = table(spark, sf, "events").select("event_id", "event_type")
+    # Unquoted separators in a value make a row too wide; every file has the header.
     extra = F.when(F.col("event_id") % 50 == 0, F.lit(",extra")).otherwise(F.lit(""))
-    lines = events.select(F.concat_ws(",", F.col("event_id").cast("string"), F.concat("event_type", extra)).alias("value"))
-    spark.range(1).select(F.lit("event_id,event_type").alias("value")).union(lines).coalesce(1).write.text(path)
+    events = table(spark, sf, "events").select("event_id", F.concat("event_type", extra).alias("event_type"))
+    events.write.option("header", True).option("quote", "").csv(path)
     read = read_raw_csv(spark, path, "event_id string, event_type string", corrupt="bad")
     return read.agg(
         F.count_if(F.col("bad").isNull()).alias("good_rows"),

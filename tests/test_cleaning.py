@@ -42,6 +42,17 @@ def test_cleaning_job_counts_what_casts_lose(spark, tmp_path):
     assert strict.rows_after == 0 and strict.lost_in_cast["votes_up"] == 1000
 
 
+def test_audit_after_cleaning_sees_what_the_row_test_lets_through(spark, tmp_path):
+    raw = raw_reviews(spark, SMALL)
+    report = clean_to_parquet(raw, str(tmp_path / "a"), required=["game", "votes_up"])
+    kept = spark.read.parquet(str(tmp_path / "a"))
+    counts = cleaning.null_audit(kept).first().asDict()
+    assert report.missing_after == counts and report.rows_after == kept.count()
+    assert counts["game"] == counts["votes_up"] == 0 and counts["review"] > 0 and counts["received_for_free"] > 0
+    with pytest.raises(ValueError):
+        clean_to_parquet(raw, str(tmp_path / "b"), required=["nothing"])
+
+
 def test_longs_and_floats(spark):
     assert converted(spark, CastSpec(longs=("v",)), "3000000000", "x") == [3000000000, None]
     got = converted(spark, CastSpec(floats=("v",)), "0.5", "1.", "x", "nan")

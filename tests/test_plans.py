@@ -70,11 +70,21 @@ def test_audits_read_the_table_once(stored):
     typed = cleaning.convert_types(drop_columns(stored["raw"]))
     for df in (cleaning.null_audit_rows(typed), cleaning.drop_report(typed), profiling.null_or_zero_counts(typed)):
         assert len(scans(plan(df))) == 1
+    # A flat aggregate, one row a task, and the digests of the values.
     for sketch in ((), ("review",)):
         profile = plan(profiling.profile_columns(stored["raw"], stored["raw"].columns, sketch=sketch))
-        assert len(scans(profile)) == 1 and "partial_count" in profile
+        assert len(scans(profile)) == 2 and "partial_count" in profile
         moved = [line for line in profile.splitlines() if "Exchange hashpartitioning" in line]
-        assert moved and all(re.search(r"\(column_name#\d+(, digest#\d+, known#\d+)?, \d+\)", line) for line in moved)
+        assert moved and all(re.search(r"\(column_name#\d+(, digest#\d+)?, \d+\)", line) for line in moved)
+        assert profile.count("Generate inline") == 2 and "explode" not in profile
+
+
+def test_frequent_texts_are_fetched_after_the_ranking(stored):
+    frame = profiling.value_frequency(stored["raw"], "review", free_text=True)
+    optimized = frame._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in optimized
+    counted = [line for line in plan(frame).splitlines() if "Exchange hashpartitioning" in line]
+    assert any("digest" in line for line in counted) and not any("review" in line for line in counted)
 
 
 def test_bad_values_are_cut_before_the_ranking_shuffle(stored):
@@ -112,7 +122,7 @@ def test_report_caches_shown_columns_only(stored):
     try:
         assert not any("unused" in name for frame in report.cached for name in frame.columns)
         assert not any("unused" in columns for frame in report.cached for columns in scans(plan(frame)))
-        cube, candidates, scored = report.cached
+        cube, candidates, scored, _ = report.cached
         assert "review" not in cube.columns and "review" in candidates.columns and "sentiment" in scored.columns
     finally:
         report.unpersist()
@@ -132,6 +142,21 @@ def test_native_scoring_stays_in_the_jvm(stored):
     assert "Python" not in text and "Exchange" not in text
 
 
+def test_a_catalyst_scorer_is_evaluated_once(stored):
+    """What reads the scores reads finished ones, and no test of them moves below."""
+    scored = T.score_reviews(of_product(stored["doc"], "click"), T.fragment_scorer("en", "on"), COLS)
+    for df in (T.extreme_reviews(scored, True, cols=COLS), T.sentiment_histogram(scored), T.overall_sentiment(scored)):
+        text = plan(df)
+        assert text.count("replace(") == 2 and len(scans(text)) == 1
+        assert "EqualTo(game,click)" in text
+    report = product_report(stored["doc"], "click", scorer=T.fragment_scorer("en", "on"), cols=COLS)
+    try:
+        for section in (report.overall, report.histogram, report.positive, report.negative):
+            assert plan(section).count("replace(") == 0 or "InMemoryTableScan" in plan(section)
+    finally:
+        report.unpersist()
+
+
 def test_plugin_scoring_ships_only_the_text_once(stored):
     scored = T.score_reviews(stored["doc"], T.classifier_scorer(lambda: None), COLS)
     text = plan(T.extreme_reviews(scored, True, cols=COLS))
