@@ -139,8 +139,10 @@ def plan(counts: dict[int, int], window: int = WINDOW) -> list[tuple[int, ...]]:
             longer = 0
         if slack:
             fits = [n for n, c in pool.counts.items() if n > slack and c > chosen.get(n, 0)]
-            longer = min(fits)
-            repeats = min(repeats, pool.counts[longer] // (chosen.get(longer, 0) + 1))
+            # The length that allows most windows at once is cut: a rare one would end the run after its few pieces.
+            allowed = {n: pool.counts[n] // (chosen.get(n, 0) + 1) for n in fits}
+            longer = max(fits, key=lambda n: (min(allowed[n], repeats), -n))
+            repeats = min(repeats, allowed[longer])
         offset = 0
         for n in sorted(chosen, reverse=True):
             place(n, chosen[n], repeats, offset)
