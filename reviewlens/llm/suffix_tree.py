@@ -57,7 +57,8 @@ def _mixed(context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Totals:
-    """What holds for the whole training corpus: tokens, distinct tokens, texts, and tokens and types that are rare."""
+    """What holds for the whole training corpus: tokens, distinct tokens, texts, and rare words and their kinds; the
+    end is never rare."""
 
     tokens: int
     types: int
@@ -118,7 +119,7 @@ class Block:
         slot = np.full(n, at_end, np.int64)
         slot[inner] = self.words + (self.words >= at_end)
         seen = count[slot]
-        rare = seen < LEAST_WORD
+        rare = (seen < LEAST_WORD) & (slot != at_end)
         symbol = np.where(rare, RARE, keys[slot])
         symbol[is_begin] = BEGIN
         base = (seen + 1) / totals.all
@@ -261,8 +262,8 @@ def _add_up(group: pa.Table) -> pa.Table:
     ends = np.cumsum([len(k) for k in asked])
     answers = [_packed(tag, part) for part in np.split(sums[number], ends[:-1])]
     n = len(answers)
-    some = sums[sums > 0] if tag == "w" else sums[:0]
-    rare = some[some < LEAST_WORD]
+    known = sums > 0 if tag == "w" else np.zeros(len(sums), bool)
+    some, rare = sums[known], sums[known & (sums < LEAST_WORD) & (keys != END)]
     first = lambda value, none: [value] + [none] * (n - 1)
     rows = {
         "block": group.column("block").to_pylist(), "tag": [tag] * n, "bucket": [bucket] * n, "counts": answers,
