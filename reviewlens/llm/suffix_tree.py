@@ -10,8 +10,9 @@ scored by the longest state that is a suffix of what precedes it, all of whose s
 
 The tree grows with the corpus and is nowhere whole. Texts become blocks of word numbers, written once, bucketed by
 block. A block sends each distinct n-gram that it needs with its own training count to the bucket of the n-gram's hash;
-buckets add up and answer with values in the order asked. Each round joins the answers to the blocks, which are not
-shuffled again: word counts, then per level n-gram counts and gains of contexts. n-grams are told apart by 64-bit hashes.
+buckets add up and answer with values in the order asked. Each round joins the answers to the blocks: word counts, then
+per level n-gram counts and gains of contexts. Answers are bucketed like the blocks, so that neither is shuffled again.
+n-grams are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,13 +33,13 @@ from pyspark.sql import functions as F
 from reviewlens.llm.common import portions, stored
 from reviewlens.sources.scratch import scratch_path
 
-DEPTH = 3
+DEPTH = 2
 LEAST_WORD = 16
-LEAST_CONTEXT = 16
+LEAST_CONTEXT = 32
 PRIOR = 32.0
 LEAST_GAIN = 1.0
 #: Tokens of a block, or one text if that is longer; entries of a bucket in one round, at most about.
-BLOCK_TOKENS = 1 << 20
+BLOCK_TOKENS = 3 << 18
 BUCKET_ENTRIES = 1 << 21
 
 SEED = 12
@@ -47,6 +49,15 @@ END, BEGIN, RARE = (np.uint64(xxhash.xxh64_intdigest(mark, SEED)) for mark in (b
 Requests = dict[str, tuple[np.ndarray, np.ndarray]]
 
 
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in ascending order, and the place of each key among them."""
+    number, found = pd.factorize(keys)
+    order = np.argsort(found)
+    place = np.empty(len(found), np.int64)
+    place[order] = np.arange(len(found))
+    return found[order], place[number]
+
+
 def _mixed(context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
     """Hash of a context with one more symbol; not symmetric."""
     x = (context * np.uint64(0x9E3779B97F4A7C15) + symbol) * np.uint64(0xBF58476D1CE4E5B9)
@@ -145,13 +156,13 @@ class Block:
             active = active & (place >= level) & (before >= LEAST_CONTEXT)
             at = np.flatnonzero(active)
             context[at] = _mixed(context[at], symbol[at - level])
-            gram, number = np.unique(_mixed(context[at] ^ np.uint64(level), symbol[at]), return_inverse=True)
+            gram, number = _distinct(_mixed(context[at] ^ np.uint64(level), symbol[at]))
             if f"n{level}" not in answers:
                 asked[f"n{level}"] = (gram, np.bincount(number, weights=learned[at], minlength=len(gram)))
                 break
             found = answers[f"n{level}"][number] if len(at) else np.empty(0)
             own = (found + PRIOR * parent[at]) / (before[at] + PRIOR)
-            node, of_node = np.unique(context[at], return_inverse=True)
+            node, of_node = _distinct(context[at])
             if f"g{level}" not in answers:
                 out = np.where(learned[at], (found - 1 + PRIOR * parent[at]) / (before[at] - 1 + PRIOR) / parent[at], 1.0)
                 asked[f"g{level}"] = (node, np.bincount(of_node, weights=np.log(out), minlength=len(node)))
@@ -198,7 +209,7 @@ def _to_blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def made() -> pa.RecordBatch:
         block = Block.of(texts, learned)
-        values = [number, ids, learned, block.sizes.tolist(), block.words.tobytes(), block.vocab.tobytes()]
+        values = [number, ids, learned, block.sizes.tolist(), _packed(block.words.astype(np.int64)), _packed_keys(block.vocab)]
         return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types, strict=True)], names=names)
 
     for batch in portions(batches):
@@ -230,37 +241,44 @@ def _questions(block: int, asked: Requests, buckets: int) -> pa.Table:
         for b in range(buckets):
             s, e = int(edges[b]), int(edges[b + 1])
             if s < e:
-                for name, value in zip(rows, (tag, b, block, _planes(np.diff(keys[s:e], prepend=np.uint64(0))), _packed(tag, counts[s:e])), strict=True):
+                for name, value in zip(rows, (tag, b, block, _packed_keys(keys[s:e]), _packed(counts[s:e].astype(_kind(tag)))), strict=True):
                     rows[name].append(value)
     return _row(rows, _ASKED)
 
 
-def _packed(tag: str, values: np.ndarray) -> bytes:
-    return _planes(values.astype(np.float64) if tag[0] == "g" else values.astype(np.int64))
+def _packed(values: np.ndarray) -> bytes:
+    """Eight-byte numbers as all first bytes, all second bytes and so on: zeros and small numbers then take little room."""
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(-1, 8).T.tobytes()
+    return zstandard.ZstdCompressor(level=1).compress(planes)
+
+
+def _unpacked(raw: bytes, kind: type) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8)
+    return np.ascontiguousarray(planes.reshape(8, -1).T).view(kind).reshape(-1)
 
 
-def _unpacked(tag: str, raw: bytes) -> np.ndarray:
-    return _numbers(raw, np.float64 if tag[0] == "g" else np.int64).astype(np.float64)
+def _packed_keys(keys: np.ndarray) -> bytes:
+    return _packed(np.diff(keys, prepend=np.uint64(0)))
 
 
-def _planes(values: np.ndarray) -> bytes:
-    """All first bytes, then all second bytes and so on: the zeros of small numbers lie together and compress well."""
-    return np.ascontiguousarray(values).view(np.uint8).reshape(-1, 8).T.tobytes()
+def _unpacked_keys(raw: bytes) -> np.ndarray:
+    return np.cumsum(_unpacked(raw, np.uint64), dtype=np.uint64)
 
 
-def _numbers(raw: bytes, kind: type) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view(kind).reshape(-1)
+def _kind(tag: str) -> type:
+    """Gains are fractions, all else are counts."""
+    return np.float64 if tag[0] == "g" else np.int64
 
 
 def _add_up(group: pa.Table) -> pa.Table:
     """One bucket of one kind: the sum over all blocks, to each block in the order it asked."""
     tag, bucket = group.column("tag")[0].as_py(), group.column("bucket")[0].as_py()
-    asked = [np.cumsum(_numbers(raw, np.uint64), dtype=np.uint64) for raw in group.column("keys").to_pylist()]
-    values = np.concatenate([_unpacked(tag, raw) for raw in group.column("counts").to_pylist()])
-    keys, number = np.unique(np.concatenate(asked), return_inverse=True)
+    asked = [_unpacked_keys(raw) for raw in group.column("keys").to_pylist()]
+    values = np.concatenate([_unpacked(raw, _kind(tag)) for raw in group.column("counts").to_pylist()])
+    keys, number = _distinct(np.concatenate(asked))
     sums = np.bincount(number, weights=values, minlength=len(keys))
     ends = np.cumsum([len(k) for k in asked])
-    answers = [_packed(tag, part) for part in np.split(sums[number], ends[:-1])]
+    answers = [_packed(part.astype(_kind(tag))) for part in np.split(sums[number], ends[:-1])]
     n = len(answers)
     known = sums > 0 if tag == "w" else np.zeros(len(sums), bool)
     some, rare = sums[known], sums[known & (sums < LEAST_WORD) & (keys != END)]
@@ -278,8 +296,8 @@ def _read(base: pa.Table) -> Block:
     return Block(
         np.array(one["learned"].as_py(), bool),
         np.array(one["sizes"].as_py(), np.int64),
-        np.frombuffer(one["words"].as_py(), np.int32),
-        np.frombuffer(one["vocab"].as_py(), np.uint64),
+        _unpacked(one["words"].as_py(), np.int64).astype(np.int32),
+        _unpacked_keys(one["vocab"].as_py()),
     )
 
 
@@ -289,7 +307,7 @@ def _answers(found: pa.Table, tags: list[str]) -> dict[str, np.ndarray]:
     for tag, bucket, raw in zip(*(found.column(c).to_pylist() for c in ("tag", "bucket", "counts")), strict=True):
         parts.setdefault(tag, []).append((bucket, raw))
     none = [np.empty(0)]
-    return {tag: np.concatenate(none + [_unpacked(tag, raw) for _, raw in sorted(some)]) for tag, some in parts.items()}
+    return {tag: np.concatenate(none + [_unpacked(raw, _kind(tag)) for _, raw in sorted(some)]) for tag, some in parts.items()}
 
 
 def score(docs: DataFrame, learned: Column) -> DataFrame:
@@ -306,10 +324,15 @@ def score(docs: DataFrame, learned: Column) -> DataFrame:
         F.coalesce(learned, F.lit(False)).alias("learned"),
         F.col("text").cast("string").cast("binary").alias("text"),
     )
-    name = f"suffix_tree_blocks_{uuid.uuid4().hex}"
-    writer = columns.mapInArrow(_to_blocks, _BLOCK).write.option("path", scratch_path(spark, "text-blocks"))
-    writer.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "block").sortBy("block").saveAsTable(name)
-    base = spark.table(name)
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def bucketed(rows: DataFrame, name: str, path: str) -> DataFrame:
+        writer = rows.write.mode("append").option("path", path).bucketBy(partitions, "block").sortBy("block")
+        writer.saveAsTable(name)
+        return spark.table(name)
+
+    tables = {kind: f"suffix_tree_{kind}_{uuid.uuid4().hex}" for kind in ("blocks", "answers")}
+    base = bucketed(columns.mapInArrow(_to_blocks, _BLOCK), tables["blocks"], scratch_path(spark, "text-blocks"))
     sizes = base.agg(
         F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x) + F.size("sizes")).alias("tokens"),
         F.sum(F.size(F.filter("learned", lambda x: x)).cast("long")).alias("texts"),
@@ -324,8 +347,12 @@ def score(docs: DataFrame, learned: Column) -> DataFrame:
                 asked, _ = _read(one).walk(None, {})
                 yield from _questions(one.column("block")[0].as_py(), asked, buckets).to_batches()
 
+    answers_path = scratch_path(spark, "suffix-tree-answers")
+
     def answered(asked: DataFrame) -> DataFrame:
-        return stored(asked.groupBy("tag", "bucket").applyInArrow(_add_up, _ANSWER), "suffix-tree-answers")
+        """All answers so far; each is shuffled to its block's bucket once."""
+        found = asked.groupBy("tag", "bucket").applyInArrow(_add_up, _ANSWER)
+        return bucketed(found.repartition(partitions, "block"), tables["answers"], answers_path)
 
     answers = answered(base.mapInArrow(ask_words, _ASKED))
     row = answers.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in ("tokens", "types", "rare_tokens", "rare_types")]).first()
@@ -344,8 +371,9 @@ def score(docs: DataFrame, learned: Column) -> DataFrame:
     # After the words: n-grams of level 1; then the gains of a level together with the n-grams of the next.
     tags = ["w"]
     for level in range(1, DEPTH + 2):
-        answers = answers.unionByName(answered(joined(list(tags), last=False)))
+        answers = answered(joined(list(tags), last=False))
         tags += ([f"g{level - 1}"] if level > 1 else []) + ([f"n{level}"] if level <= DEPTH else [])
     scored = stored(joined(tags, last=True), "suffix-tree-scores")
-    spark.sql(f"DROP TABLE {name}")
+    for table in tables.values():
+        spark.sql(f"DROP TABLE {table}")
     return scored.select("doc_id", "learned", "n_tokens", "n_known", F.lit(totals.tokens).cast("long").alias("train_tokens"), "base_score", "score")
