@@ -34,9 +34,9 @@ from reviewlens.llm.common import portions, stored
 from reviewlens.sources.scratch import scratch_path
 
 DEPTH = 2
-LEAST_WORD = 16
-LEAST_CONTEXT = 32
-PRIOR = 32.0
+LEAST_WORD = 2
+LEAST_CONTEXT = 2
+PRIOR = 64.0
 LEAST_GAIN = 1.0
 #: Tokens of a block, or one text if that is longer; entries of a bucket in one round, at most about.
 BLOCK_TOKENS = 3 << 18
