@@ -9,6 +9,7 @@ the index only saves work.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
 from itertools import product
@@ -171,6 +172,43 @@ def java(rule: Rule) -> str:
     return f"(?i){head})(?-i){tail}" if separator else f"(?i){rule.expression}"
 
 
+def _folded(items: Column, empty: Column, grow: Callable[[Column, Column, Column], Column], near: Callable[[Column, Column], Column]) -> Column:
+    """struct<at, out> of a fold over ``items`` that appends to ``out``.
+
+    Appending copies what is there, so items are folded ``CHUNK`` at a time, and the chunks' outputs appended then:
+    thousands of matches in one text cost thousands of small copies, not of large ones. ``grow`` also gets what
+    ``near`` makes once of a chunk and the place where it begins, with that place as ``at``.
+    """
+    none = F.struct(F.lit(0).alias("at"), empty.alias("out"))
+
+    def fold(every: Column) -> Column:
+        count = F.floor((F.size(every) - 1) / F.lit(CHUNK)).cast("int")
+        chunks = F.transform(F.sequence(F.lit(0), count), lambda i: F.slice(every, i * CHUNK + 1, CHUNK))
+
+        def add(held: Column, chunk: Column) -> Column:
+            def own(base: Column) -> Column:
+                return F.aggregate(
+                    chunk,
+                    F.struct(held["at"].alias("at"), empty.alias("out")),
+                    lambda so_far, item: grow(so_far, item, base),
+                    lambda done: F.struct(done["at"].alias("at"), F.concat(held["out"], done["out"]).alias("out")),
+                )
+
+            return F.transform(F.array(F.struct(held["at"].alias("at"), near(held["at"], chunk).alias("near"))), own)[0]
+
+        return F.when(F.size(every) > 0, F.aggregate(chunks, none, add)).otherwise(none)
+
+    # An array of one makes of an expression a value that is there, and is not evaluated anew wherever it is used.
+    return F.transform(F.array(items), fold)[0]
+
+
+def _free(name: str, taken: list[str]) -> str:
+    """``name``, longer if a column is called so."""
+    while name.lower() in {t.lower() for t in taken}:
+        name += "_"
+    return name
+
+
 def spans(text: Column, rule: Rule, order: int) -> Column:
     """array<struct<start, end, kind_order, kind>> of a rule's matches, in code points, end exclusive.
 
@@ -186,9 +224,8 @@ def spans(text: Column, rule: Rule, order: int) -> Column:
         lambda a, s: F.struct(a["gap"].alias("gap"), a["size"].alias("size"), F.length(s).alias("measure")),
     )
     kind = "array<struct<start:int,end:int,ord:int,kind:string,measure:int>>"
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("found"))
 
-    def grow(held: Column, step: Column) -> Column:
+    def grow(held: Column, step: Column, _: Column) -> Column:
         begin = held["at"] + step["gap"]
         one = F.struct(
             begin.alias("start"),
@@ -197,15 +234,17 @@ def spans(text: Column, rule: Rule, order: int) -> Column:
             F.lit(rule.kind).alias("kind"),
             step["measure"].alias("measure"),
         )
-        return F.struct((begin + step["size"]).alias("at"), F.concat(held["found"], F.array(one).cast(kind)).alias("found"))
+        return F.struct((begin + step["size"]).alias("at"), F.concat(held["out"], F.array(one).cast(kind)).alias("out"))
 
-    every = F.aggregate(steps, start, grow, lambda held: held["found"])
+    every = _folded(steps, F.array().cast(kind), grow, lambda at, chunk: F.lit(None).cast("string"))["out"]
     return F.transform(
         F.filter(every, lambda s: s["measure"] >= rule.least),
         lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["ord"].alias("ord"), s["kind"].alias("kind")),
     )
 
 
+#: Matches of a text that are put together at a time.
+CHUNK = 64
 SPAN = "array<struct<start:int,end:int,ord:int,kind:string>>"
 
 
@@ -240,13 +279,16 @@ def with_spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES, name: str = "__
     """``docs`` with an array of spans, by start and then by the order of the rules.
 
     Null and empty texts have none. Rows that repeat a doc_id share their candidate flags, which only means
-    that a rule may run in vain; rows without a doc_id share theirs too. Other columns stay as they are;
-    none may be called like ``name`` or ``__doc``.
+    that a rule may run in vain; rows without a doc_id share theirs too. Other columns stay as they are, whatever
+    they are called; only ``name`` itself must not be among them.
     """
+    if name.lower() in {c.lower() for c in docs.columns}:
+        raise ValueError(f"the table has a column {name} already")
     found, flags = candidates(docs, rules)
-    marks = {kind: f"__{flag}" for kind, flag in flags.items()}
-    index = stored(found.select(F.col("doc_id").alias("__doc"), *[F.col(flags[k]).alias(marks[k]) for k in flags]), "candidates")
-    joined = docs.join(index, docs["doc_id"].cast("long").eqNullSafe(index["__doc"]), "left")
+    marks = {kind: _free(f"__{flag}", docs.columns) for kind, flag in flags.items()}
+    key = _free("__doc", docs.columns)
+    index = stored(found.select(F.col("doc_id").alias(key), *[F.col(flags[k]).alias(marks[k]) for k in flags]), "candidates")
+    joined = docs.join(index, docs["doc_id"].cast("long").eqNullSafe(index[key]), "left")
     text = F.coalesce(docs["text"], F.lit(""))
     parts = [
         F.when(F.col(marks[r.kind]), spans(text, r, i)).otherwise(F.array().cast(SPAN))
@@ -255,7 +297,7 @@ def with_spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES, name: str = "__
         for i, r in enumerate(rules)
     ]
     ordered = F.array_sort(F.flatten(F.array(*parts)), _by_start)
-    return joined.withColumn(name, ordered).drop("__doc", *marks.values())
+    return joined.withColumn(name, ordered).drop(key, *marks.values())
 
 
 def _by_start(a: Column, b: Column) -> Column:
@@ -273,7 +315,11 @@ def written(found: Column) -> Column:
 
 
 def report(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """(doc_id, one count per base kind, base_sha256, spans) of each row."""
+    """(doc_id, one count per base kind, base_sha256, spans) of each row.
+
+    Letters fold as in ASCII. A null or empty text has no spans; repeated rows are scanned one by one, a null
+    doc_id stays null, other columns are not read, and an empty table gives no rows.
+    """
     found, base = F.col("__secrets"), {r.kind for r in BASE}
     scanned = with_spans(docs.select("doc_id", "text"), rules).select(F.col("doc_id").cast("long").alias("doc_id"), "__secrets")
     of_kind = lambda kind: F.filter(found, lambda s: s["kind"] == kind)
@@ -287,12 +333,16 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 
     Columns stay as they are, except that ``n_chars``, if there, is the length of the new text.
     """
-    scanned = with_spans(docs, rules)
-    text = F.col("text")
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    name = _free("__secrets", docs.columns)
+    scanned = with_spans(docs, rules, name)
+    text, found = F.col("text"), F.col(name)
+
+    def near(at: Column, chunk: Column) -> Column:
+        """The text from ``at`` to the last end in the chunk: places within it are found without reading all before."""
+        return F.substring(text, at + 1, F.greatest(F.array_max(F.transform(chunk, lambda s: s["end"])) - at, F.lit(0)))
 
-    def grow(held: Column, s: Column) -> Column:
-        between = F.substring(text, held["at"] + 1, s["start"] - held["at"])
+    def grow(held: Column, s: Column, base: Column) -> Column:
+        between = F.substring(base["near"], held["at"] - base["at"] + 1, s["start"] - held["at"])
         return (
             F.when(s["end"] <= held["at"], held)
             .when(s["start"] < held["at"], F.struct(s["end"].alias("at"), held["out"].alias("out")))
@@ -301,10 +351,12 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
             )
         )
 
-    rest = lambda held: F.concat(held["out"], F.substring(text, held["at"] + 1, F.length(text)))
-    clean = F.when(F.size("__secrets") > 0, F.aggregate("__secrets", start, grow, rest)).otherwise(text)
+    redacted = F.transform(
+        F.array(_folded(found, F.lit(""), grow, near)), lambda held: F.concat(held["out"], F.substring(text, held["at"] + 1, F.length(text)))
+    )
+    clean = F.when(F.size(found) > 0, redacted[0]).otherwise(text)
     changed = scanned.withColumn("text", clean)
     if "n_chars" in docs.columns:
-        n = F.when(F.size("__secrets") > 0, F.length("text")).otherwise(F.col("n_chars"))
+        n = F.when(F.size(name) > 0, F.length("text")).otherwise(F.col("n_chars"))
         changed = changed.withColumn("n_chars", n.cast(docs.schema["n_chars"].dataType))
     return changed.select(*docs.columns)
