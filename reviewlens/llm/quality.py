@@ -178,7 +178,9 @@ def base_failed(table: Table) -> np.ndarray:
 
 
 #: A document is of a rule's kind of bad only if that rule calls it bad: so surely at least.
-ANCHOR = 0.9
+ANCHOR = 0.995
+#: A kind of bad stands only if another rule calls at least this share of its documents bad, beyond what it does among good ones.
+SUPPORT = 0.15
 
 
 @dataclass(frozen=True)
@@ -187,17 +189,20 @@ class LabelModel:
 
     Bad documents are of several kinds, whose votes have little in common (symbols, repetition, capitals), so
     the model has one class of good documents, first, and for each rule one class of bad ones that this
-    rule finds. ``weight[class]`` are their shares and ``bad[class, rule]`` the probabilities that a rule
-    which votes calls a document of the class bad.
+    rule finds, if other rules bear it out. A rule that stands alone with its bad votes has none: they count as its
+    errors on good documents, and other rules overrule them. ``weight[class]`` are the shares of the classes (0: has
+    none) and ``bad[class, rule]`` the probabilities that a rule which votes calls a document of the class bad.
     """
 
     weight: np.ndarray
     bad: np.ndarray
 
     def classes(self, patterns: np.ndarray) -> np.ndarray:
-        """Posterior of each class for each vote pattern; a rule that abstains adds nothing."""
+        """Posterior of each class for each vote pattern; a rule that abstains says nothing, but on its own kind of bad."""
         votes = _votes(patterns, self.bad.shape[1])
-        odds = np.log(self.weight) + (votes == BAD) @ np.log(self.bad).T + (votes == GOOD) @ np.log(1 - self.bad).T
+        with np.errstate(divide="ignore"):
+            weight = np.log(self.weight)
+        odds = weight + (votes == BAD) @ np.log(self.bad).T + (votes == GOOD) @ np.log(1 - self.bad).T
         # The rule that defines a kind of bad must call the document bad; an abstention counts against it.
         odds[:, 1:] += (votes == ABSTAIN) * np.log(1 - ANCHOR)
         odds = np.exp(odds - odds.max(axis=1, keepdims=True, initial=-np.inf))
@@ -220,16 +225,33 @@ def _votes(patterns: np.ndarray, n_rules: int) -> np.ndarray:
 
 
 def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200, n_rules: int = len(RULES)) -> LabelModel:
-    """Expectation-maximisation on the counts of vote patterns.
+    """Expectation-maximisation on the counts of vote patterns, from the start again whenever a kind of bad is given up.
 
     It starts from rules being right: they rarely call good documents bad. One vote of each kind, weighted by
     that start, smooths each probability, so nothing is ever certain; without documents the start is left.
+    Kinds that no other rule bears out are given up one by one, the one with the least support first.
     """
+    kinds = np.ones(n_rules, bool)
+    model = _maximised(patterns, counts, rounds, kinds)
+    while len(patterns):
+        support = model.bad[1:] - model.bad[0]
+        support[np.arange(n_rules), np.arange(n_rules)] = 0
+        support = np.where(kinds, support.max(axis=1, initial=0), np.inf)
+        if support.min() >= SUPPORT:
+            break
+        kinds[support.argmin()] = False
+        model = _maximised(patterns, counts, rounds, kinds)
+    return model
+
+
+def _maximised(patterns: np.ndarray, counts: np.ndarray, rounds: int, kinds: np.ndarray) -> LabelModel:
+    n_rules = len(kinds)
     start = np.full((n_rules + 1, n_rules), 0.1)
     start[0] = 0.002
     anchors = (np.arange(1, n_rules + 1), np.arange(n_rules))
-    start[anchors] = 0.95
-    model = LabelModel(np.array([0.9, *[0.1 / n_rules] * n_rules]), start)
+    start[anchors] = ANCHOR
+    share = kinds / max(n_rules, 1)
+    model = LabelModel(np.array([0.9, *(0.1 * share)]), start)
     if not len(patterns):
         return model
     votes, last = _votes(patterns, n_rules), None
@@ -241,8 +263,8 @@ def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200, n_rule
         bad, good = held @ (votes == BAD), held @ (votes == GOOD)
         rates = (bad + start) / (bad + good + 1)
         rates[anchors] = np.maximum(rates[anchors], ANCHOR)
-        weight = (held.sum(axis=1) + 1 / n_rules) / (counts.sum() + (n_rules + 1) / n_rules)
-        model = LabelModel(weight, np.clip(rates, 1e-6, 1 - 1e-6))
+        weight = held.sum(axis=1) + np.array([1, *share])
+        model = LabelModel(weight / weight.sum(), np.clip(rates, 1e-6, 1 - 1e-6))
     return model
 
 

@@ -78,7 +78,7 @@ def linked_prints(texts):
 
 
 SECRETS = (
-    ("assign", re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), 2, 12),
+    ("assign", re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A), 2, 12),
     ("access", re.compile(r"AKIA[A-Z0-9]+"), 0, 18),
     ("hex", re.compile(r"[0-9a-f]+"), 0, 16),
 )
@@ -93,3 +93,8 @@ def secrets(text):
         if len(m[group]) >= least
     ]
     return [f"{kind}:{start}:{end}" for start, _, kind, end in sorted(found)]
+
+
+def five_words(text):
+    words = [w.encode() for w in WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))]
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()

@@ -303,7 +303,7 @@ def test_no_vectors(spark):
 
 def test_pipeline_equals_its_stages_one_by_one(spark):
     """Stage by stage over collected rows, with the plain decision of each."""
-    from brute import base_quality, linked_prints, secrets
+    from brute import base_quality, five_words, secrets
 
     docs = {r.doc_id: r for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
     frame = spark.read.parquet(f"{SMALL}/documents.parquet")
@@ -315,7 +315,8 @@ def test_pipeline_equals_its_stages_one_by_one(spark):
     unique, counts = np.unique(patterns, return_counts=True)
     good = quality.estimate(unique, counts).posterior(patterns) >= 0.5
     kept = [d for d, g in zip(kept, good, strict=True) if g and base_quality(docs[d].text)[0] >= 50 and 2 * base_quality(docs[d].text)[4] <= base_quality(docs[d].text)[0]]
-    roots = components(linked_prints([docs[d].text for d in kept]), kept)
+    sets = [five_words(docs[d].text) for d in kept]
+    roots = components(np.array([[5 * len(a & b) >= 4 * len(a | b) for b in sets] for a in sets]), kept)
     kept = [d for d, r in zip(kept, roots, strict=True) if d == r]
     rows = corpus_pipeline.run(spark, SMALL).collect()
     assert {r.doc_id for r in rows} == set(kept)
