@@ -31,6 +31,8 @@ TARGET_PATTERNS: Mapping[str, str] = {
     "weighted_vote_score": FLOAT_PATTERN,
 }
 
+# Sketches of 4,096 counters: a standard error of 1.6 %.
+SKETCH_LG_K = 12
 # How many parts of a column are ranked on their own before the column is.
 RANKED_PARTS = 64
 # Characters of a free text that take part in its ranking before its text is fetched.
@@ -104,6 +106,41 @@ def profile_columns(
     return checked.groupBy("column_name").agg(F.sum("distinct_values").alias("distinct_values"), *[F.sum(c).alias(c) for c in ROW_COUNTS])
 
 
+def distinct_sketches(df: DataFrame, columns: Iterable[str], by: Iterable[str] = (), lg_k: int = SKETCH_LG_K) -> DataFrame:
+    """(``by``..., column_name, known_rows, sketch): a mergeable sketch of each column's distinct values, per group.
+
+    Store them by day or file: a profile of a table that has grown then reads the new part only and merges its
+    sketches with the old ones. One row per group and task is shuffled, of about 2^``lg_k`` bytes a column at most,
+    so a group with a third of the table costs no more than others. Null is no value.
+    """
+    columns, by = list(columns), list(by)
+    text = require_columns(df, [*columns, *by])
+    parts = []
+    for i, name in enumerate(columns):
+        value = column(name).cast("string")
+        parts += [F.count(value).alias(f"n{i}"), F.hll_sketch_agg(value, lg_k).alias(f"s{i}")]
+    keys = [column(c) for c in by]
+    rows = F.array(
+        *[
+            F.struct(F.lit(name).alias("column_name"), F.col(f"n{i}").alias("known_rows"), F.col(f"s{i}").alias("sketch"))
+            for i, name in enumerate(columns)
+        ]
+    )
+    return text.groupBy(*keys).agg(*parts).select(*keys, F.inline(rows))
+
+
+def merge_sketches(sketches: DataFrame, by: Iterable[str] = ()) -> DataFrame:
+    """Sketches of the same form for coarser groups, or one per column: as if made from all the rows at once."""
+    keys = [*map(column, by), F.col("column_name")]
+    return sketches.groupBy(*keys).agg(F.sum("known_rows").alias("known_rows"), F.hll_union_agg("sketch").alias("sketch"))
+
+
+def distinct_from_sketches(sketches: DataFrame) -> DataFrame:
+    """(column_name, known_rows, distinct_values) of the whole table; the standard error is about 1 / 2^(lg_k / 2)."""
+    merged = merge_sketches(sketches)
+    return merged.select("column_name", "known_rows", F.hll_sketch_estimate("sketch").alias("distinct_values"))
+
+
 def _nonconvertible(columns: Iterable[str], patterns: Mapping[str, str]) -> Column:
     # For (column_name, value) rows; null for a column without a pattern.
     names_of: dict[str, list[str]] = {}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from reviewlens.functions.display import DEFAULT_RANGE_DAYS
 from reviewlens.schema import CLEAN_CASTS, EXPLORE_CASTS, LANGUAGE_NAMES, RAW_COLUMNS, UNUSED_COLUMNS
 
 RAW = """raw_reviews AS (
@@ -375,6 +376,32 @@ def sql() -> dict[str, str]:
             f"WHERE {c} IS NOT NULL AND NOT regexp_full_match({c}, '{p}') ORDER BY value LIMIT 10)"
             for c, p in PATTERNS.items()
         ),
+        "distinct_sketch_merge": f"WITH {RAW} "
+        + " UNION ALL ".join(
+            f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS distinct_values, count({c}) AS known_rows, "
+            "true AS same_rows, true AS near_exact FROM raw_reviews"
+            for c in ("recommendationid", "game", "language", "review", "votes_up")
+        ),
+        "engagement_cached": f"""WITH {SALES}, authors AS (SELECT author_steamid AS name, count(*) AS n, sum(votes_up) AS up
+            FROM sales_reviews WHERE {SALES_DAYS} AND author_steamid IS NOT NULL GROUP BY 1),
+          boards AS ((SELECT 'games' AS board, game AS name, count(*) AS value FROM sales_reviews WHERE {SALES_DAYS}
+              AND game IS NOT NULL GROUP BY game ORDER BY value DESC, name LIMIT 10)
+            UNION ALL (SELECT 'reviews', name, n FROM authors ORDER BY n DESC, name LIMIT 10)
+            UNION ALL (SELECT 'upvotes', name, up FROM authors ORDER BY up DESC, name LIMIT 10))
+          SELECT *, true AS kept, true AS released FROM boards""",
+        "refused_limits": f"""WITH {SALES}, games AS (SELECT count(DISTINCT game) AS n FROM sales_reviews)
+          SELECT k, CASE WHEN size > 0 THEN least(size, n) END AS listed_games FROM games,
+            (VALUES ('3', 3), ('50', 50), ('0', 0), ('-1', 0), ('True', 0), ('2.0', 0), ($$'5'$$, 0), ('None', 0)) AS limits(k, size)""",
+        "default_range_totals": f"""WITH {SALES} SELECT game, count(*) AS total_reviews FROM sales_reviews
+          WHERE CAST(timestamp_created AS DATE) BETWEEN (SELECT CAST(max(timestamp_created) AS DATE) - {DEFAULT_RANGE_DAYS} FROM sales_reviews)
+            AND (SELECT CAST(max(timestamp_created) AS DATE) FROM sales_reviews) GROUP BY game""",
+        "required_columns": f"""WITH {RAW} SELECT names, missing, count(*) AS raw_rows FROM raw_reviews,
+          (VALUES ('game,review', ''), ('game,no_such', 'no_such'), ('nothing,no_such', 'no_such, nothing'), ('', '')) AS lists(names, missing)
+          GROUP BY names, missing""",
+        "tables_with_rows": f"""WITH {RAW}, {DOC}, {SALES}
+          SELECT 'raw' AS name, EXISTS (SELECT 1 FROM raw_reviews) AS has_rows UNION ALL
+          SELECT 'doc', EXISTS (SELECT 1 FROM doc_reviews) UNION ALL SELECT 'sales', EXISTS (SELECT 1 FROM sales_reviews) UNION ALL
+          SELECT 'unknown', EXISTS (SELECT 1 FROM doc_reviews WHERE game = 'no such game')""",
         "distinct_sample": f"""WITH {RAW} SELECT DISTINCT game AS value FROM raw_reviews
           ORDER BY value NULLS LAST LIMIT 20""",
         "distinct_games": f"WITH {RAW} SELECT DISTINCT game FROM raw_reviews WHERE game <> '' ORDER BY game",

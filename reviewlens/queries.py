@@ -14,16 +14,16 @@ from reviewlens.functions import display as D
 from reviewlens.functions import sentiment as S
 from reviewlens.operators import catalog, cleaning, leaderboards, profiling, reports
 from reviewlens.operators import sentiment as T
-from reviewlens.operators.columns import drop_columns
+from reviewlens.operators.columns import drop_columns, require_columns
 from reviewlens.operators.filters import between_days, of_product
 from reviewlens.plans.cleaning import clean_to_parquet
-from reviewlens.plans.engagement import engagement_rows
+from reviewlens.plans.engagement import engagement_report, engagement_rows
 from reviewlens.plans.product_report import product_report, scored_list
 from reviewlens.plans.profile import profile_report
 from reviewlens.schema import EXPLORE_CASTS, RAW_SCHEMA, ReviewColumns
-from reviewlens.sources.readers import read_parquet, read_raw_csv
+from reviewlens.sources.readers import has_rows, read_parquet, read_raw_csv
 from reviewlens.sources.scratch import scratch_path
-from reviewlens.sources.sinks import YEAR_COLUMN, export, write_names
+from reviewlens.sources.sinks import YEAR_COLUMN, export, write_names, write_parquet
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -118,6 +118,45 @@ def engagement_all(spark, sf):
     return engagement_rows(sales_reviews(spark, sf), 10, 10, *SALES_DAYS)
 
 
+@register
+def engagement_cached(spark, sf):
+    """The boards of a report whose aggregates are cached while it is open, and let go of after it."""
+    sales = sales_reviews(spark, sf)
+    path = scratch_path(spark, "boards")
+    with engagement_report(sales, 10, 10, *SALES_DAYS) as report:
+        kept = all(frame.is_cached for frame in report.cached)
+        boards = [
+            report.top_games.select(F.lit("games").alias("board"), F.col("game").alias("name"), F.col("count").alias("value")),
+            report.top_authors_by_count.select(F.lit("reviews"), "author_id", "review_count"),
+            report.top_authors_by_upvotes.select(F.lit("upvotes"), "author_id", "total_upvotes"),
+        ]
+        write_parquet(reduce(DataFrame.unionAll, boards), path)
+    released = not any(frame.is_cached for frame in report.cached)
+    return read_parquet(spark, path).withColumns({"kept": F.lit(kept), "released": F.lit(released)})
+
+
+@register
+def refused_limits(spark, sf):
+    """A board of k rows for usable limits; other limits are refused before anything runs."""
+    sales = sales_reviews(spark, sf)
+    boards = []
+    for k in (3, 50, 0, -1, True, 2.0, "5", None):
+        try:
+            rows = leaderboards.top_products(sales, k).agg(F.count(F.lit(1)).alias("listed_games"))
+        except ValueError:
+            rows = sales.limit(1).select(F.lit(None).cast("bigint").alias("listed_games"))
+        boards.append(rows.select(F.lit(repr(k)).alias("k"), "listed_games"))
+    return reduce(DataFrame.unionAll, boards)
+
+
+@register
+def default_range_totals(spark, sf):
+    """The range of a report that names no days, counted back from the newest review."""
+    sales = sales_reviews(spark, sf)
+    newest = sales.agg(F.max("timestamp_created").cast("date").alias("day")).first().day
+    return reports.summary(between_days(sales, *D.default_date_range(newest))).select("game", "total_reviews")
+
+
 # ---------------------------------------------------------------- cleaning
 
 
@@ -300,6 +339,30 @@ def distinct_sample(spark, sf):
     return profiling.distinct_sample(raw_reviews(spark, sf), "game")
 
 
+SKETCHED = ("recommendationid", "game", "language", "review", "votes_up")
+
+
+@register
+def distinct_sketch_merge(spark, sf):
+    """Sketches stored per game and per author are near the exact counts once merged, however the table was cut."""
+    raw = raw_reviews(spark, sf)
+    found = []
+    for by in ("game", "author_steamid"):
+        path = scratch_path(spark, "sketches")
+        write_parquet(profiling.distinct_sketches(raw, SKETCHED, [by]), path)
+        found.append(profiling.distinct_from_sketches(read_parquet(spark, path)))
+    exact = raw.agg(*[F.count_distinct(c).alias(c) for c in SKETCHED]).unpivot([], list(SKETCHED), "column_name", "exact")
+    one, other = (f.withColumnsRenamed({"distinct_values": f"d{i}", "known_rows": f"n{i}"}) for i, f in enumerate(found))
+    near = lambda c: F.abs(F.col(c) - F.col("exact")) <= F.col("exact") * 0.05 + 1
+    return exact.join(one, "column_name").join(other, "column_name").select(
+        "column_name",
+        F.col("exact").alias("distinct_values"),
+        F.col("n0").alias("known_rows"),
+        (F.col("n0") == F.col("n1")).alias("same_rows"),
+        (near("d0") & near("d1")).alias("near_exact"),
+    )
+
+
 # ---------------------------------------------------------------- catalog
 
 
@@ -583,6 +646,32 @@ def csv_shuffled_columns(spark, sf):
     return read_raw_csv(spark, path, RAW_SCHEMA, null_value=NULL_MARK)
 
 
+@register
+def required_columns(spark, sf):
+    """Which lists of columns the raw table has; the others are refused with the names that are missing."""
+    raw, found = raw_reviews(spark, sf), []
+    for names in (("game", "review"), ("game", "no_such"), ("nothing", "no_such"), ()):
+        try:
+            missing = "" if require_columns(raw, names) is raw else None
+        except ValueError as error:
+            missing = str(error).split("[")[1].split("]")[0].replace("'", "")
+        found.append((",".join(names), missing))
+    lists = raw.select(F.explode(F.array(*[F.struct(F.lit(a).alias("names"), F.lit(b).alias("missing")) for a, b in found])).alias("x"))
+    return lists.groupBy("x.names", "x.missing").agg(F.count(F.lit(1)).alias("raw_rows"))
+
+
+@register
+def tables_with_rows(spark, sf):
+    """The empty check, on whole tables and on a product that has no review."""
+    frames = {
+        "raw": raw_reviews(spark, sf),
+        "doc": doc_reviews(spark, sf),
+        "sales": sales_reviews(spark, sf),
+        "unknown": of_product(doc_reviews(spark, sf), "no such game"),
+    }
+    return spark.createDataFrame([(name, has_rows(df)) for name, df in frames.items()], "name string, has_rows boolean")
+
+
 @register
 def csv_one_file(spark, sf):
     """One file whose texts hold line breaks and doubled quotes, read in byte ranges by many tasks."""
