@@ -1,17 +1,19 @@
 """Main text of web pages by removal of site templates.
 
 Pages are parsed to element trees. Each subtree gets a hash of its tags and text, and Spark counts on how many
-pages of its host it occurs: what recurs on many of them is the site's template and is deleted, whatever it is
-called. In an ``article`` element, blocks are counted by the different articles around them, so that copied
-articles stay. What a page says about itself (navigation, forms, notices, comments and so
-on, by element, role and class) is deleted too, as such parts often differ from page to page.
+different pages of its host it occurs: what recurs on many of them is the site's template and is deleted, whatever it
+is called. What recurs on a smaller part of a host's pages, such as the menu of one section, is deleted where it is not
+most of a page's text. In an ``article`` element, blocks are counted by the different articles around them, so that
+copied articles stay. What a page says about itself (navigation, forms, notices, comments and so on, by element,
+role and class) is deleted too, as such parts often differ from page to page; but never what holds the article,
+the main element or most of the page's text, and a class word never condemns a paragraph or heading.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from html import unescape
 
 import numpy as np
@@ -21,9 +23,11 @@ from pyspark.sql import functions as F
 
 from reviewlens.llm.common import host_of, map_batches, stored
 
-#: A subtree is template if it is on at least so many pages of its host, and on more than this share of them.
+#: A subtree is template if it is on at least so many different pages of its host, and on more than this share of them.
 LEAST_PAGES = 10
 LEAST_SHARE = 0.5
+#: From this share on it is template of a part of the host: deleted where it holds less than half of a page's text.
+PART_SHARE = 0.05
 
 #: Elements of the markup standard, by what they mean here.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -36,8 +40,12 @@ BLOCKS = frozenset(
 CLOSES_P = BLOCKS - frozenset("html body td th tr tbody thead tfoot option optgroup".split())
 DROPPED = frozenset(
     "nav footer aside form script style noscript template iframe textarea title head svg math canvas button select input "
-    "object embed audio video dialog menu map datalist label fieldset xmp noembed noframes".split()
+    "object embed audio video dialog menu map datalist xmp noembed noframes".split()
 )
+#: Elements whose own words make up a text; their class or id says what it is about, not that it is none.
+PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dd dt td th em strong b i span a code q cite label".split())
+#: Words that say that an element holds what readers have written.
+OF_READERS = frozenset("comment comments commentlist discussion disqus reply replies respond".split())
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog alertdialog menu menubar toolbar tooltip status".split())
 #: Words of a class or id that mark a part as not the article.
 DROPPED_WORDS = frozenset(
@@ -58,11 +66,15 @@ ENDS_WITH_SAME = {
 }
 ENDS_WITH_SAME = {k: (frozenset(a.split()), frozenset(b.split())) for k, (a, b) in ENDS_WITH_SAME.items()}
 
+P_STOPS = ("td", "th", "table", "button", "object", "caption")
+
 _markup = re.compile(
     r"""<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|</[a-zA-Z][^>]*>"""
     r"""|<[a-zA-Z](?:[^>"']|"[^"]*"|'[^']*')*>|<[a-zA-Z][^>]*>""",
     re.S,
 )
+_unfinished = re.compile(r"<!--.*\Z|<!\[CDATA\[.*\Z", re.S)
+_raw_ends = {tag: re.compile(rf"</{tag}\b[^>]*>", re.I) for tag in RAW}
 _name = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 _attribute = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'=<>`]+)))?""")
 _split_words = re.compile(r"[^a-z0-9]+")
@@ -72,68 +84,78 @@ _camel = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 class Node:
     """An element: its children are texts and elements, in order."""
 
-    __slots__ = ("tag", "attributes", "children", "hash", "dropped")
+    __slots__ = ("tag", "attributes", "children", "hash", "dropped", "size")
 
     def __init__(self, tag: str, attributes: str = ""):
         self.tag, self.attributes, self.children = tag, attributes, []
-        self.hash, self.dropped = 0, False
+        self.hash, self.dropped, self.size = 0, False, 0
+
+
+class _Open:
+    """The open elements, and where the open ones of each tag lie, so that no end has to look for its start."""
+
+    def __init__(self, root: Node):
+        self.stack, self.places = [root], {}
+
+    def push(self, node: Node) -> None:
+        self.places.setdefault(node.tag, []).append(len(self.stack))
+        self.stack.append(node)
+
+    def last(self, tags: Iterable[str]) -> int:
+        """Depth of the innermost open element with one of the tags, 0 for none."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
+
+    def cut(self, depth: int) -> None:
+        for node in self.stack[depth:]:
+            self.places[node.tag].pop()
+        del self.stack[depth:]
+
+    def close(self, tags: Iterable[str], stops: Iterable[str] = ()) -> None:
+        depth = self.last(tags)
+        if depth > self.last(stops):
+            self.cut(depth)
 
 
 def parse(html: str | None) -> Node:
     """The element tree of a page, however broken: unknown ends are ignored, missing ones are put in."""
-    root = Node("html")
-    stack, at, text = [root], 0, html or ""
-    n = len(text)
+    root, at, text = Node("html"), 0, html or ""
+    held, n, last = _Open(root), len(text), text.rfind(">")
     while at < n:
-        found = _markup.search(text, at)
+        # Behind the last ">" nothing but an unfinished comment is markup.
+        found = _markup.search(text, at) if at <= last or "<!--" in text[at : at + 4] else _unfinished.search(text, at)
         if not found:
-            stack[-1].children.append(text[at:])
+            held.stack[-1].children.append(text[at:])
             break
         if found.start() > at:
-            stack[-1].children.append(text[at : found.start()])
+            held.stack[-1].children.append(text[at : found.start()])
         at, token = found.end(), found.group()
         if token[1] in "!?":
             continue
         tag = _name.match(token)[1].lower()
         if token[1] == "/":
-            if tag == "p" and all(x.tag != "p" for x in stack):
-                continue
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].tag == tag:
-                    del stack[depth:]
-                    break
+            held.close((tag,))
             continue
         if tag in CLOSES_P:
-            _close(stack, frozenset(("p",)), frozenset(("td", "th", "table", "button", "object", "caption")))
+            held.close(("p",), P_STOPS)
         if tag in ENDS_WITH_SAME:
-            _close(stack, *ENDS_WITH_SAME[tag])
+            held.close(*ENDS_WITH_SAME[tag])
         node = Node(tag, token[1 + len(tag) : -1])
-        stack[-1].children.append(node)
+        held.stack[-1].children.append(node)
         if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(text, at)
+            end = _raw_ends[tag].search(text, at)
             at = end.end() if end else n
         elif tag not in VOID and not token.endswith("/>"):
-            stack.append(node)
+            held.push(node)
     return root
 
 
-def _close(stack: list[Node], tags: frozenset, stops: frozenset) -> None:
-    for depth in range(len(stack) - 1, 0, -1):
-        if stack[depth].tag in tags:
-            del stack[depth:]
-            return
-        if stack[depth].tag in stops:
-            return
-
-
-def _walk(root: Node) -> Iterator[tuple[Node, tuple[Node, ...]]]:
-    """Every element with the elements around it, in page order."""
-    todo: list[tuple[Node, tuple[Node, ...]]] = [(root, ())]
+def _walk(root: Node) -> Iterator[Node]:
+    """Every element, in page order."""
+    todo = [root]
     while todo:
-        node, around = todo.pop()
-        yield node, around
-        inner = around if len(around) > 200 else (*around, node)
-        todo += [(child, inner) for child in reversed(node.children) if isinstance(child, Node)]
+        node = todo.pop()
+        yield node
+        todo += [child for child in reversed(node.children) if isinstance(child, Node)]
 
 
 def _marked(node: Node, inside_article: bool) -> bool:
@@ -150,24 +172,58 @@ def _marked(node: Node, inside_article: bool) -> bool:
             return True
         if name == "role" and value.lower() in DROPPED_ROLES:
             return True
-        if name in ("class", "id"):
-            words = {w for part in _camel.sub(" ", value).split() for w in _split_words.split(part.lower())}
-            if words & DROPPED_WORDS and not (node.tag in ("article", "main") and not words & {"comment", "comments"}):
+        if name in ("class", "id") and node.tag not in PROSE:
+            words = _words(value)
+            if words & DROPPED_WORDS and not (node.tag in ("article", "main") and not words & OF_READERS):
                 return True
     return False
 
 
+def _words(value: str) -> set[str]:
+    return {w for part in _camel.sub(" ", value).split() for w in _split_words.split(part.lower())}
+
+
+def _of_readers(node: Node) -> bool:
+    return "comment" in node.attributes.lower() and any(
+        bool(_words(a or b or c) & OF_READERS) for name, a, b, c in _attribute.findall(node.attributes) if name.lower() in ("class", "id")
+    )
+
+
+#: What is never text, whatever it holds.
+NO_TEXT = frozenset("script style noscript template iframe textarea title head svg canvas select audio video map datalist xmp noembed noframes".split())
+
+
+def _protected(root: Node) -> tuple[set[int], set[int]]:
+    """The way down to the largest article and to main elements, which nothing drops, and what holds at least half of
+    the page's text, which no class word, role or form drops. Also sets how much text is in each element."""
+    order = list(_walk(root))
+    parent = {id(child): node for node in order for child in node.children if isinstance(child, Node)}
+    for node in reversed(order):
+        node.size = 0 if node.tag in NO_TEXT else sum(c.size if isinstance(c, Node) else len(c.split()) for c in node.children)
+    most = {id(node) for node in order if root.size and 2 * node.size >= root.size}
+    articles = [node for node in order if node.tag == "article" and not _of_readers(node)]
+    largest, way = max(articles, key=lambda node: node.size, default=None), set()
+    for node in [largest, *(node for node in order if _is_main(node))]:
+        while node is not None and id(node) not in way:
+            way.add(id(node))
+            node = parent.get(id(node))
+    return way, most
+
+
 def _is_main(node: Node) -> bool:
     return node.tag == "main" or bool(re.search(r"""role\s*=\s*["']?main\b|itemprop\s*=\s*["']?articleBody""", node.attributes, re.I))
 
 
 def _prepare(root: Node) -> tuple[list[Node], list[Node]]:
     """Marks what is dropped, and gives the articles and the main elements that are not inside an article."""
-    articles, mains = [], []
+    articles, mains, (way, most) = [], [], _protected(root)
     todo: list[tuple[Node, bool]] = [(root, False)]
     while todo:
         node, inside = todo.pop()
-        node.dropped = _marked(node, inside)
+        by_name = node.tag in DROPPED and node.tag != "form"
+        node.dropped = node.tag in NO_TEXT or (
+            id(node) not in way and (by_name or id(node) not in most) and _marked(node, inside)
+        )
         if node.dropped:
             continue
         if not inside and node.tag == "article":
@@ -181,8 +237,7 @@ def _prepare(root: Node) -> tuple[list[Node], list[Node]]:
 
 def _hash_all(root: Node) -> None:
     """Hashes of all subtrees, from the leaves up: tags and white-space-normal text."""
-    order = [node for node, _ in _walk(root)]
-    for node in reversed(order):
+    for node in reversed(list(_walk(root))):
         parts = [node.tag.encode()]
         for child in node.children:
             if isinstance(child, Node):
@@ -221,18 +276,22 @@ def subtrees(html: str | None) -> set[tuple[int | None, bool, int]]:
     return found
 
 
-def main_text(
-    html: str | None, template: frozenset[int] | set[int] = frozenset(), inner: frozenset[int] | set[int] = frozenset()
-) -> str:
+Hashes = frozenset[int] | set[int]
+
+
+def main_text(html: str | None, template: Hashes = frozenset(), inner: Hashes = frozenset(), part: Hashes = frozenset()) -> str:
     """Text of the article: blocks in page order, one per line, without dropped parts and template subtrees.
 
-    ``template`` is removed outside ``article`` elements, ``inner`` inside them. Articles, or else the main element,
-    are the text if they have at least half of what is then left of the page.
+    ``template`` is removed outside ``article`` elements, ``inner`` inside them, and ``part`` outside them from where it
+    is less than half of the page's text. Articles, or else the main element, are the text if they have at least half
+    of what is then left of the page.
     """
     root = parse(html)
     articles, mains = _prepare(root)
-    if template or inner:
+    if template or inner or part:
         _hash_all(root)
+        if part:
+            template = {node.hash for node in _walk(root) if node.hash in template or (node.hash in part and 2 * node.size < root.size)}
     starts = set(map(id, articles))
     whole = _text([root], starts, template, inner)
     for holders in (articles, mains):
@@ -281,10 +340,13 @@ def _text(holders: list[Node], starts: set[int], template: frozenset[int] | set[
     return "\n".join(blocks)
 
 
-def templates(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
-    """(host, hashes, inner): the template subtrees of each host that has some, outside and inside articles.
+def templates(
+    pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE, part_share: float = PART_SHARE
+) -> DataFrame:
+    """(host, hashes, inner, part): the template subtrees of each host that has some, outside and inside articles, and
+    those of a part of the host.
 
-    A host has at most its mean number of subtrees a page, over ``least_share``.
+    A host has at most its mean number of subtrees a page, over the share that is asked for.
     """
 
     def run(batch: pa.RecordBatch) -> dict:
@@ -303,28 +365,33 @@ def templates(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: flo
 
     source = pages.select(host_of(F.col("url")).alias("host"), F.col("html").cast("string"))
     rows = map_batches(source, run, "host string, hash long, inside boolean, around long")
-    # Outside articles pages count, inside them different articles.
+    # Copies of a page or article count once: what counts are the different surroundings of a subtree.
     each = rows.groupBy("host", "hash", "inside", "around").agg(F.count("*").alias("rows"))
-    number = F.when(F.col("inside"), F.count("*")).otherwise(F.sum("rows"))
     counted = stored(
-        each.groupBy("host", "hash", "inside").agg(number.alias("n")).where(F.col("hash").isNull() | (F.col("n") >= least_pages)), "subtree-counts"
+        each.groupBy("host", "hash", "inside").agg(F.count("*").alias("n")).where(F.col("hash").isNull() | (F.col("n") >= least_pages)), "subtree-counts"
     )
     total = stored(counted.where("hash is null").select("host", "inside", F.col("n").alias("of")), "host-pages")
-    often = counted.where("hash is not null").join(total, ["host", "inside"]).where(F.col("n") > F.col("of") * least_share)
+    met = counted.where("hash is not null").join(total, ["host", "inside"])
+    most = F.col("n") > F.col("of") * least_share
+    often = met.where(most | (~F.col("inside") & (F.col("n") > F.col("of") * part_share)))
     listed = lambda which: F.collect_list(F.when(which, F.col("hash")))
-    return often.groupBy("host").agg(listed(~F.col("inside")).alias("hashes"), listed(F.col("inside")).alias("inner"))
+    return often.groupBy("host").agg(
+        listed(~F.col("inside") & most).alias("hashes"), listed(F.col("inside")).alias("inner"), listed(~F.col("inside") & ~most).alias("part")
+    )
 
 
-def extract(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
+def extract(
+    pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE, part_share: float = PART_SHARE
+) -> DataFrame:
     """(page_id, url, text, n_chars) of every row of ``pages``.
 
     Null and empty html, and pages that are nothing but template, have empty text. Pages without a host, also
-    those with a null url, count as one site. Repeated rows are pages of their own, also in the counts of
+    those with a null url, count as one site. Repeated rows are pages of their own, and count once for
     their host; other columns are not read. An empty table gives no rows.
     """
-    site = stored(templates(pages, least_pages, least_share), "templates")
+    site = stored(templates(pages, least_pages, least_share, part_share), "templates")
     own = pages.select("page_id", "url", F.col("html").cast("string").alias("html"), host_of(F.col("url")).alias("host"))
-    joined = own.join(site, "host", "left").select("page_id", "url", "html", F.when(F.col("hashes").isNotNull(), F.struct("hashes", "inner")).alias("template"))
+    joined = own.join(site, "host", "left").select("page_id", "url", "html", F.when(F.col("hashes").isNotNull(), F.struct("hashes", "inner", "part")).alias("template"))
     kind = own.schema
 
     def run(batch: pa.RecordBatch) -> dict:

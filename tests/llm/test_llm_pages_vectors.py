@@ -1,6 +1,7 @@
 """HTML extraction, URL filters, the inverted multi-index and the pipeline."""
 
 import re
+import time
 
 import corpus_pipeline
 import numpy as np
@@ -52,6 +53,54 @@ def test_broken_and_extreme_pages(page, text):
     assert html.main_text(page) == text
 
 
+@pytest.mark.parametrize("wrapper", ["content no-sidebar", "has-sidebar", "hasSidebar", "search-page", "legal", "share", "notice", "related"])
+def test_what_holds_the_article_is_never_dropped(wrapper):
+    page = f"<body><nav>menu</nav><div class='{wrapper}'><article><h1>T</h1><p>Body of it</p></article></div></body>"
+    assert html.main_text(page) == "T\nBody of it"
+    page = f"<body><nav>menu</nav><div id='{wrapper}'><p>{'Body of it. ' * 9}</p></div><div class='{wrapper}'>x</div></body>"
+    assert html.main_text(page) == ("Body of it. " * 9).strip()
+
+
+def test_forms_around_pages_and_words_of_paragraphs():
+    page = "<body><form action='/x'><nav>menu</nav><article><p>Body <label>of it</label></p><p class='legal-note'>n</p><p id='search'>s</p></article></form></body>"
+    assert html.main_text(page) == "Body of it\nn\ns"
+    readers = "<section class='comments'><article><p>Great!</p></article></section>"
+    assert html.main_text(f"<body><article><p>A body of some length</p></article>{readers}</body>") == "A body of some length"
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<div>" * 60_000, "<a '" * 250_000, "<div>" * 50_000 + "</p>" * 100_000, "<p><table>" + "<div>" * 150_000, "<ul><li>" * 80_000, "<! " * 300_000, "<a '><b \">" * 60_000],
+)
+def test_hostile_pages_take_linear_time(page):
+    began = time.time()
+    html.main_text(page)
+    assert time.time() - began < 20  # about a second; hours if some step looked through all open elements
+
+
+def test_host_counts_equal_brute_force(spark):
+    """A host of three sections with menus of their own, a footer on all pages, and copies of one page."""
+    rows = []
+    for i in range(60):
+        section = i % 3
+        menu = f"<div><div><a>section {section}</a></div><div>rubric {section}</div></div>"
+        rows.append((f"http://a.example/{i}", f"<body>{menu}<div><p>Text {i} {'word ' * 20}</p></div><div>all pages</div></body>"))
+    rows += [("http://a.example/copy", "<body><div><p>The same page</p></div><i>note</i></body>")] * 30
+    found = {r.page_id: r.text for r in html.extract(pages(spark, rows)).collect()}
+    assert [found[i] for i in range(60)] == [f"Text {i} {'word ' * 20}".strip() for i in range(60)]
+    assert {found[i] for i in range(60, 90)} == {"The same page note"} or {found[i] for i in range(60, 90)} == {"The same page\nnote"}
+    around = {}
+    for _, page in rows:
+        for digest, inside, other in html.subtrees(page):
+            around.setdefault((digest, inside), set()).add(other)
+    of = len(around[None, False])
+    expected = {d for (d, inside), others in around.items() if d is not None and not inside and len(others) >= html.LEAST_PAGES}
+    row = html.templates(pages(spark, rows)).collect()[0]
+    assert set(row.hashes) == {d for d in expected if len(around[d, False]) > of * html.LEAST_SHARE}
+    assert set(row.part) == {d for d in expected if of * html.PART_SHARE < len(around[d, False]) <= of * html.LEAST_SHARE}
+    assert row.hashes and row.part
+
+
 def pages(spark, rows):
     return spark.createDataFrame([(i, u, h, "x", "y") for i, (u, h) in enumerate(rows)], "page_id long, url string, html string, hash string, host string")
 
