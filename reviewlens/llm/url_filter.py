@@ -17,8 +17,8 @@ from reviewlens.llm.common import host_of, path_of, stored
 from reviewlens.llm.components import connected_components
 
 ALLOW, BLOCK = "allow", "block"
-#: Rules become one expression: more than this raise, they are not dropped.
-MOST_RULES = 2000
+#: Up to so many rules become one expression; longer lists are a table that hosts and paths are joined to.
+MOST_RULES = 200
 
 
 @dataclass(frozen=True)
@@ -43,10 +43,8 @@ def parse(text: str) -> Rule:
     return Rule(verdict, host.lower(), slash + rest)
 
 
-def _decide(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
-    """The longest rule that fits, as struct<rule, verdict>; of equal ones an allow, then the first by name."""
-    if len(rules) > MOST_RULES:
-        raise ValueError(f"more than {MOST_RULES} rules")
+def _expression(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
+    """The longest rule that fits, as struct<rule, verdict>; of equal ones an allow, then the last by name."""
     found = F.lit(None).cast("struct<rule:string,verdict:string>")
     for r in sorted(set(rules), key=lambda r: (len(r.name), r.verdict == ALLOW, r.name)):
         fits = ((host == r.host) | host.endswith("." + r.host)) & path.startswith(r.path)
@@ -54,6 +52,30 @@ def _decide(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
     return found
 
 
+def decided(places: DataFrame, rules: Sequence[Rule], name: str) -> DataFrame:
+    """``places`` with the rule that decides on their ``host`` and ``path`` as ``name``: struct<rule, verdict> or null.
+
+    A long list is joined by key only: each different place meets the rules of its host and the domains above it
+    at the lengths that the paths of these rules have, so a host with many pages and many rules makes no pairs of them.
+    """
+    if len(rules) <= MOST_RULES:
+        return places.withColumn(name, _expression(F.col("host"), F.col("path"), rules))
+    rows = sorted({(r.host, r.path, r.name, r.verdict) for r in rules})
+    table = places.sparkSession.createDataFrame(rows, "rule_host string, rule_path string, rule string, verdict string")
+    lengths = table.groupBy("rule_host").agg(F.collect_set(F.length("rule_path")).alias("lengths"))
+    parts = F.split("host", r"\.")
+    above = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "."))
+    different = places.select("host", "path").where("host is not null and path is not null").distinct()
+    domains = different.select("host", "path", F.explode(above).alias("rule_host")).join(lengths, "rule_host")
+    starts = domains.select("host", "path", "rule_host", F.explode(F.filter("lengths", lambda n: n <= F.length("path"))).alias("n"))
+    met = starts.withColumn("rule_path", F.expr("substring(path, 1, n)")).join(table, ["rule_host", "rule_path"])
+    best = F.max(F.struct(F.length("rule").alias("n"), (F.col("verdict") == ALLOW).alias("allows"), "rule", "verdict"))
+    found = met.groupBy(F.col("host").alias("met_host"), F.col("path").alias("met_path")).agg(best.alias("best"))
+    joined = places.join(found, (F.col("host") == F.col("met_host")) & (F.col("path") == F.col("met_path")), "left")
+    chosen = F.when(F.col("best").isNotNull(), F.struct(F.col("best.rule").alias("rule"), F.col("best.verdict").alias("verdict")))
+    return joined.select(*places.columns, chosen.alias(name))
+
+
 def address(url: Column) -> Column:
     """What two spellings of an address share: the lower-cased host, the path and the query; no fragment, no scheme."""
     query = F.regexp_extract(url, r"(?s)^[^#?]*(\?[^#]*)", 1)
@@ -81,9 +103,12 @@ REFRESH = r"""(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*["']?\s*refresh\b)[^>]*?\bu
 def page_links(pages: DataFrame) -> DataFrame:
     """(u, v): addresses of pages and what they name as canonical or refresh to."""
     html = F.coalesce("html", F.lit(""))
-    near = F.when(F.contains(F.lower(html), F.lit("canonical")), F.regexp_extract(html, CANONICAL, 1)).otherwise("")
-    moved = F.when(F.contains(F.lower(html), F.lit("refresh")), F.regexp_extract(html, REFRESH, 1)).otherwise("")
-    links = pages.where(F.contains("url", F.lit("://"))).select("url", F.explode(F.array(near, moved)).alias("link")).where("link <> ''")
+    none = F.array().cast("array<string>")
+    every = lambda word, expression: F.when(
+        F.contains(F.lower(html), F.lit(word)), F.regexp_extract_all(html, F.lit(expression), F.lit(1))
+    ).otherwise(none)
+    named = F.array_distinct(F.concat(every("canonical", CANONICAL), every("refresh", REFRESH)))
+    links = pages.where(F.contains("url", F.lit("://"))).select("url", F.explode(named).alias("link")).where("link <> ''")
     return links.select(
         address(F.col("url")).alias("u"), address(_resolved(F.replace("link", F.lit("&amp;"), F.lit("&")), F.col("url"))).alias("v")
     )
@@ -93,8 +118,8 @@ def blocked_aliases(links: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """(address) of every address in a component with an address that a rule blocks."""
     nodes = stored(connected_components(links), "address-components")
     as_url = F.concat(F.lit("//://"), F.col("node"))
-    decided = nodes.select("node", "component", _decide(host_of(as_url), path_of(as_url), rules)["verdict"].alias("verdict"))
-    hit = decided.where(F.col("verdict") == BLOCK).select("component").distinct()
+    judged = decided(nodes.select("component", host_of(as_url).alias("host"), path_of(as_url).alias("path")), rules, "own")
+    hit = judged.where(F.col("own.verdict") == BLOCK).select("component").distinct()
     return stored(nodes.join(hit, "component", "left_semi").select(F.col("node").alias("address")), "blocked-addresses")
 
 
@@ -111,9 +136,10 @@ def judge(pages: DataFrame, rules: Sequence[Rule], redirects: DataFrame | None =
         given = redirects.select(address(F.col("source")).alias("u"), address(F.col("target")).alias("v"))
         links = given if links is None else links.unionByName(given)
     url = F.col("url")
-    judged = pages.select(
+    places = pages.select(
         "page_id", host_of(url).alias("host"), path_of(url).alias("path"), F.when(F.contains(url, F.lit("://")), address(url)).alias("address")
-    ).withColumn("own", _decide(F.col("host"), F.col("path"), rules))
+    )
+    judged = decided(places, rules, "own")
     if links is not None:
         aliases = blocked_aliases(links, rules).withColumnRenamed("address", "alias")
         judged = judged.join(aliases, F.col("address") == F.col("alias"), "left")

@@ -227,13 +227,38 @@ def test_blocks_follow_links_to_aliases_but_not_over_an_allow(spark):
         ("https://c.net/?q=1", '<link rel=canonical href="//a.net/1">'),
     ]
     found = verdicts(spark, rows)
-    assert [found[i][1] for i in (0, 1, 6, 7)] == ["block"] * 4
+    # Row 4 names two pages as canonical, the second of which is blocked: every link of a page counts.
+    assert [found[i][1] for i in (0, 1, 4, 6, 7)] == ["block"] * 5
     assert found[2] == ("org/", "allow")
-    assert [found[i][1] for i in (3, 4, 5)] == ["allow"] * 3
+    assert [found[i][1] for i in (3, 5)] == ["allow"] * 2
     moved = spark.createDataFrame([("http://c.net", "http://x.com/de/1"), (None, "http://a.net")], "source string, target string")
     assert verdicts(spark, rows, moved)[5] == (None, "block")
 
 
+def test_long_rule_lists_decide_like_short_ones(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    hosts = ["example.org", "x.com", "com", "www.x.com", "net"]
+    rules = [url_filter.Rule(str(rng.choice(["allow", "block"])), str(rng.choice(hosts)), "/" + "ab/"[: rng.integers(0, 4)] + str(rng.integers(0, 3))) for _ in range(40)]
+    rules += [url_filter.Rule("block", "net", "/"), url_filter.Rule("allow", "x.com", "/"), url_filter.Rule("block", "x.com", "/")]
+    urls = [f"http://{h}/{p}" for h in (*hosts, "Example.ORG", "a.b.net", "notnet", "") for p in ("", "0", "1", "ab/1", "ab/12", "a0", "2?x#y")]
+    urls += [None, "none", "http://x.com", *urls[:5]]
+    rows = [(u, '<link rel=canonical href="http://net/0">' if i % 9 == 0 else "") for i, u in enumerate(urls)]
+    frame = pages(spark, rows)
+    short = sorted(map(tuple, url_filter.judge(frame, rules).collect()), key=repr)
+    monkeypatch.setattr(url_filter, "MOST_RULES", 0)
+    assert sorted(map(tuple, url_filter.judge(frame, rules).collect()), key=repr) == short
+    assert {r[4] for r in short} == {"allow", "block"}
+
+
+def test_every_link_of_a_page_counts(spark):
+    rows = [
+        ("http://a.net/1", '<link rel=canonical href="http://b.net/"><link rel=canonical href="http://x.com/de/1"><meta http-equiv=refresh content="0; url=/z">'),
+        ("http://b.net/", None),
+        ("http://a.net/z", None),
+    ]
+    assert {r.page_id: r.verdict for r in url_filter.judge(pages(spark, rows), [url_filter.parse("block com/de/")]).collect()} == {0: "block", 1: "block", 2: "block"}
+
+
 def test_url_filter_without_rows(spark):
     assert url_filter.judge(pages(spark, [(None, None)]).where("false"), RULES).collect() == []
     assert len(url_filter.judge(pages(spark, [("http://a/b", None)] * 3), []).collect()) == 3
