@@ -34,14 +34,17 @@ from reviewlens.llm.common import portions, stored
 from reviewlens.sources.scratch import scratch_path
 
 DEPTH = 2
-LEAST_WORD = 2
-LEAST_CONTEXT = 2
+LEAST_WORD = 3
+LEAST_CONTEXT = 3
 PRIOR = 64.0
 LEAST_GAIN = 1.0
 #: Tokens of a block, or one text if that is longer; entries of a bucket in one round, at most about.
 BLOCK_TOKENS = 3 << 18
 BUCKET_ENTRIES = 1 << 21
 
+#: Gains are added up as whole numbers of this part of a unit.
+GAIN_UNIT = 2.0**-20
+
 SEED = 12
 # No word is empty or holds a space.
 END, BEGIN, RARE = (np.uint64(xxhash.xxh64_intdigest(mark, SEED)) for mark in (b"", b" ", b"  "))
@@ -165,10 +168,10 @@ class Block:
             node, of_node = _distinct(context[at])
             if f"g{level}" not in answers:
                 out = np.where(learned[at], (found - 1 + PRIOR * parent[at]) / (before[at] - 1 + PRIOR) / parent[at], 1.0)
-                asked[f"g{level}"] = (node, np.bincount(of_node, weights=np.log(out), minlength=len(node)))
+                gains = np.bincount(of_node, weights=np.log(out), minlength=len(node))
+                asked[f"g{level}"] = (node, np.rint(gains / GAIN_UNIT))
             else:
-                kept = answers[f"g{level}"][of_node] > LEAST_GAIN if len(at) else np.empty(0, bool)
-                kept = kept & growing[at]
+                kept = (answers[f"g{level}"][of_node] > 0) & growing[at] if len(at) else np.empty(0, bool)
                 growing = np.zeros(n, bool)
                 growing[at[kept]] = True
                 best[at[kept]] = own[kept]
@@ -241,7 +244,7 @@ def _questions(block: int, asked: Requests, buckets: int) -> pa.Table:
         for b in range(buckets):
             s, e = int(edges[b]), int(edges[b + 1])
             if s < e:
-                for name, value in zip(rows, (tag, b, block, _packed_keys(keys[s:e]), _packed(counts[s:e].astype(_kind(tag)))), strict=True):
+                for name, value in zip(rows, (tag, b, block, _packed_keys(keys[s:e]), _packed(counts[s:e].astype(np.int64))), strict=True):
                     rows[name].append(value)
     return _row(rows, _ASKED)
 
@@ -265,20 +268,17 @@ def _unpacked_keys(raw: bytes) -> np.ndarray:
     return np.cumsum(_unpacked(raw, np.uint64), dtype=np.uint64)
 
 
-def _kind(tag: str) -> type:
-    """Gains are fractions, all else are counts."""
-    return np.float64 if tag[0] == "g" else np.int64
-
-
 def _add_up(group: pa.Table) -> pa.Table:
     """One bucket of one kind: the sum over all blocks, to each block in the order it asked."""
     tag, bucket = group.column("tag")[0].as_py(), group.column("bucket")[0].as_py()
     asked = [_unpacked_keys(raw) for raw in group.column("keys").to_pylist()]
-    values = np.concatenate([_unpacked(raw, _kind(tag)) for raw in group.column("counts").to_pylist()])
+    values = np.concatenate([_unpacked(raw, np.int64) for raw in group.column("counts").to_pylist()])
     keys, number = _distinct(np.concatenate(asked))
     sums = np.bincount(number, weights=values, minlength=len(keys))
     ends = np.cumsum([len(k) for k in asked])
-    answers = [_packed(part.astype(_kind(tag))) for part in np.split(sums[number], ends[:-1])]
+    # Of a context's gain all that matters is whether it is enough.
+    told = (sums * GAIN_UNIT > LEAST_GAIN) if tag[0] == "g" else sums
+    answers = [_packed(part.astype(np.int64)) for part in np.split(told[number], ends[:-1])]
     n = len(answers)
     known = sums > 0 if tag == "w" else np.zeros(len(sums), bool)
     some, rare = sums[known], sums[known & (sums < LEAST_WORD) & (keys != END)]
@@ -307,7 +307,7 @@ def _answers(found: pa.Table, tags: list[str]) -> dict[str, np.ndarray]:
     for tag, bucket, raw in zip(*(found.column(c).to_pylist() for c in ("tag", "bucket", "counts")), strict=True):
         parts.setdefault(tag, []).append((bucket, raw))
     none = [np.empty(0)]
-    return {tag: np.concatenate(none + [_unpacked(raw, _kind(tag)) for _, raw in sorted(some)]) for tag, some in parts.items()}
+    return {tag: np.concatenate(none + [_unpacked(raw, np.int64) for _, raw in sorted(some)]) for tag, some in parts.items()}
 
 
 def score(docs: DataFrame, learned: Column) -> DataFrame:
