@@ -1,13 +1,14 @@
 """Language identification: multinomial naive Bayes over hashed character n-grams.
 
 Training counts n-grams per language inside the tasks and sums them in Spark; only the model (languages x
-buckets) reaches the driver. It is broadcast as a matrix of log probabilities, and documents are scored as the
-rows of a sparse count matrix in numpy: the n-grams of a batch index the matrix, and each document sums its own.
+buckets) reaches the driver. It is broadcast as a matrix of log probabilities. Documents are scored in batches: the
+n-grams of each are counted into a row of a matrix, and the columns that any of them uses are multiplied with
+the model's rows, so memory follows buckets and languages, however long a text is.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,6 +28,8 @@ UNKNOWN = "und"
 LEAST_SCORE = 0.5
 #: Characters whose n-grams are scored at a time: bounds memory however long a text is.
 CHARACTERS = 1 << 20
+#: Documents whose counts are multiplied with the model at a time.
+SCORED = 64
 
 _letters: np.ndarray | None = None
 
@@ -38,10 +41,6 @@ def _letter_table() -> np.ndarray:
     return _letters
 
 
-def has_letter(text: str | None) -> bool:
-    return any(map(str.isalpha, text or ""))
-
-
 def grams(text: str, buckets: int = BUCKETS) -> Iterator[np.ndarray]:
     """Buckets of all 1- to 3-grams of the lower-cased text that hold a letter, in portions; others count as a space."""
     codes = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -76,11 +75,15 @@ class Model:
         """The likeliest language and its posterior for each text; ties go to the name that sorts first."""
         scores = np.zeros((len(texts), len(self.languages)))
         known = np.zeros(len(texts), bool)
-        for i, text in enumerate(texts):
-            for part in grams(text) if text else ():
-                if len(part):
-                    known[i] = True
-                    scores[i] += self.gram[part].sum(axis=0, dtype=np.float64)
+        for at in range(0, len(texts), SCORED):
+            counts = np.zeros((len(texts[at : at + SCORED]), len(self.gram)))
+            for i, text in enumerate(texts[at : at + SCORED]):
+                for part in grams(text, len(self.gram)) if text else ():
+                    if len(part):
+                        known[at + i] = True
+                        counts[i] += np.bincount(part, minlength=len(self.gram))
+            used = np.flatnonzero(counts.any(axis=0))
+            scores[at : at + len(counts)] = counts[:, used] @ self.gram[used].astype(np.float64)
         if not self.languages:
             return [UNKNOWN] * len(texts), np.zeros(len(texts))
         scores += self.prior
@@ -166,6 +169,3 @@ def drop_unknown(docs: DataFrame, model: Model, least_score: float = LEAST_SCORE
         return (np.array(names, object) != UNKNOWN) & (scores >= least_score)
 
     return keep_rows(docs, "text", accept)
-
-
-Trainer = Callable[[DataFrame], Model]

@@ -160,6 +160,24 @@ def test_naive_bayes_equals_counting(spark):
     assert np.allclose(model.prior, np.log([2 / 3, 1 / 3]))
 
 
+def test_batches_score_like_single_texts(monkeypatch):
+    """The product of counts and model equals adding up the log probabilities of each text's n-grams."""
+    rng = np.random.default_rng(4)
+    gram = np.log(rng.random((language.BUCKETS, 3)))
+    model = language.Model(("a", "b", "c"), gram.astype(np.float32), np.log([0.5, 0.3, 0.2]))
+    texts = [*TEXTS, "", None, "eins zwei drei", "1 2 3"]
+    monkeypatch.setattr(language, "SCORED", 3)
+    names, scores = model.predict(texts)
+    for text, name, score in zip(texts, names, scores, strict=True):
+        parts = [p for p in language.grams(text or "") if len(p)]
+        if not parts:
+            assert (name, score) == (language.UNKNOWN, 0)
+            continue
+        total = sum(model.gram[p].sum(axis=0, dtype=np.float64) for p in parts) + model.prior
+        assert name == model.languages[total.argmax()]
+        assert np.isclose(score, 1 / np.exp(total - total.max()).sum())
+
+
 def test_long_texts_are_scored_in_portions(monkeypatch):
     text = "Ein langer Satz über straße. " * 50
     whole = np.concatenate(list(language.grams(text)))
