@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from reviewlens.functions.display import acquisition, day, day_text, hours, shorten
@@ -155,11 +157,42 @@ def comment_ranking(k: int = TOP_REVIEWS, cols: ReviewColumns = REVIEW) -> Ranki
     return Ranking(cols.comments, k)
 
 
-def _may_rank(df: DataFrame, ranking: Ranking, cols: ReviewColumns) -> Column:
+# Which ranking a row of ``ranking_leaders`` is first in.
+RANKING_NUMBER = "ranking_number"
+
+
+def ranking_leaders(df: DataFrame, rankings: list[Ranking], cols: ReviewColumns = REVIEW) -> DataFrame:
+    """The first rows of every ranking within each task, measures and keys only: one narrow scan for all rankings.
+
+    A task holds the first ``k`` rows so far per ranking, whatever it reads. Kept (cached or written), the rows
+    give :func:`ranking_candidates` the places of the last rows without further scans.
+    """
+    names = list(dict.fromkeys([*[r.measure for r in rankings], *cols.key]))
+    require_columns(df, names)
+    rows = df.select(*[column(c) for c in names])
+    orders = [([(r.measure, "descending"), *[(k, "ascending") for k in cols.key]], require_limit(r.k)) for r in rankings]
+
+    def first_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table | None] = [None] * len(orders)
+        for batch in batches:
+            new = pa.Table.from_batches([batch])
+            for i, (order, k) in enumerate(orders):
+                both = new if held[i] is None else pa.concat_tables([held[i], new])
+                held[i] = both.take(pc.sort_indices(both, sort_keys=order, null_placement="at_end")[:k])
+        for i, table in enumerate(held):
+            if table is not None:
+                yield from table.add_column(0, RANKING_NUMBER, pa.array([i] * len(table), pa.int32())).to_batches()
+
+    schema = T.StructType([T.StructField(RANKING_NUMBER, T.IntegerType()), *rows.schema.fields])
+    return rows.mapInArrow(first_rows, schema)
+
+
+def _may_rank(df: DataFrame, ranking: Ranking, cols: ReviewColumns, rows: DataFrame | None = None) -> Column:
     # The place of the k-th row comes from a scan of measure and key. Rows behind it are out, also where
     # the measure is flat or unknown. The test of the measure alone says less, but reaches the Parquet scan.
     measure = column(ranking.measure)
-    places = df.select(ranking.place(df, cols).alias("place"), measure.alias("m"))
+    source = df if rows is None else rows
+    places = source.select(ranking.place(source, cols).alias("place"), measure.alias("m"))
     last = places.orderBy("place").limit(require_limit(ranking.k)).agg(
         F.max("place").alias("place"), F.min("m").alias("m")
     )
@@ -167,14 +200,19 @@ def _may_rank(df: DataFrame, ranking: Ranking, cols: ReviewColumns) -> Column:
     return ((measure >= last.select("m").scalar()) | measure.isNull()) & ahead
 
 
-def ranking_candidates(df: DataFrame, rankings: list[Ranking], cols: ReviewColumns = REVIEW) -> DataFrame:
+def ranking_candidates(
+    df: DataFrame, rankings: list[Ranking], cols: ReviewColumns = REVIEW, leaders: DataFrame | None = None
+) -> DataFrame:
     """The rows of all ``rankings`` and what ties with their last rows in measure and key: all that has to be read.
 
     The limits are scalar subqueries, known before the wide scan starts, so Parquet skips row groups
-    and pages that hold no candidate.
+    and pages that hold no candidate. They are taken from the kept ``leaders`` of the same rankings, or else
+    from a narrow scan for each.
     """
     require_columns(df, [*cols.key, *[r.measure for r in rankings]])
-    return df.where(reduce(lambda left, right: left | right, [_may_rank(df, r, cols) for r in rankings]))
+    own = [None if leaders is None else leaders.where(column(RANKING_NUMBER) == i) for i in range(len(rankings))]
+    tests = [_may_rank(df, r, cols, rows) for r, rows in zip(rankings, own, strict=True)]
+    return df.where(reduce(lambda left, right: left | right, tests))
 
 
 def top_rows(df: DataFrame, ranking: Ranking, prefilter: bool = True, cols: ReviewColumns = REVIEW) -> DataFrame:

@@ -102,8 +102,8 @@ def product_report(
 ) -> ProductReport:
     """Everything about one product in a day range.
 
-    The reviews are read narrow for a cube of counts, from which all totals add up, and for the places of
-    the last rows of the lists; with text for the few reviews that enter a list; and once more to be scored.
+    The reviews are read narrow for a cube of counts, from which all totals add up, and once for the places of
+    the last rows of all lists; with text for the few reviews that enter a list; and once more to be scored.
     What the sections share is cached: the cube, the rows of the lists, each review's scores with its text as
     displayed, and their sums per bucket, so that a model sees each review once whatever the number of sections.
 
@@ -122,7 +122,9 @@ def product_report(
     scored = keep(scored_for_display(reviews, scorer, stored, max_reviews, cols))
     cube = keep(R.report_cube(reviews, cols))
     parts = keep(T.sentiment_parts(scored))
-    candidates = keep(R.ranking_candidates(shown, [upvoted, funny, commented], cols))
+    rankings = [upvoted, funny, commented]
+    leaders = keep(R.ranking_leaders(reviews, rankings, cols)) if persist else None
+    candidates = keep(R.ranking_candidates(shown, rankings, cols, leaders))
 
     return ProductReport(
         summary=R.summary_from_cube(cube),
@@ -137,5 +139,5 @@ def product_report(
         positive=scored_list(T.extreme_reviews(scored, True, cols=cols), cols),
         negative=scored_list(T.extreme_reviews(scored, False, cols=cols), cols),
         histogram=T.histogram_from_parts(parts),
-        cached=(cube, candidates, scored, parts) if persist else (),
+        cached=(cube, candidates, scored, parts, leaders) if persist else (),
     )

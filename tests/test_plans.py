@@ -122,7 +122,11 @@ def test_report_caches_shown_columns_only(stored):
     try:
         assert not any("unused" in name for frame in report.cached for name in frame.columns)
         assert not any("unused" in columns for frame in report.cached for columns in scans(plan(frame)))
-        cube, candidates, scored, _ = report.cached
+        cube, candidates, scored, _, leaders = report.cached
+        assert scans(plan(leaders)) == ["review_id:bigint,game:string,votes_up:int,votes_funny:int,comment_count:int"]
+        # One wide scan; the places of the last rows come from the leaders that are kept.
+        own = [line for line in plan(candidates).splitlines() if "FileScan" in line and "review:string" in line]
+        assert len(set(own)) == 1
         assert "review" not in cube.columns and "review" in candidates.columns and "sentiment" in scored.columns
     finally:
         report.unpersist()

@@ -161,6 +161,19 @@ def test_candidates_are_few_however_flat_the_measure(spark, measure):
     assert reports.ranking_candidates(df, [reports.upvote_ranking(7)], COLS).count() == 7
 
 
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(*[st.one_of(st.none(), st.integers(0, 4))] * 3), min_size=0, max_size=30), st.integers(1, 6))
+def test_leaders_give_the_same_candidates(spark, votes, k):
+    """One scan that keeps the first rows per task finds the places that a scan per ranking finds."""
+    rows = [(i, *v) for i, v in enumerate(votes)]
+    df = spark.createDataFrame(rows, "review_id long, votes_up int, votes_funny int, comment_count int").repartition(3)
+    rankings = [r(k, COLS) for r in (reports.upvote_ranking, reports.funny_ranking, reports.comment_ranking)]
+    leaders = reports.ranking_leaders(df, rankings, COLS)
+    found = reports.ranking_candidates(df, rankings, COLS, leaders)
+    assert sorted(r.review_id for r in found.collect()) == sorted(r.review_id for r in reports.ranking_candidates(df, rankings, COLS).collect())
+    assert leaders.count() <= 3 * 3 * k
+
+
 def test_equal_rows_have_one_order(spark):
     rows = [("a", None, f"text{i}", 1) for i in range(8)]
     df = spark.createDataFrame(rows, "author_steamid string, timestamp_created timestamp, review string, votes_up int")
