@@ -83,6 +83,7 @@ def clean_to_parquet(
     by_year: str | None = None,
     corrupt: str | None = None,
     required: Iterable[str] | None = None,
+    quarantine: str | None = None,
 ) -> CleaningReport:
     """Clean ``raw`` into ``path``; the raw data is read once.
 
@@ -92,6 +93,7 @@ def clean_to_parquet(
 
     ``by_year`` names a clock by whose year the output is partitioned, in a column ``review_year``. ``corrupt``
     names the column in which the reader left rows with a wrong number of values; they are counted and left out.
+    With ``quarantine``, a folder, their texts are written there, by a second reading that is left out if there are none.
     ``allow_fractional=False`` makes ``12.0`` malformed, and so drops its row. ``required`` names the columns that a row
     must have; by default all of them.
 
@@ -99,6 +101,8 @@ def clean_to_parquet(
     save and load it first, see ``sentiment.ml_scorer``.
     """
     unused = list(unused)
+    if quarantine is not None and corrupt is None:
+        raise ValueError("quarantine needs the column that holds corrupt rows")
     wide, typed, complete, audits = _with_counts(raw, casts, unused, allow_fractional, corrupt, required)
     observation, written = Observation("cleaning"), Observation("cleaned")
     after = [F.count_if(is_missing(f)).alias(f"after_{i}") for i, f in enumerate(typed.schema.fields)]
@@ -119,6 +123,8 @@ def clean_to_parquet(
             rows, path, files=None if clustered else files, max_rows_per_file=max_rows_per_file, partition_by=partitions
         )
     found = observation.get
+    if quarantine is not None and found["corrupt_rows"]:
+        _write_corrupt(raw, corrupt, quarantine)
     names = [f.name for f in typed.schema.fields]
     cast = [c for c in names if c in casts.target_types()]
     return CleaningReport(
@@ -131,6 +137,14 @@ def clean_to_parquet(
     )
 
 
+def _write_corrupt(raw: DataFrame, corrupt: str, path: str) -> None:
+    text = column(corrupt)
+    # Spark reads no CSV for the corrupt text alone, so the row takes part in a way that changes nothing.
+    others = [F.length(F.coalesce(column(c).cast("string"), F.lit(""))) for c in raw.columns if c != corrupt][:1]
+    kept = raw.where(text.isNotNull() & ((others[0] if others else F.lit(0)) >= 0))
+    kept.select(text.alias("value")).write.mode("overwrite").text(path)
+
+
 def check_cleaned(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Null audit and drop report of a written table; all missing counts must be 0."""
     cleaned = spark.read.parquet(path)

@@ -1,3 +1,4 @@
+import random
 import datetime as dt
 
 import pytest
@@ -39,6 +40,11 @@ def test_csv_rows_of_the_wrong_width_are_never_lost_silently(spark, tmp_path, ro
     assert [(r.a, r.bad) for r in kept.collect()] == [("1", None), ("1", row)]
     report = clean_to_parquet(kept, str(tmp_path / "clean"), CastSpec(integers=("a",)), unused=(), corrupt="bad")
     assert (report.rows_before, report.rows_after, report.corrupt_rows) == (2, 1, 1)
+    aside = str(tmp_path / "aside")
+    clean_to_parquet(kept, str(tmp_path / "again"), CastSpec(integers=("a",)), unused=(), corrupt="bad", quarantine=aside)
+    assert [r.value for r in spark.read.text(aside).collect()] == [r.bad for r in kept.collect() if r.bad]
+    with pytest.raises(ValueError):
+        clean_to_parquet(kept, str(tmp_path / "never"), CastSpec(integers=("a",)), unused=(), quarantine=aside)
     assert spark.read.parquet(str(tmp_path / "clean")).columns == ["a", "b"]
 
 
@@ -125,3 +131,42 @@ def test_files_follow_the_size(spark, tmp_path):
     write_parquet(spark.range(1000), str(tmp_path / "t"))
     assert files_for(spark, str(tmp_path / "t")) == 1
     assert files_for(spark, str(tmp_path / "t"), 100) > 10
+
+
+def test_a_quoted_file_is_read_in_byte_ranges(spark, tmp_path):
+    """Equal to the one-task read however the file is cut, on values with line breaks, quotes, separators and nulls."""
+    rng = random.Random(3)
+    values = ["plain", "a,b", 'q"x"y', "two\nlines", "\n", '""', '"', "", None, "end\n", " sp ", "x\r\ny", '\n\n"\n', "long " + "w\n" * 30]
+    rows = [(str(i), rng.choice(values), rng.choice(values)) for i in range(300)]
+    schema, path = "id string, a string, b string", str(tmp_path / "one")
+    export(spark.createDataFrame(rows, schema).coalesce(1), path, "csv", null_value="\\N")
+    one = sorted(map(str, read_raw_csv(spark, path, schema, null_value="\\N").collect()))
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = [spark.conf.get(name) for name in names]
+    try:
+        spark.conf.set(names[1], "1")
+        for size, least in (("200", 20), ("3000", 3), ("128m", 1)):
+            spark.conf.set(names[0], size)
+            frame = read_raw_csv(spark, path, schema, null_value="\\N", split_quoted=True)
+            assert sorted(map(str, frame.collect())) == one
+            assert spark.read.text(path).rdd.getNumPartitions() >= least
+        spark.conf.set(names[0], "20")
+        bad = tmp_path / "bad.csv"
+        bad.write_bytes(b'id,a,b\r\n1,2,3\r\n4,5\r\n6,"x\r\ny",7,8\r\n\r\n9,"p""q",\r\n')
+        read = read_raw_csv(spark, str(bad), schema, corrupt="bad", split_quoted=True)
+        assert [(r.id, r.a, r.b, r.bad) for r in sorted(read.collect(), key=lambda r: r.id)] == [
+            ("1", "2", "3", None), ("4", "5", None, "4,5"), ("6", "x\r\ny", "7", '6,"x\r\ny",7,8'), ("9", 'p"q', None, None)
+        ]
+        with pytest.raises(Exception):
+            read_raw_csv(spark, str(bad), schema, split_quoted=True).collect()
+        other = tmp_path / "two"
+        other.mkdir()
+        (other / "a.csv").write_text("id,a,b\n1,2,3\n")
+        (other / "b.csv").write_text("id,b,a\n1,2,3\n")
+        with pytest.raises(Exception):
+            read_raw_csv(spark, str(other), schema, split_quoted=True).collect()
+        with pytest.raises(ValueError):
+            read_raw_csv(spark, path, schema, multiline=False, split_quoted=True)
+    finally:
+        for name, value in zip(names, before, strict=True):
+            spark.conf.set(name, value)
