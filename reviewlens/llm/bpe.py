@@ -239,7 +239,11 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
 
 
 def encode_digests(docs: DataFrame, path: str) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256): ``encode`` with its two wide columns digested in the task."""
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256): ``encode`` with its two wide columns digested in the task.
+
+    A null or empty text has no tokens; repeated rows are encoded one by one, a null doc_id stays null, other
+    columns are not read, and an empty table gives no rows.
+    """
 
     def run(batch: pa.RecordBatch) -> dict:
         own, n, ids, texts = codec(path), [], [], []

@@ -148,7 +148,8 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, lang_pred, score) of every row, in its whole text.
 
     A null text or one without a letter is ``und`` with score 0, and so is every text if the model knows no
-    language. Repeated rows are predicted one by one; ``lang``, ``source`` and ``doc_id`` are no inputs.
+    language. Repeated rows are predicted one by one; ``lang``, ``source`` and ``doc_id`` are no inputs, a null doc_id
+    stays null, other columns are not read, and an empty table gives no rows.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

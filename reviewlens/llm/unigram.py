@@ -110,7 +110,10 @@ def counter(path: str) -> Unigram:
 
 
 def token_counts(docs: DataFrame, path: str) -> DataFrame:
-    """(doc_id, n_pretokens, n_tokens) of each whole text; null and empty texts count 0, repeated rows one by one."""
+    """(doc_id, n_pretokens, n_tokens) of each whole text; null and empty texts count 0, repeated rows one by one.
+
+    A null doc_id stays null, other columns are not read, and an empty table gives no rows.
+    """
 
     def run(batch: pa.RecordBatch) -> dict:
         found = counter(path).count(batch.column(1).to_pylist())
