@@ -104,8 +104,12 @@ class Codec:
         self.rank = [-1] * size
         self.parts: list[tuple[int, int]] = [(-1, -1)] * size
         self.merged: dict[tuple[int, int], int] = {}
+        #: The pairs in the order in which they are merged.
+        self.ranked: list[tuple[int, int]] = [(vocab[left], vocab[right]) for left, right in merges]
         self.automaton = ahocorasick.Automaton()
         spelled = {atoms(token): i for token, i in vocab.items()}
+        #: The token of each byte, and of each byte at the end of a word.
+        self.atoms = [spelled[chr(b)] for b in range(512)]
         for text, i in spelled.items():
             self.length[i] = len(text)
             self.automaton.add_word(text, i)
@@ -151,7 +155,7 @@ class Codec:
         self.known[key] = found
         return found
 
-    def _encode_word(self, word: str) -> bytes:
+    def encode_word(self, word: str) -> bytes:
         raw = word if word.isascii() else word.encode("utf-8").decode("latin-1")
         text = raw[:-1] + chr(256 + ord(raw[-1]))
         n, length, shorter, known = len(text), self.length, self.shorter, self.known
@@ -186,10 +190,10 @@ class Codec:
 
     def _encode_chunk(self, chunk: str) -> bytes:
         if chunk.isalpha():
-            return self._encode_word(chunk)
+            return self.encode_word(chunk)
         pieces = (chunk[:-1], chunk[-1]) if chunk[-1] in ".,;:" and chunk[:-1].isalpha() else _pieces(chunk)
         encoded = self.encoded
-        return b"".join([encoded[p] for p in pieces]) if len(pieces) > 1 else self._encode_word(chunk)
+        return b"".join([encoded[p] for p in pieces]) if len(pieces) > 1 else self.encode_word(chunk)
 
     def _decode_ids(self, ids: bytes) -> bytes:
         blob, offset = self.blob, self.offset

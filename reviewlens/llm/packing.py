@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewlens.llm.bpe import codec
+from reviewlens.llm.bpe_batch import encode_texts
 from reviewlens.llm.common import portions, stored
 
 WINDOW = 4096
@@ -204,12 +204,12 @@ def tokenized(docs: DataFrame, path: str, window: int = WINDOW, end: int = END_O
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, part, seen = codec(path), TaskContext.get().partitionId(), defaultdict(int)
+        part, seen = TaskContext.get().partitionId(), defaultdict(int)
         tail = np.array([end], "<u4").tobytes()
         for batch in portions(batches):
             doc, start, length, total, ids, ordinal = [], [], [], [], [], []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                every = b"".join([*own.encode_parts(text), tail])
+            for doc_id, own in zip(batch.column(0).to_pylist(), encode_texts(path, batch.column(1).to_pylist()), strict=True):
+                every = own + tail
                 tokens = len(every) // 4
                 for s in range(0, tokens, window):
                     n = min(window, tokens - s)
