@@ -23,7 +23,7 @@ from reviewlens.plans.profile import profile_report
 from reviewlens.schema import EXPLORE_CASTS, RAW_SCHEMA, ReviewColumns
 from reviewlens.sources.readers import has_rows, read_parquet, read_raw_csv
 from reviewlens.sources.scratch import scratch_path
-from reviewlens.sources.sinks import YEAR_COLUMN, export, write_names, write_parquet
+from reviewlens.sources.sinks import YEAR_COLUMN, export, export_one_csv, write_names, write_parquet
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -674,14 +674,14 @@ def tables_with_rows(spark, sf):
 
 @register
 def csv_one_file(spark, sf):
-    """One file whose texts hold line breaks and doubled quotes, read in byte ranges by many tasks."""
+    """One file whose texts hold line breaks and doubled quotes, written at offsets and read in byte ranges by many tasks."""
     path = scratch_path(spark, "csv")
     texts = table(spark, sf, "documents").select(
         F.col("doc_id").cast("string").alias("doc_id"),
         F.concat(F.lit('"'), F.translate("text", "\r", " "), F.lit('"\n"')).alias("quoted"),
         "text",
     )
-    export(texts.coalesce(1), path, "csv", null_value=NULL_MARK)
+    export_one_csv(texts, path, null_value=NULL_MARK)
     read = read_raw_csv(spark, path, "doc_id string, quoted string, text string", null_value=NULL_MARK, split_quoted=True)
     return read.select("doc_id", F.md5("quoted").alias("quoted_md5"), F.md5("text").alias("text_md5"))
 

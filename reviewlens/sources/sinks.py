@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import os
+from collections.abc import Iterable, Iterator
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from reviewlens.functions.predicates import column
@@ -83,16 +87,79 @@ def export(
     if file_format == "parquet":
         write_parquet(df, path, mode=mode)
     elif file_format == "csv":
-        (
-            df.write.mode(mode)
-            .option("header", True)
-            .option("quote", '"')
-            .option("escape", '"')
-            .option("nullValue", null_value)
-            .option("emptyValue", '""')
-            .option("ignoreLeadingWhiteSpace", False)
-            .option("ignoreTrailingWhiteSpace", False)
-            .csv(path)
-        )
+        df.write.mode(mode).options(header=True, **_csv_options(null_value)).csv(path)
     else:
         raise ValueError(f"parquet or csv, not {file_format!r}")
+
+
+def _csv_options(null_value: str) -> dict[str, str]:
+    return {
+        "quote": '"',
+        "escape": '"',
+        "nullValue": null_value,
+        "emptyValue": '""',
+        "ignoreLeadingWhiteSpace": "false",
+        "ignoreTrailingWhiteSpace": "false",
+    }
+
+
+def export_one_csv(df: DataFrame, path: str, null_value: str = "") -> None:
+    """One CSV file ``path`` as :func:`export` writes it, by as many tasks as ``df`` has partitions.
+
+    A first pass counts the bytes of each partition, a second one writes each at its place in the file; only counts reach
+    the driver. ``path`` must lie in a folder that the driver and all executors have mounted. ``df`` is computed twice
+    and has to give the same partitions, as the scan of a table does; the job fails if a partition's length differs.
+    """
+    spark = df.sparkSession
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if target.getFileSystem(spark._jsc.hadoopConfiguration()).getScheme() != "file":
+        raise ValueError(f"one file can be written by many tasks in a mounted folder only, not at {path}")
+    local, options = target.toUri().getPath(), _csv_options(null_value)
+    names = F.struct(*[F.lit(name).alias(f"_{i}") for i, name in enumerate(df.columns)])
+    header = spark.range(1).select(F.to_csv(names, options)).first()[0].encode() + b"\n"
+    lines = df.select(F.concat(F.to_csv(F.struct(*[column(c) for c in df.columns]), options), F.lit("\n")).alias("line"))
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield _length(sum(len(_bytes(batch)) for batch in batches))
+
+    sizes = dict(lines.mapInArrow(count, "part int, bytes long").collect())
+    begins, end = {}, len(header)
+    for part in sorted(sizes):
+        begins[part] = end
+        end += sizes[part]
+    os.makedirs(os.path.dirname(local), exist_ok=True)
+    with open(local, "wb") as file:
+        file.write(header)
+        file.truncate(end)
+
+    def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, at = TaskContext.get().partitionId(), 0
+        with open(local, "r+b") as file:
+            file.seek(begins.get(part, end))
+            for batch in batches:
+                found = _bytes(batch)
+                at += len(found)
+                if at > sizes.get(part, 0):
+                    break
+                file.write(found)
+        if at != sizes.get(part, 0):
+            raise ValueError(f"partition {part} had {sizes.get(part, 0)} bytes at first, then {at}")
+        yield _length(at)
+
+    written = sum(row.bytes for row in lines.mapInArrow(write, "part int, bytes long").collect())
+    if written != end - len(header):
+        raise ValueError(f"{written} bytes were written behind the header, not {end - len(header)}")
+
+
+def _bytes(batch: pa.RecordBatch) -> memoryview:
+    """The texts of a batch one behind the other, as Arrow holds them."""
+    texts = batch.column(0).cast(pa.large_binary())
+    _, offsets, data = texts.buffers()
+    edges = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    return memoryview(data or b"")[edges[0] : edges[-1]]
+
+
+def _length(n: int) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict(
+        {"part": pa.array([TaskContext.get().partitionId()], pa.int32()), "bytes": pa.array([n], pa.int64())}
+    )

@@ -10,7 +10,8 @@ from reviewlens.schema import RAW_SCHEMA, CastSpec
 from reviewlens.sources.readers import has_rows, read_parquet, read_raw_csv
 from reviewlens.sources.scratch import scratch_path
 from reviewlens.plans.cleaning import clean_to_parquet
-from reviewlens.sources.sinks import cluster_reviews, export, files_for, write_parquet
+from reviewlens import queries
+from reviewlens.sources.sinks import cluster_reviews, export, export_one_csv, files_for, write_parquet
 
 
 def test_csv_keeps_quotes_breaks_spaces_and_nulls(spark, tmp_path):
@@ -133,6 +134,32 @@ def test_files_follow_the_size(spark, tmp_path):
     assert files_for(spark, str(tmp_path / "t"), 100) > 10
 
 
+def test_one_csv_file_is_written_by_many_tasks(spark, tmp_path):
+    values = ["plain", "a,b", 'q"x"y', "two\nlines", "", None, " sp ", "\\N", "é日", "#x", "x\r\ny", '"']
+    rows = [(i, values[i % 12], values[i // 12 % 12]) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, `a,1` string, b string").repartition(7).localCheckpoint()
+    export(df.coalesce(1), str(tmp_path / "by-one"), "csv", null_value="\\N")
+    export_one_csv(df, str(tmp_path / "new" / "one.csv"), null_value="\\N")
+    assert (tmp_path / "new" / "one.csv").read_bytes() == next((tmp_path / "by-one").glob("part-*")).read_bytes()
+    assert df.rdd.getNumPartitions() == 7
+    export_one_csv(df.where("id < 0"), str(tmp_path / "none.csv"))
+    assert (tmp_path / "none.csv").read_text() == 'id,"a,1",b\n'
+    with pytest.raises(Exception, match="bytes at first"):
+        export_one_csv(spark.range(2000).selectExpr("reflect('java.lang.Math', 'random') AS x"), str(tmp_path / "odd.csv"))
+
+
+def test_no_task_of_the_one_file_query_takes_the_whole_table(spark, monkeypatch):
+    plans = []
+    monkeypatch.setattr(queries, "export_one_csv", lambda df, path, **kw: plans.append(df) or export_one_csv(df, path, **kw))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+        assert queries.csv_one_file(spark, SMALL).count() == spark.read.parquet(f"{SMALL}/documents.parquet").count()
+        assert plans[0].rdd.getNumPartitions() > 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_a_quoted_file_is_read_in_byte_ranges(spark, tmp_path):
     """Equal to the one-task read however the file is cut, on values with line breaks, quotes, separators and nulls."""
     rng = random.Random(3)
