@@ -89,7 +89,7 @@ def clean_to_parquet(
 
     By default the job is one map-only stage, and the audits are observed while it writes. ``files``,
     ``clustered`` and ``by_year`` move rows: the typed table is then written to the scratch folder first, with
-    the audits, and laid out from there. Without ``files`` a clustered table gets one for about each GB.
+    the audits, and laid out from there. Without ``files`` a clustered table gets one for about each 128 MB.
 
     ``by_year`` names a clock by whose year the output is partitioned, in a column ``review_year``. ``corrupt``
     names the column in which the reader left rows with a wrong number of values; they are counted and left out.

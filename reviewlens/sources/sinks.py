@@ -17,7 +17,8 @@ from reviewlens.schema import REVIEW, ReviewColumns
 
 COMPRESSION = "snappy"
 YEAR_COLUMN = "review_year"
-FILE_BYTES = 1 << 30
+#: Of a clustered file: one Parquet row group, and what one task of a layout gets.
+FILE_BYTES = 128 << 20
 
 
 def write_parquet(
@@ -44,8 +45,8 @@ def cluster_reviews(df: DataFrame, files: int | None = None, cols: ReviewColumns
     """Reviews laid out by product, then clock, so that report filters skip row groups.
 
     Ranges are cut on product, clock and a digest of the author: one product, or one product and
-    clock, that holds a third of the table is spread over many files. Choose ``files`` for about 1 GB
-    each, see ``files_for``; left out, ``spark.sql.shuffle.partitions`` decides.
+    clock, that holds a third of the table is spread over many files. A task gets the rows of one file whole: choose
+    ``files`` by ``files_for``; left out, ``spark.sql.shuffle.partitions`` decides.
     """
     require_columns(df, [cols.product, cols.created, cols.author])
     keys = [column(cols.product), column(cols.created), F.xxhash64(column(cols.author))]

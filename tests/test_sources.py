@@ -134,6 +134,12 @@ def test_files_follow_the_size(spark, tmp_path):
     assert files_for(spark, str(tmp_path / "t"), 100) > 10
 
 
+def test_a_task_of_a_layout_gets_a_bounded_share(spark, tmp_path):
+    with open(tmp_path / "table.parquet", "wb") as file:
+        file.truncate(6 << 30)  # takes no space on disk
+    assert (6 << 30) / files_for(spark, str(tmp_path)) <= 128 << 20
+
+
 def test_one_csv_file_is_written_by_many_tasks(spark, tmp_path):
     values = ["plain", "a,b", 'q"x"y', "two\nlines", "", None, " sp ", "\\N", "é日", "#x", "x\r\ny", '"']
     rows = [(i, values[i % 12], values[i // 12 % 12]) for i in range(400)]
